@@ -46,6 +46,11 @@ def elapsed_days(start: ColumnLike, end: ColumnLike) -> Column:
     return ((micros - F.pmod(micros, F.lit(DAY_MICROS))) / F.lit(DAY_MICROS)).cast("bigint")
 
 
+def round_half_even(value: ColumnLike, digits: int = 0) -> Column:
+    """Round with ties going to the even neighbour."""
+    return F.bround(as_column(value), digits)
+
+
 def clamp(value: ColumnLike, low: float | None = None, high: float | None = None) -> Column:
     """Bound a value from below and above; missing stays missing."""
     column = as_column(value)

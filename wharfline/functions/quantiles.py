@@ -1,6 +1,7 @@
 """Exact interpolated quantiles for groups of any size.
 
-Equal values are counted first, so copies cost nothing. The distinct values are
+Small groups use the built-in percentile, whose state holds a group's distinct
+values. For large ones equal values are counted first, so copies cost nothing. The distinct values are
 then cut into bands at approximate quantiles of the whole column; per group only
 the band holding the wanted rank is ordered. The bands decide how the work is
 spread, never the answer.
@@ -10,29 +11,74 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wharfline.functions.durable import durable
 from wharfline.functions.expressions import drop_null_keys
+from wharfline.functions.ordering import largest_group
 
 BANDS = 128
+STATE_ROWS = 1_000_000
+
+
+def _band_of(cuts: Column, value: Column, bands: int) -> Column:
+    """Number of sorted cuts below a value, found by halving steps."""
+    steps = [2**i for i in reversed(range(bands.bit_length()))]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]),
+        F.lit(0),
+        lambda at, step: F.when(F.get(cuts, at + step - 1) < value, at + step).otherwise(at),
+    )
+
+
+def fits_one_state(df: DataFrame, keys: Sequence[str], limit: int = STATE_ROWS) -> bool:
+    """Whether every group is small enough for its distinct values to be one aggregation state.
+
+    Costs one aggregation over the key columns; a single number comes back.
+    """
+    return largest_group(drop_null_keys(df, keys), keys) <= limit
+
+
+def built_in_quantile(column: str, probability: float) -> Column:
+    return F.percentile(F.col(column).cast("double"), probability)
 
 
 def exact_quantiles(
+    df: DataFrame,
+    keys: Sequence[str],
+    wanted: dict[str, tuple[str, float]],
+    method: str = "auto",
+) -> DataFrame:
+    """One row per key with the columns of ``wanted``: output name -> (value column, probability).
+
+    ``method`` is ``built_in``, ``banded``, or ``auto`` to decide by the largest group.
+    """
+    if method == "auto":
+        method = "built_in" if fits_one_state(df, keys) else "banded"
+    if method == "banded":
+        return banded_quantiles(df, keys, wanted)
+    if method != "built_in":
+        raise ValueError(f"unknown method: {method}")
+    aggregates = [built_in_quantile(v, p).alias(name) for name, (v, p) in wanted.items()]
+    return drop_null_keys(df, keys).groupBy(*keys).agg(*aggregates)
+
+
+def banded_quantiles(
     df: DataFrame,
     keys: Sequence[str],
     wanted: dict[str, tuple[str, float]],
     bands: int = BANDS,
 ) -> DataFrame:
-    """One row per key with the columns of ``wanted``: output name -> (value column, probability)."""
+    """The same for groups of any size; the value counts are stored once and read twice."""
     values = list(dict.fromkeys(v for v, _ in wanted.values()))
+    pairs = F.array(*[F.struct(F.lit(v).alias("_measure"), F.col(v).cast("double").alias("_value")) for v in values])
     long = (
         drop_null_keys(df, keys)
-        .select(*keys, *[F.col(v).cast("double").alias(v) for v in values])
-        .unpivot(list(keys), values, "_measure", "_value")
+        .select(*keys, F.inline(pairs))
         .where(F.col("_value").isNotNull() & ~F.isnan("_value"))
     )
-    counts = long.groupBy(*keys, "_measure", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    counts = durable(long.groupBy(*keys, "_measure", "_value").agg(F.count(F.lit(1)).alias("_n")))
     cuts = counts.groupBy("_measure").agg(
         F.percentile_approx("_value", [i / bands for i in range(1, bands)], 10 * bands).alias("_cuts")
     )
@@ -42,7 +88,7 @@ def exact_quantiles(
         "_measure",
         "_value",
         "_n",
-        F.size(F.filter("_cuts", lambda c: c < F.col("_value"))).alias("_band"),
+        _band_of(F.col("_cuts"), F.col("_value"), bands).alias("_band"),
     )
     group = [*keys, "_measure"]
     sizes = banded.groupBy(*group, "_band").agg(F.sum("_n").alias("_band_n"))
@@ -82,8 +128,3 @@ def exact_quantiles(
         ]
         results.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(name))
     return ordered.groupBy(*keys).agg(*aggregates).select(*keys, *results)
-
-
-def exact_medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str], suffix: str = "_median") -> DataFrame:
-    """Median of each column per key, named ``<column><suffix>``."""
-    return exact_quantiles(df, keys, {f"{c}{suffix}": (c, 0.5) for c in columns})

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wharfline.functions.expressions import elapsed_days, flag, ratio, require_columns
-from wharfline.functions.quantiles import exact_medians
+from wharfline.functions.quantiles import banded_quantiles, built_in_quantile, fits_one_state
 
 ANOMALY_LIMIT = 2.5
 
@@ -23,7 +23,7 @@ def group_statistics(df: DataFrame, keys: Sequence[str], value: str = "lead_time
     """Mean, median and sample deviation per group; no row for a missing key.
 
     The built-in median keeps one counter per distinct value and merges
-    map-side. That is bounded for day counts; use ``exact_medians`` otherwise.
+    map-side. That is bounded for day counts; use ``exact_quantiles`` otherwise.
     """
     return df.dropna(subset=list(keys)).groupBy(*keys).agg(
         F.avg(value).alias("mean"), F.median(value).alias("median"), F.stddev_samp(value).alias("std")
@@ -92,9 +92,13 @@ def calculate_order_statistics(
             F.avg(c).alias(f"{c}_mean"),
             F.stddev_samp(c).alias(f"{c}_std"),
         ]
+    medians = {f"{c}_median": (c, 0.5) for c in measures}
+    if fits_one_state(grouped, keys):
+        aggregates += [built_in_quantile(c, p).alias(name) for name, (c, p) in medians.items()]
+        medians = {}
     stats = grouped.groupBy(*keys).agg(*aggregates)
-    if measures:
-        stats = stats.join(exact_medians(grouped, keys, measures), keys, "left")
+    if medians:
+        stats = stats.join(banded_quantiles(grouped, keys, medians), keys, "left")
     return df.join(stats, keys) if join_back else stats
 
 

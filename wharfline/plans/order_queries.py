@@ -19,10 +19,17 @@ from wharfline.plans.sql_views import FACTS, RAW, with_view
 from wharfline.sources import views
 
 
-def rounded(df: DataFrame, digits: int = 4, **special: int) -> DataFrame:
-    """Round double columns for comparison; ``special`` sets other digits by name."""
+def rounded(df: DataFrame, digits: int = 4, nudge: float = 0.0, **special: int) -> DataFrame:
+    """Round double columns for comparison; ``special`` sets other digits by name.
+
+    A ``nudge`` moves decimal ties off the rounding boundary, where the two
+    engines' rounding may go either way.
+    """
     return df.select(
-        *[F.round(c, special.get(c, digits)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]
+        *[
+            F.round(F.col(c) + nudge if nudge else F.col(c), special.get(c, digits)).alias(c) if t == "double" else F.col(c)
+            for c, t in df.dtypes
+        ]
     )
 
 

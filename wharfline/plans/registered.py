@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wharfline.plans import order_queries  # noqa: F401
+from wharfline.plans import dashboard_queries, order_queries  # noqa: F401
 from wharfline.plans.registry import QUERIES, SQL, Query
 
 
