@@ -1,3 +1,11 @@
 """wharfline: order, lead-time, inventory, supplier-network and forecast analytics on Spark DataFrames."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# The helpers that run inside Python workers travel with the plan, so executors
+# need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,6 +7,7 @@ from statistics import NormalDist
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def normal_quantile(level: float) -> float:
@@ -16,7 +17,7 @@ def normal_quantile(level: float) -> float:
     return NormalDist().inv_cdf(level)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _quantiles(levels: pd.Series) -> pd.Series:
     usable = levels.where((levels > 0) & (levels < 1))
     table = {v: NormalDist().inv_cdf(v) for v in usable.dropna().unique()}

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from wharfline.plans import dashboard_queries, order_queries  # noqa: F401
+from wharfline.plans import (  # noqa: F401
+    dashboard_queries,
+    inventory_queries,
+    order_queries,
+    quality_queries,
+)
 from wharfline.plans.registry import QUERIES, SQL, Query
 
 
