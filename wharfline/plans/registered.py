@@ -7,6 +7,7 @@ from wharfline.plans import (  # noqa: F401
     inventory_queries,
     order_queries,
     quality_queries,
+    series_queries,
 )
 from wharfline.plans.registry import QUERIES, SQL, Query
 
