@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from wharfline.plans import (  # noqa: F401
     dashboard_queries,
+    forecast_queries,
     inventory_queries,
     order_queries,
     quality_queries,
