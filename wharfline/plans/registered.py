@@ -6,6 +6,7 @@ from wharfline.plans import (  # noqa: F401
     dashboard_queries,
     forecast_queries,
     inventory_queries,
+    network_queries,
     order_queries,
     quality_queries,
     series_queries,

@@ -134,6 +134,14 @@ flow_edges AS (
 edges AS (SELECT src, dst, sum(weight) AS weight FROM flow_edges GROUP BY 1, 2)"""
 )
 
+LANES = """
+lane_pairs AS (
+  SELECT 'N' || s_nationkey AS src, 'N' || c_nationkey AS dst, sum(l_quantity) AS weight
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+  JOIN supplier ON l_suppkey = s_suppkey WHERE s_nationkey <> c_nationkey GROUP BY 1, 2
+),
+lanes AS (SELECT * FROM lane_pairs WHERE weight > (SELECT avg(weight) FROM lane_pairs))"""
+
 
 def with_view(view: str, body: str) -> str:
     """A statement over one of the views above; ``body`` may open with further ones after a comma."""

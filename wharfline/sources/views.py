@@ -217,3 +217,28 @@ def supply_edges(spark: SparkSession, folder: str) -> DataFrame:
         F.struct(F.col("n").alias("src"), F.col("r").alias("dst")),
     )
     return flows.select(F.inline(legs), "weight").select("src", "dst", "weight")
+
+
+def trade_lanes(spark: SparkSession, folder: str) -> DataFrame:
+    """Supplier nation -> customer nation, the pairs that carry more than the mean quantity."""
+    lines = table(spark, folder, "lineitem").join(
+        table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
+    # Sum per supplier and customer nation before the supplier table comes in.
+    customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    per_pair = (
+        lines.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .groupBy("l_suppkey", "c_nationkey")
+        .agg(F.sum("l_quantity").alias("q"))
+    )
+    supplier = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
+    pairs = (
+        per_pair.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .where(F.col("s_nationkey") != F.col("c_nationkey"))
+        .groupBy(
+            F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("src"),
+            F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("dst"),
+        )
+        .agg(F.sum("q").alias("weight"))
+    )
+    return pairs.where(F.col("weight") > pairs.agg(F.avg("weight")).scalar())
