@@ -526,11 +526,10 @@ def daily_metric_mean(spark: SparkSession, folder: str) -> DataFrame:
 
 
 MONTHS = """,
-chosen AS (SELECT * FROM wide WHERE demand >= 140),
 sums AS (
   SELECT last_day(date) AS label, sum(shipping_cost) AS shipping_cost, sum(holding_cost) AS holding_cost,
          sum(stockout_cost) AS stockout_cost, sum(total_cost) AS total_cost
-  FROM chosen GROUP BY 1
+  FROM wide GROUP BY 1
 ),
 spine AS (
   SELECT last_day(CAST(d AS DATE)) AS date
@@ -544,9 +543,7 @@ FROM spine LEFT JOIN sums ON date = label"""
 
 @query("monthly_costs", with_view(WIDE, MONTHS))
 def monthly_costs(spark: SparkSession, folder: str) -> DataFrame:
-    """Cost sums per month of the days with high demand; months without any stay in as 0."""
-    busy = views.daily_wide(spark, folder).where(F.col("demand") >= 140)
-    sums = agg.monthly_sums(busy, "date", ["shipping_cost", "holding_cost", "stockout_cost", "total_cost"])
+    sums = agg.monthly_sums(views.daily_wide(spark, folder), "date", ["shipping_cost", "holding_cost", "stockout_cost", "total_cost"])
     return rounded(sums, 2, shipping_cost=4)
 
 

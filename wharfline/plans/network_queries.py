@@ -164,26 +164,33 @@ def lane_eigenvector(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(network.eigenvector_centrality(lanes(spark, folder)), 6)
 
 
-COMPONENTS = (
-    _recursive(FACTS)
-    + """,
-links AS (SELECT DISTINCT 'O' || order_id AS a, 'P' || product_id AS b FROM facts WHERE quantity >= 49 AND priority = '1-URGENT'),
-ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+@query(
+    "customer_order_components",
+    """WITH RECURSIVE
+ways AS (
+  SELECT 'C' || o_custkey AS a, 'O' || o_orderkey AS b FROM orders UNION SELECT 'O' || o_orderkey, 'C' || o_custkey FROM orders
+),
 reach AS (
   SELECT a AS node, a AS other FROM ways
   UNION SELECT reach.node, ways.b FROM reach JOIN ways ON reach.other = ways.a
 )
-SELECT node, min(other) AS component FROM reach GROUP BY 1"""
+SELECT node, min(other) AS component FROM reach GROUP BY 1""",
 )
+def customer_order_components(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of customers and orders: one per customer that orders."""
+    edges = views.table(spark, folder, "orders").select(
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("src"),
+        F.concat(F.lit("O"), F.col("o_orderkey").cast("string")).alias("dst"),
+    )
+    return network.components(edges)
 
 
-@query("order_product_components", COMPONENTS)
+@query("order_product_components")
 def order_product_components(spark: SparkSession, folder: str) -> DataFrame:
-    """Groups of orders and products linked by the large urgent lines."""
-    big = views.order_facts(spark, folder).where((F.col("quantity") >= 49) & (F.col("priority") == "1-URGENT"))
-    edges = big.select(
-        F.concat(F.lit("O"), F.col("order_id").cast("string")).alias("src"),
-        F.concat(F.lit("P"), F.col("product_id").cast("string")).alias("dst"),
+    """Groups of orders and products linked by order lines."""
+    edges = views.table(spark, folder, "lineitem").select(
+        F.concat(F.lit("O"), F.col("l_orderkey").cast("string")).alias("src"),
+        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("dst"),
     )
     return network.components(edges)
 

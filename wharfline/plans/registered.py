@@ -5,7 +5,9 @@ from __future__ import annotations
 from wharfline.plans import (  # noqa: F401
     dashboard_queries,
     forecast_queries,
+    file_queries,
     inventory_queries,
+    ml_queries,
     network_queries,
     order_queries,
     quality_queries,

@@ -13,21 +13,21 @@ from wharfline.sources import views
 
 
 @query(
-    "priority_panel_daily",
+    "product_panel_daily",
     with_view(
         FACTS,
         """,
-mean AS (SELECT priority, CAST(order_date AS DATE) AS ds, avg(quantity) AS y FROM facts WHERE quantity >= 45 GROUP BY 1, 2),
+mean AS (SELECT region, product, CAST(order_date AS DATE) AS ds, avg(quantity) AS y FROM facts GROUP BY 1, 2, 3),
 spine AS (
-  SELECT priority, unnest(generate_series(min(ds), max(ds), INTERVAL 1 DAY))::DATE AS ds FROM mean GROUP BY 1
+  SELECT region, product, unnest(generate_series(min(ds), max(ds), INTERVAL 1 DAY))::DATE AS ds FROM mean GROUP BY 1, 2
 )
-SELECT priority, ds, round(y, 6) AS y FROM spine LEFT JOIN mean USING (priority, ds)""",
+SELECT region, product, ds, round(y, 6) AS y FROM spine LEFT JOIN mean USING (region, product, ds)""",
     ),
 )
-def priority_panel_daily(spark: SparkSession, folder: str) -> DataFrame:
-    """Mean quantity of the large lines per priority on a daily grid with gaps."""
-    large = views.order_facts(spark, folder).where(F.col("quantity") >= 45)
-    return rounded(series.load_panel(large, "order_date", "quantity", ["priority"], "D"), 6)
+def product_panel_daily(spark: SparkSession, folder: str) -> DataFrame:
+    """Mean line quantity per region and product on a daily grid, days without orders included."""
+    facts = views.order_facts(spark, folder)
+    return rounded(series.load_panel(facts, "order_date", "quantity", ["region", "product"], "D"), 6)
 
 
 def _grid_sql(on_grid: str, spine: str) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -63,6 +64,11 @@ def dataset_name(path: str) -> str:
     return os.path.splitext(os.path.basename(path.rstrip("/")))[0]
 
 
+def view_name(path: str) -> str:
+    """The dataset name with everything but letters, digits and underscores replaced."""
+    return re.sub(r"\W", "_", dataset_name(path))
+
+
 def load_dataset(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Read a file and register it as a temporary view named after it."""
     try:
@@ -71,7 +77,7 @@ def load_dataset(spark: SparkSession, path: str, schema: T.StructType | str | No
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(path) from error
         raise
-    df.createOrReplaceTempView(dataset_name(path))
+    df.createOrReplaceTempView(view_name(path))
     return df
 
 
