@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wharfline.functions.expressions import nan_to_null, numeric_columns, text_columns
-from wharfline.functions.quantiles import exact_quantiles
+from wharfline.functions.quantiles import STATE_ROWS, exact_quantiles
 
 UNKNOWN = "Unknown"
 
@@ -19,12 +19,15 @@ def drop_exact_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def columns_with_nulls(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    """Names of the columns that hold a missing value: one scan, one row back."""
+def probe(df: DataFrame, columns: Sequence[str]) -> dict[str, int | None]:
+    """For each column that holds a missing value, about how many distinct values it has; one scan, one row back."""
     if not columns:
-        return []
-    row = df.agg(*[F.max(F.col(c).isNull()).alias(c) for c in columns]).first()
-    return [c for c in columns if row[c]]
+        return {}
+    row = df.agg(
+        *[F.max(F.col(c).isNull()).alias(f"{c}_null") for c in columns],
+        *[F.approx_count_distinct(c).alias(f"{c}_distinct") for c in columns],
+    ).first()
+    return {c: row[f"{c}_distinct"] for c in columns if row[f"{c}_null"]}
 
 
 def most_frequent(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -47,20 +50,24 @@ def most_frequent(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def fill_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def fill_missing(df: DataFrame, columns: Sequence[str] | None = None, like: DataFrame | None = None) -> DataFrame:
     """Numbers get their column's median, texts the most frequent one or ``Unknown``.
 
     A filled whole-number column becomes double, since its median may be fractional.
+    ``like`` may name a cheaper frame with the same values, to look for gaps in.
     """
     fillable = [c for c in (columns or df.columns) if c in {*numeric_columns(df), *text_columns(df)}]
-    holes = columns_with_nulls(df, fillable)
+    holes = probe(like if like is not None else df, fillable)
     numbers = [c for c in holes if c in numeric_columns(df)]
     texts = [c for c in holes if c in text_columns(df)]
     filled: dict[str, Column] = {}
-    if numbers:
-        medians = exact_quantiles(df, [], {c: (c, 0.5) for c in numbers})
-        one = medians.select(F.struct(*numbers)).scalar()
-        filled |= {c: F.coalesce(F.col(c).cast("double"), one.getField(c)) for c in numbers}
+    for method in ("built_in", "banded"):
+        # A column of few distinct values has a small median state, however many rows.
+        mine = [c for c in numbers if (holes[c] <= STATE_ROWS) == (method == "built_in")]
+        if mine:
+            medians = exact_quantiles(df, [], {c: (c, 0.5) for c in mine}, method)
+            one = medians.select(F.struct(*mine)).scalar()
+            filled |= {c: F.coalesce(F.col(c).cast("double"), one.getField(c)) for c in mine}
     if texts:
         one = most_frequent(df, texts).select(F.struct(*texts)).scalar()
         filled |= {c: F.coalesce(F.col(c), one.getField(c), F.lit(UNKNOWN)) for c in texts}
@@ -91,4 +98,5 @@ def clean_data(df: DataFrame) -> DataFrame:
     Date texts are still texts when gaps are filled, so they get the most
     frequent text; columns that are dates already stay NULL.
     """
-    return parse_date_columns(fill_missing(drop_exact_duplicates(nan_to_null(df))))
+    rows = nan_to_null(df)
+    return parse_date_columns(fill_missing(drop_exact_duplicates(rows), like=rows))

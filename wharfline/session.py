@@ -34,6 +34,8 @@ def local_session(cores: int | str = "*", name: str = "wharfline", **extra: str)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
+        # A test table is one file and one scan task: joins by shuffle use all cores.
+        .config("spark.sql.autoBroadcastJoinThreshold", "1m")
     )
     for key, value in {**SQL_SETTINGS, **extra}.items():
         builder = builder.config(key, value)

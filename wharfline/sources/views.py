@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wharfline.functions.expressions import clamp, elapsed_days, map_values
 from wharfline.session import tune
+from wharfline.sources.schemas import WAREHOUSE
 
 # Order status by the warehouse's status letter.
 STATUS = {"F": "Delivered", "P": "In Transit", "O": "Pending"}
@@ -15,7 +16,7 @@ STATUS = {"F": "Delivered", "P": "In Transit", "O": "Pending"}
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A warehouse table; zone-less timestamps are read as UTC."""
     tune(spark)
-    df = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    df = spark.read.schema(WAREHOUSE[name]).parquet(f"{folder.rstrip('/')}/{name}.parquet")
     zoneless = [c for c, t in df.dtypes if t == "timestamp_ntz"]
     return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df
 
