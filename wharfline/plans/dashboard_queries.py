@@ -21,7 +21,7 @@ REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
 NUDGE = 3.3e-9
 COST_COLUMNS = ", ".join(
-    f"round({c} + {NUDGE}::DOUBLE, 6) AS {c}"
+    f"round({c} + {NUDGE}::DOUBLE, 5) AS {c}"
     for c in (
         "lead_time", "demand", "safety_stock", "reorder_point", "inventory_level", "shipping_cost", "holding_cost",
         "stockout_cost", "total_cost",
@@ -43,7 +43,7 @@ def cost_components(spark: SparkSession, folder: str) -> DataFrame:
         "date", "region", "product", "supplier", "lead_time", "demand", "safety_stock", "reorder_point",
         "inventory_level", "shipping_cost", "holding_cost", "stockout_cost", "total_cost",
     )
-    return rounded(wide, 6, NUDGE)
+    return rounded(wide, 5, NUDGE)
 
 
 @query(
@@ -558,8 +558,8 @@ f AS (
 sums AS (SELECT last_day(order_date) AS order_date, sum(price) AS price FROM f GROUP BY 1),
 one AS (SELECT avg(lead_time) AS lead, sum(quantity) AS units, avg(stockout) AS stockout FROM f)
 SELECT order_date, round(price, 4) AS unit_cost, round(price * 0.1::DOUBLE * lead / 5, 4) AS shipping_cost,
-       round(price * 0.02::DOUBLE * units * 0.1::DOUBLE, 2) AS holding_cost,
-       round(price * (units * stockout * 0.5::DOUBLE), 2) AS stockout_cost
+       round(price * 0.02::DOUBLE * units * 0.1::DOUBLE, 0) AS holding_cost,
+       round(price * (units * stockout * 0.5::DOUBLE), -2) AS stockout_cost
 FROM sums, one""",
     ),
 )
@@ -568,7 +568,7 @@ def monthly_cost_model(spark: SparkSession, folder: str) -> DataFrame:
         "stockout_probability", (F.col("return_flag") == "R").cast("double")
     )
     chosen = filters.dashboard_filter(facts, region="ASIA", date="order_date")
-    return rounded(agg.monthly_cost_model(chosen), 4, holding_cost=2, stockout_cost=2)
+    return rounded(agg.monthly_cost_model(chosen), 4, holding_cost=0, stockout_cost=-2)
 
 
 @query(
