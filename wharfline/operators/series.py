@@ -104,14 +104,11 @@ def detect_anomalies(
     Rows without a residual drop out.
     """
     present = df.where(F.col(value).isNotNull())
-    stats = present.groupBy(*keys).agg(F.avg(value).alias("_m"), F.stddev_samp(value).alias("_s"))
-    if keys:
-        scored = present.join(stats, list(keys))
-    else:
-        one = stats.select(F.struct("_m", "_s")).scalar()
-        scored = present.withColumns({"_m": one.getField("_m"), "_s": one.getField("_s")})
-    z = F.abs(ratio(F.col(value) - F.col("_m"), F.col("_s")))
-    return scored.withColumns({"z_score": z, "anomaly": flag(z > threshold)}).drop("_m", "_s")
+    # One series is as long as the calendar, and it is already together from the decomposition.
+    whole = Window.partitionBy(*keys)
+    mean, std = F.avg(value).over(whole), F.stddev_samp(value).over(whole)
+    z = F.abs(ratio(F.col(value) - mean, std))
+    return present.withColumn("z_score", z).withColumn("anomaly", flag(F.col("z_score") > threshold))
 
 
 def detect_outliers(df: DataFrame, value: str, n_sigmas: float = 3.0, name: str = "outlier") -> DataFrame:

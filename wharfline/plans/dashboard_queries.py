@@ -9,7 +9,7 @@ from wharfline.functions.expressions import round_half_even, id_label, label_id
 from wharfline.operators import aggregates as agg
 from wharfline.operators import costs
 from wharfline.operators import filters
-from wharfline.operators.leadtimes import lead_time_days, on_time_share
+from wharfline.operators.leadtimes import lead_time_days, supplier_performance
 from wharfline.plans.order_queries import rounded
 from wharfline.plans.registry import query
 from wharfline.plans.sql_views import EDGES, FACTS, STAR, WIDE, with_view
@@ -449,11 +449,8 @@ FROM performance JOIN star_suppliers USING (supplier_name)""",
 )
 def supplier_on_time(spark: SparkSession, folder: str) -> DataFrame:
     """On-time percentage per supplier next to its reliability score."""
-    suppliers = views.star_suppliers(spark, folder)
-    orders = views.star_orders(spark, folder).join(suppliers.select("supplier_id", "supplier_name"), "supplier_id")
-    performance = on_time_share(orders, ["supplier_name"], "ship_date", "due_date")
-    scores = suppliers.select("supplier_name", (F.col("reliability_score") * 100).alias("reliability_score"))
-    return rounded(performance.join(scores, "supplier_name"), 6)
+    performance = supplier_performance(views.star_orders(spark, folder), views.star_suppliers(spark, folder))
+    return rounded(performance, 6)
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wharfline.functions.durable import durable
 from wharfline.operators import forecasting as fc
 from wharfline.operators.filters import position_split
 from wharfline.plans.order_queries import rounded
@@ -147,7 +148,7 @@ SELECT model, {ERRORS} FROM test JOIN flats USING (region) GROUP BY 1""",
     ),
 )
 def demand_model_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    split = position_split(views.daily_demand(spark, folder), KEYS, ["ds"])
+    split = durable(position_split(views.daily_demand(spark, folder), KEYS, ["ds"]))
     models = {
         "mean_14": fc.flat_forecast(split, KEYS, 14),
         "mean_56": fc.flat_forecast(split, KEYS, 56),
@@ -168,7 +169,7 @@ SELECT region, {ERRORS} FROM test JOIN flat USING (region) GROUP BY 1""",
 )
 def demand_forecast_errors(spark: SparkSession, folder: str) -> DataFrame:
     """Errors per region over a frame that also holds the history."""
-    split = position_split(views.daily_demand(spark, folder), KEYS, ["ds"])
+    split = durable(position_split(views.daily_demand(spark, folder), KEYS, ["ds"]))
     frame = fc.forecast_frame(split.where(F.col("split") == "train"), fc.flat_forecast(split, KEYS), KEYS)
     return rounded(fc.evaluate(split, frame, [*KEYS, "ds"], KEYS), 6, mse=4)
 
@@ -176,7 +177,7 @@ def demand_forecast_errors(spark: SparkSession, folder: str) -> DataFrame:
 @query("demand_model_ranking")
 def demand_model_ranking(spark: SparkSession, folder: str) -> DataFrame:
     """Fitted models against the baseline on the last fifth of every series."""
-    split = position_split(views.daily_demand(spark, folder), KEYS, ["ds"])
+    split = durable(position_split(views.daily_demand(spark, folder), KEYS, ["ds"]))
     train = split.where(F.col("split") == "train")
     ahead = 600
     models = {

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wharfline.functions.durable import durable
 from wharfline.operators import series
 from wharfline.plans.order_queries import rounded
 from wharfline.plans.registry import query
@@ -239,7 +240,7 @@ FROM demand LEFT JOIN scored ON demand.region = scored.region AND demand.ds = sc
 )
 def marked_demand_anomalies(spark: SparkSession, folder: str) -> DataFrame:
     """Every date of the panel, with the flags of those that have a residual."""
-    panel = views.daily_demand(spark, folder)
+    panel = durable(views.daily_demand(spark, folder))
     found = series.detect_anomalies(series.decompose(panel, ["region"], 7), ["region"])
     return series.mark_anomalies(panel, found, ["region", "ds"])
 

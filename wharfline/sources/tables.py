@@ -17,12 +17,15 @@ def write_zone(df: DataFrame, path: str, partition_by: Sequence[str]) -> str:
     return path
 
 
-def register_zone(spark: SparkSession, name: str, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def register_zone(
+    spark: SparkSession, name: str, path: str, partition_by: Sequence[str] = (), merge_schemas: bool = False
+) -> DataFrame:
     """Create or refresh an external table over a folder and pick up new partitions.
 
-    The schema is inferred once from the files, all of them merged.
+    The schema comes from one file; ``merge_schemas`` reads the footers of all,
+    which costs with many files.
     """
-    found = spark.read.option("mergeSchema", True).parquet(path)
+    found = spark.read.option("mergeSchema", merge_schemas).parquet(path)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema.fields)
     partitioned = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     if spark.catalog.tableExists(name):
