@@ -20,14 +20,15 @@ def drop_exact_duplicates(df: DataFrame) -> DataFrame:
 
 
 def probe(df: DataFrame, columns: Sequence[str]) -> dict[str, int | None]:
-    """For each column that holds a missing value, about how many distinct values it has; one scan, one row back."""
+    """The columns that hold a missing value, numbers with about how many distinct values; one scan, one row back."""
     if not columns:
         return {}
+    numbers = [c for c in columns if c in numeric_columns(df)]
     row = df.agg(
         *[F.max(F.col(c).isNull()).alias(f"{c}_null") for c in columns],
-        *[F.approx_count_distinct(c).alias(f"{c}_distinct") for c in columns],
+        *[F.approx_count_distinct(c).alias(f"{c}_distinct") for c in numbers],
     ).first()
-    return {c: row[f"{c}_distinct"] for c in columns if row[f"{c}_null"]}
+    return {c: row[f"{c}_distinct"] if c in numbers else None for c in columns if row[f"{c}_null"]}
 
 
 def most_frequent(df: DataFrame, columns: Sequence[str]) -> DataFrame:
