@@ -43,3 +43,8 @@ def n_words(text: Column) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def small_batches(spark: SparkSession, size: str = "16m") -> None:
+    """Bound what one Arrow batch of texts takes in a Python worker, however long the texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

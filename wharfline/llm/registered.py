@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from wharfline.llm import (  # noqa: F401
+    byte_bpe,
     chat_formatting,
     mixing,
+    simhash,
     token_counts,
     winnowing,
 )
