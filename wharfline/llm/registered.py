@@ -6,6 +6,7 @@ from wharfline.llm import (  # noqa: F401
     byte_bpe,
     chat_formatting,
     mixing,
+    recompression,
     simhash,
     token_counts,
     winnowing,
