@@ -6,9 +6,12 @@ from wharfline.llm import (  # noqa: F401
     byte_bpe,
     chat_formatting,
     mixing,
+    quality_gam,
     recompression,
     simhash,
+    subspace_join,
     token_counts,
+    toxicity_fm,
     winnowing,
 )
 from wharfline.llm.common import QUERIES, SQL

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from wharfline.functions.durable import durable
 from wharfline.llm.common import query, small_batches, table
+from wharfline.llm.unions import link
 from wharfline.operators.network import components
 
 SEED = 42
@@ -120,17 +121,7 @@ class Forest:
         self.parent = np.arange(len(codes))
 
     def _link(self, left: np.ndarray, right: np.ndarray) -> None:
-        parent = self.parent
-        while True:
-            a, b = parent[left], parent[right]
-            apart = a != b
-            if not apart.any():
-                break
-            left, right = left[apart], right[apart]
-            np.minimum.at(parent, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
-            while not np.array_equal(nearer := parent[parent], parent):
-                parent = nearer
-        self.parent = parent
+        self.parent = link(self.parent, left, right)
 
     def _same(self) -> list[np.ndarray]:
         """Per level the component of a node, or -1 where its codes are in several."""
