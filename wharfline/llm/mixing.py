@@ -125,7 +125,8 @@ def drawing_plan(sizes: DataFrame, **settings) -> DataFrame:
     cuts = cut_points(sizes, targets)
     plan = durable(
         targets.join(cuts, F.col("source").eqNullSafe(F.col("_s")), "left").select(
-            F.col("source").alias("_source"), "source_size", "target", "whole", "part", "cut", "cut_before", "cut_size"
+            F.col("source").alias("_source"),
+            F.struct("source_size", "target", "whole", "part", "cut", "cut_before", "cut_size").alias("_plan"),
         )
     )
     return F.broadcast(plan) if plan.count() <= BROADCAST_SOURCES else plan
@@ -133,9 +134,10 @@ def drawing_plan(sizes: DataFrame, **settings) -> DataFrame:
 
 def partial_words(size: Column, key: Column) -> Column:
     """Words of a document in the fractional repetition of its source."""
-    missing = F.col("part") - F.col("cut_before")
-    at_cut = F.floor(size * missing / F.when(F.col("cut_size") > 0, F.col("cut_size")))
-    return F.coalesce(F.when(key < F.col("cut"), size).when(key == F.col("cut"), at_cut), F.lit(0)).cast("long")
+    plan = F.col("_plan")
+    missing = plan["part"] - plan["cut_before"]
+    at_cut = F.floor(size * missing / F.when(plan["cut_size"] > 0, plan["cut_size"]))
+    return F.coalesce(F.when(key < plan["cut"], size).when(key == plan["cut"], at_cut), F.lit(0)).cast("long")
 
 
 def mixed(documents: DataFrame, seed: str = SEED, **settings) -> DataFrame:
@@ -143,9 +145,10 @@ def mixed(documents: DataFrame, seed: str = SEED, **settings) -> DataFrame:
     sizes = durable(measured(documents, seed))
     plan = drawing_plan(sizes, **settings)
     part = partial_words(F.col("size"), F.col("order_key"))
+    whole = F.col("_plan.whole")
     return sizes.join(plan, F.col("source").eqNullSafe(F.col("_source"))).select(
-        "doc_id", "source", "size", "source_size", "target", "whole",
-        part.alias("part_words"), (F.col("whole") * F.col("size") + part).alias("taken"),
+        "doc_id", "source", "size", "_plan.source_size", "_plan.target", whole.alias("whole"),
+        part.alias("part_words"), (whole * F.col("size") + part).alias("taken"),
     )
 
 
@@ -153,22 +156,18 @@ def mixture(documents: DataFrame, seed: str = SEED, **settings) -> DataFrame:
     """The mix itself: every document as often as it is taken, the one at the cut shortened.
 
     Columns are those of ``documents``; repeated rows are repetitions. A
-    shortened text keeps its first words up to the last one taken.
+    shortened text keeps its first words.
     """
     columns = documents.columns
     plan = drawing_plan(durable(measured(documents, seed)), **settings)
-    rows = documents.withColumns(
-        {"_size": n_words(F.col("text")), "_key": order_key(F.col("doc_id"), seed)}
-    ).join(plan.withColumnRenamed("source_size", "_source_size").withColumnRenamed("target", "_target"),
-           F.col("source").eqNullSafe(F.col("_source")))
-    part = partial_words(F.col("_size"), F.col("_key"))
-    pieces = F.when(
-        part > 0, F.concat(F.array_repeat(F.lit(-1).cast("long"), F.col("whole").cast("int")), F.array(part))
-    ).otherwise(F.array_repeat(F.lit(-1).cast("long"), F.col("whole").cast("int")))
-    taken = rows.withColumn("_part", F.explode(pieces))
+    size = n_words(F.col("text"))
+    part = partial_words(size, order_key(F.col("doc_id"), seed))
+    taken = documents.join(plan, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_part", part)
+    whole = F.array_repeat(F.lit(-1).cast("long"), F.col("_plan.whole").cast("int"))
+    taken = taken.withColumn("_take", F.explode(F.when(F.col("_part") > 0, F.concat(whole, F.array("_part"))).otherwise(whole)))
     words = F.filter(F.split("text", GAP), lambda w: w != "")
-    cut = F.array_join(F.slice(words, 1, F.col("_part").cast("int")), " ")
-    text = F.when((F.col("_part") < 0) | (F.col("_part") >= F.col("_size")), F.col("text")).otherwise(cut)
+    cut = F.array_join(F.slice(words, 1, F.col("_take").cast("int")), " ")
+    text = F.when((F.col("_take") < 0) | (F.col("_take") >= size), F.col("text")).otherwise(cut)
     out = taken.withColumn("text", text)
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.char_length("text").cast("long"))

@@ -257,12 +257,22 @@ def prepared(documents: DataFrame) -> DataFrame:
     return documents.select(key.alias("id"), F.xxhash64("text").alias("twin"), "text")
 
 
+def repeated_starts(documents: DataFrame, width: int = WINDOW) -> DataFrame:
+    """_id, _twin, starts: the repeated windows of a ``prepared`` row."""
+    found = repeats(documents, shared_symbols(documents, width), width)
+    return found.groupBy("id", "twin").agg(F.collect_list("start").alias("starts")).select(
+        F.col("id").alias("_id"), F.col("twin").alias("_twin"), "starts"
+    )
+
+
 def marked(documents: DataFrame, width: int = WINDOW) -> DataFrame:
-    """``prepared`` rows with the starts of their repeated windows."""
-    shared = shared_symbols(documents, width)
-    found = repeats(documents, shared, width).groupBy("id", "twin").agg(F.collect_list("start").alias("starts"))
-    found = found.select(F.col("id").alias("_id"), F.col("twin").alias("_twin"), "starts")
-    return documents.join(found, (F.col("id") == F.col("_id")) & (F.col("twin") == F.col("_twin")), "left")
+    """``prepared`` rows with the starts of their repeated windows.
+
+    Rows meet by id alone, so that this join reads the texts that ``repeats``
+    has shuffled already; twins are told apart after it.
+    """
+    same_text = F.col("twin").bitwiseXOR(F.col("_twin")) == 0
+    return documents.join(repeated_starts(documents, width), (F.col("id") == F.col("_id")) & same_text, "left")
 
 
 def kept_words(text: str | None, starts, width: int = WINDOW) -> tuple[int, list[bytes]]:
@@ -279,23 +289,22 @@ def kept_words(text: str | None, starts, width: int = WINDOW) -> tuple[int, list
 
 
 def without_repeats(documents: DataFrame, width: int = WINDOW) -> DataFrame:
-    """Per document its id, number of words, number of removed words and the text that is left.
+    """The documents, all columns, with repeated passages cut out of the text.
 
     Texts that lose nothing are kept as they are, white space included.
     """
+    small_batches(documents.sparkSession)
+    key, twin = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), F.xxhash64("text")
+    found = repeated_starts(prepared(documents), width)
 
-    def cut(batches):
-        for frame in batches:
-            out = [kept_words(t, s, width) for t, s in zip(frame["text"], frame["starts"], strict=True)]
-            yield pd.DataFrame({
-                "id": frame["id"],
-                "n_words": [n for n, _ in out],
-                "n_removed": [n - len(kept) for n, kept in out],
-                "text": [t if n == len(kept) else b" ".join(kept).decode() for t, (n, kept) in zip(frame["text"], out, strict=True)],
-            })
+    @F.pandas_udf("string")
+    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, starts in batches:
+            out = [kept_words(t, s, width) for t, s in zip(texts, starts, strict=True)]
+            yield pd.Series([t if n == len(kept) else b" ".join(kept).decode() for t, (n, kept) in zip(texts, out, strict=True)])
 
-    rows = marked(prepared(documents), width).select("id", "text", "starts")
-    return rows.mapInPandas(cut, "id long, n_words long, n_removed long, text string")
+    rows = documents.join(found, (key == F.col("_id")) & (twin == F.col("_twin")), "left")
+    return rows.withColumn("text", cut("text", "starts")).select(*documents.columns)
 
 
 def digests(documents: DataFrame, width: int = WINDOW) -> DataFrame:

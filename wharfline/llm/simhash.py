@@ -30,7 +30,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wharfline.functions.durable import durable
@@ -70,7 +70,7 @@ def fingerprint_text(text: str | None, shingle: int = SHINGLE, seed: int = SEED)
 
 
 def fingerprints(documents: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """Per document its 64-bit fingerprint as a signed integer."""
+    """Per document its 64-bit fingerprint as a signed integer; ``twin`` tells texts of equal id apart."""
     small_batches(documents.sparkSession)
 
     def hashed(batches):
@@ -78,10 +78,12 @@ def fingerprints(documents: DataFrame, shingle: int = SHINGLE, seed: int = SEED)
             texts = [t if isinstance(t, str) else None for t in frame["text"]]
             yield pd.DataFrame({
                 "doc_id": frame["doc_id"].astype("Int64"),
+                "twin": frame["twin"],
                 "code": np.array([fingerprint_text(t, shingle, seed) for t in texts], np.int64),
             })
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInPandas(hashed, "doc_id long, code long")
+    rows = documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("twin"), "text")
+    return rows.mapInPandas(hashed, "doc_id long, twin long, code long")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -236,7 +238,7 @@ def links(codes: DataFrame, hot: int = HOT) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, hot: int = HOT) -> DataFrame:
-    """Per document its code and the smallest id that links reach from it."""
+    """Per document its code and the smallest id that links reach from it; ``root`` is the same within a component."""
     rows = durable(fingerprints(documents))
     codes = durable(rows.groupBy("code").agg(F.min("doc_id").alias("low")))
     found = durable(links(codes.select("code"), hot).distinct())
@@ -247,8 +249,25 @@ def near_duplicates(documents: DataFrame, hot: int = HOT) -> DataFrame:
         )
     )
     lowest = placed.groupBy("root").agg(F.min("low").alias("component_id")).withColumnRenamed("root", "_root")
-    named = placed.join(lowest, F.col("root") == F.col("_root")).select(F.col("code").alias("_code"), "component_id")
-    return rows.join(named, F.col("code") == F.col("_code")).select("doc_id", "code", "component_id")
+    named = placed.join(lowest, F.col("root") == F.col("_root")).select(F.col("code").alias("_code"), "root", "component_id")
+    return rows.join(named, F.col("code") == F.col("_code")).select("doc_id", "twin", "code", "root", "component_id")
+
+
+def one_of_each(documents: DataFrame, hot: int = HOT) -> DataFrame:
+    """All columns of one document per component: the one of smallest id.
+
+    Where rows share that id, one of them stays; null ids stay only where a
+    component has no other.
+    """
+    first = near_duplicates(documents, hot).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = first.groupBy("root").agg(F.min(F.struct("doc_id", "twin")).alias("_first")).select("_first.*")
+    chosen = chosen.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("_key"), F.col("twin").alias("_twin"))
+    keyed = documents.withColumns(
+        {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), "_hash": F.xxhash64("text")}
+    )
+    rows = keyed.join(chosen.distinct(), (F.col("_id") == F.col("_key")) & (F.col("_hash") == F.col("_twin")))
+    copies = Window.partitionBy("_id", "_hash").orderBy("_hash")
+    return rows.withColumn("_nth", F.row_number().over(copies)).where("_nth = 1").select(*documents.columns)
 
 
 @query("op4_simhash")
