@@ -27,6 +27,7 @@ def training_rows(
         .orderBy(F.md5(F.col("_id").cast("string")), "label")
         .limit(rows)
     )
-    return documents.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select(
+    texts = documents.select("doc_id", "text")
+    return texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select(
         F.coalesce("text", F.lit("")).alias("text"), "label"
     )

@@ -142,7 +142,7 @@ def _pair_tree(g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, float]:
 
 def fit(values: np.ndarray, labels: np.ndarray) -> Model:
     share = float(labels.mean()) if len(labels) else 0.5
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         flat = float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))) if len(labels) else 0.0
         return Model([], [], [], [], [], flat)
     base = float(np.log(share / (1 - share)))

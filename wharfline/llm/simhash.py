@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wharfline.functions.durable import durable
-from wharfline.llm.common import query, small_batches, table
+from wharfline.llm.common import packed, query, small_batches, table, unpacked
 from wharfline.llm.unions import link
 from wharfline.operators.network import components
 
@@ -230,8 +230,8 @@ def links(codes: DataFrame, hot: int = HOT) -> DataFrame:
         for frame in whole_buckets(frames, "bucket"):
             buckets, values = frame["bucket"].to_numpy(), frame["code"].to_numpy(np.int64)
             src, dst = Forest(buckets, values).join()
-            if len(src):
-                yield pd.DataFrame({"src": values[src], "dst": values[dst]})
+            edges = pd.DataFrame({"src": values[src], "dst": values[dst]})
+            yield edges[edges["src"] != edges["dst"]]  # a code meets itself in another bucket of the task
 
     dealt = bucketed(codes, hot).repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInPandas(joined, "src long, dst long")
@@ -262,12 +262,13 @@ def one_of_each(documents: DataFrame, hot: int = HOT) -> DataFrame:
     first = near_duplicates(documents, hot).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     chosen = first.groupBy("root").agg(F.min(F.struct("doc_id", "twin")).alias("_first")).select("_first.*")
     chosen = chosen.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("_key"), F.col("twin").alias("_twin"))
-    keyed = documents.withColumns(
-        {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), "_hash": F.xxhash64("text")}
+    row = F.col("_row")
+    keyed = packed(documents).withColumns(
+        {"_id": F.coalesce(row["doc_id"].cast("long"), F.lit(-(2**63))), "_hash": F.xxhash64(row["text"])}
     )
     rows = keyed.join(chosen.distinct(), (F.col("_id") == F.col("_key")) & (F.col("_hash") == F.col("_twin")))
     copies = Window.partitionBy("_id", "_hash").orderBy("_hash")
-    return rows.withColumn("_nth", F.row_number().over(copies)).where("_nth = 1").select(*documents.columns)
+    return unpacked(rows.withColumn("_nth", F.row_number().over(copies)).where("_nth = 1"), documents.columns)
 
 
 @query("op4_simhash")
