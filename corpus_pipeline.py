@@ -35,8 +35,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that documents of smaller id have, too."""
-    left = recompression.without_repeats(docs)
-    return left.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    return recompression.without_repeats(docs)
 
 
 def mixed_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -48,3 +48,13 @@ def partitions(spark: SparkSession) -> int:
 def small_batches(spark: SparkSession, size: str = "16m") -> None:
     """Bound what one Arrow batch of texts takes in a Python worker, however long the texts are."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
+def packed(documents: DataFrame) -> DataFrame:
+    """All columns in one struct ``_row``, so that names an operator adds cannot clash with them."""
+    return documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row"))
+
+
+def unpacked(rows: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns of ``_row`` again, some of them replaced."""
+    return rows.select(*[(changed[c] if c in changed else F.col("_row")[c]).alias(c) for c in columns])

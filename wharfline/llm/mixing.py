@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from wharfline.functions.durable import durable
 from wharfline.functions.ordering import row_positions
-from wharfline.llm.common import GAP, n_words, query, table
+from wharfline.llm.common import GAP, n_words, packed, query, table, unpacked
 
 SEED = "mix-1"
 BUCKETS = 4096  # three hex digits of the order key
@@ -158,20 +158,20 @@ def mixture(documents: DataFrame, seed: str = SEED, **settings) -> DataFrame:
     Columns are those of ``documents``; repeated rows are repetitions. A
     shortened text keeps its first words.
     """
-    columns = documents.columns
     plan = drawing_plan(durable(measured(documents, seed)), **settings)
-    size = n_words(F.col("text"))
-    part = partial_words(size, order_key(F.col("doc_id"), seed))
-    taken = documents.join(plan, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_part", part)
+    text = F.col("_row.text")
+    sized = packed(documents).withColumns({"_size": n_words(text), "_key": order_key(F.col("_row.doc_id"), seed)})
+    drawn = sized.join(plan, F.col("_row.source").eqNullSafe(F.col("_source"))).withColumn(
+        "_part", partial_words(F.col("_size"), F.col("_key"))
+    )
     whole = F.array_repeat(F.lit(-1).cast("long"), F.col("_plan.whole").cast("int"))
-    taken = taken.withColumn("_take", F.explode(F.when(F.col("_part") > 0, F.concat(whole, F.array("_part"))).otherwise(whole)))
-    words = F.filter(F.split("text", GAP), lambda w: w != "")
-    cut = F.array_join(F.slice(words, 1, F.col("_take").cast("int")), " ")
-    text = F.when((F.col("_take") < 0) | (F.col("_take") >= size), F.col("text")).otherwise(cut)
-    out = taken.withColumn("text", text)
-    if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast("long"))
-    return out.select(*columns)
+    takes = F.when(F.col("_part") > 0, F.concat(whole, F.array("_part"))).otherwise(whole)
+    taken = drawn.select("_row", "_size", F.explode(takes).alias("_take"))
+    words = F.filter(F.split(text, GAP), lambda w: w != "")
+    shortened = F.array_join(F.slice(words, 1, F.col("_take").cast("int")), " ")
+    new = F.when((F.col("_take") < 0) | (F.col("_take") >= F.col("_size")), text).otherwise(shortened)
+    taken = taken.withColumn("_text", new)
+    return unpacked(taken, documents.columns, text=F.col("_text"), n_chars=F.char_length("_text").cast("long"))
 
 
 SQL_MIX = """
