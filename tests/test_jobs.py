@@ -121,7 +121,7 @@ def test_status_and_pivot(spark):
     rows = df.select(costs.order_status("ship", "ordered", F.lit("2023-02-01")).alias("s")).collect()
     assert [r["s"] for r in rows] == ["Delivered", "In Transit", "Pending"]
     sales = spark.createDataFrame([("A", "N", 1.0), ("A", "N", 2.0), ("B", "S", 4.0)], "p string, r string, q double")
-    assert by(agg.pivot_sum(sales, "p", "r", ["N", "S"], "q"), "p") == [{"p": "A", "N": 3.0, "S": 0.0}, {"p": "B", "N": 0.0, "S": 4.0}]
+    assert by(agg.pivot_sum(sales, "p", "r", "q", ["N", "S"]), "p") == [{"p": "A", "N": 3.0, "S": 0.0}, {"p": "B", "N": 0.0, "S": 4.0}]
 
 
 @pytest.fixture(scope="module")

@@ -41,7 +41,8 @@ def fits_one_state(df: DataFrame, keys: Sequence[str], limit: int = STATE_ROWS)
 
 
 def built_in_quantile(column: str, probability: float) -> Column:
-    return F.percentile(F.col(column).cast("double"), probability)
+    value = F.col(column).cast("double")
+    return F.percentile(F.when(~F.isnan(value), value), probability)
 
 
 def exact_quantiles(
@@ -52,7 +53,8 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per key with the columns of ``wanted``: output name -> (value column, probability).
 
-    ``method`` is ``built_in``, ``banded``, or ``auto`` to decide by the largest group.
+    ``method`` is ``built_in``, ``banded``, or ``auto`` to decide by the largest group; the
+    result is the same. NaN counts as missing; a group without values gets NULL.
     """
     if method == "auto":
         method = "built_in" if fits_one_state(df, keys) else "banded"
@@ -127,4 +129,6 @@ def banded_quantiles(
             F.max(F.when(F.col("_measure") == v, rank - F.floor(rank))).alias(f"_f{i}"),
         ]
         results.append((F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(name))
-    return ordered.groupBy(*keys).agg(*aggregates).select(*keys, *results)
+    found = ordered.groupBy(*keys).agg(*aggregates).select(*keys, *results)
+    # A group without any value is a row, too; the missing row of an ungrouped frame comes from the aggregate.
+    return drop_null_keys(df, keys).select(*keys).distinct().join(found, list(keys), "left") if keys else found

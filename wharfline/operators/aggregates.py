@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wharfline.functions.joins import join_statistics
 from wharfline.functions.dates import period_start
 from wharfline.functions.expressions import drop_null_keys, elapsed_days, flag, numeric_columns, ratio
 from wharfline.functions.quantiles import exact_quantiles
@@ -95,9 +96,31 @@ def mean_by(df: DataFrame, keys: Sequence[str], *values: str) -> DataFrame:
     return drop_null_keys(df, keys).groupBy(*keys).agg(*[F.avg(v).alias(v) for v in values])
 
 
-def pivot_sum(df: DataFrame, rows: str, columns: str, values: Sequence[str], measure: str) -> DataFrame:
-    """Cross table of sums with 0 for empty cells; the column values are given, so no scan finds them."""
-    return drop_null_keys(df, [rows]).groupBy(rows).pivot(columns, list(values)).agg(F.sum(measure)).na.fill(0.0)
+PIVOT_COLUMNS = 1000
+
+
+def pivot_values(df: DataFrame, column: str) -> list[str]:
+    """The sorted values of a column that is to become a header; more than ``PIVOT_COLUMNS`` are an error."""
+    found = drop_null_keys(df, [column]).select(column).distinct().limit(PIVOT_COLUMNS + 1).collect()
+    if len(found) > PIVOT_COLUMNS:
+        raise ValueError(f"{column} has more than {PIVOT_COLUMNS} values, too many for columns")
+    return sorted(r[0] for r in found)
+
+
+def pivot_sum(df: DataFrame, rows: str, columns: str, measure: str, values: Sequence[str] | None = None) -> DataFrame:
+    """Cross table of sums with 0 for empty cells.
+
+    ``values`` may come from a dimension table (``pivot_values``), which saves a
+    scan of the facts; a row with another value stops the query instead of
+    vanishing from the table.
+    """
+    values = pivot_values(df, columns) if values is None else list(values)
+    listed = F.col(columns).isNull() | F.col(columns).isin(values)
+    checked = F.when(listed, F.col(columns)).otherwise(
+        F.raise_error(F.concat(F.lit(f"not listed in {columns}: "), F.col(columns).cast("string")))
+    )
+    cells = drop_null_keys(df, [rows]).withColumn(columns, checked)
+    return cells.groupBy(rows).pivot(columns, values).agg(F.sum(measure)).na.fill(0.0)
 
 
 def group_quadrants(df: DataFrame, key: str, x: str, y: str) -> DataFrame:
@@ -162,7 +185,7 @@ def histogram(df: DataFrame, value: str, bins: int = 20, keys: Sequence[str] = (
     clean = drop_null_keys(df, keys).where(F.col(value).isNotNull()).withColumn("_v", F.col(value).cast("double"))
     bounds = clean.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     if keys:
-        placed = clean.join(bounds, list(keys))
+        placed = join_statistics(clean, bounds, keys)
     else:
         one = bounds.select(F.struct("_lo", "_hi")).scalar()
         placed = clean.withColumns({"_lo": one.getField("_lo"), "_hi": one.getField("_hi")})
@@ -193,7 +216,7 @@ def box_statistics(df: DataFrame, value: str, keys: Sequence[str] = (), method:
     wanted = {"q1": 0.25, "median": 0.5, "q3": 0.75}
     quartiles = exact_quantiles(clean, keys, {n: ("_v", p) for n, p in wanted.items()}, method)
     if keys:
-        joined = clean.join(quartiles, list(keys))
+        joined = join_statistics(clean, quartiles, keys)
     else:
         one = quartiles.select(F.struct(*wanted)).scalar()
         joined = clean.withColumns({n: one.getField(n) for n in wanted})

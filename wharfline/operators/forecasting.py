@@ -298,7 +298,8 @@ def fit_arima(
     values and innovations the coefficients; seasonal lags enter multiplied
     out. With ``candidates`` of (p, q) the pair with the smallest AIC is taken
     per series: all of them are sub-matrices of one matrix of products. The
-    model has a constant when nothing is differenced.
+    model has a constant when nothing is differenced. A series too short for an
+    order has NULL coefficients and no forecast.
     """
     keys = list(keys)
     p, d, q = order
@@ -334,7 +335,8 @@ def fit_arima(
 
     stage = cross_products(lagged, keys, first_names).select(*keys, autoregression("gram").getField("coef").alias("_long"))
     expected = dot(F.col("_long"), [F.col(c) for c in first_names[:-1]])
-    innovated = _match(lagged, stage, keys).withColumn("_e", F.col("_w") - expected)
+    matched = lagged.join(stage, keys, "left") if keys else _match(lagged, stage, keys)
+    innovated = matched.withColumn("_e", F.col("_w") - expected)
     innovated = innovated.withColumns({f"_e{k}": F.lag("_e", k).over(window) for k in ma})
     names = [*(["_one"] if constant else []), *[f"_w{k}" for k in ar], *[f"_e{k}" for k in ma]]
     head = 1 if constant else 0
@@ -362,9 +364,11 @@ def fit_arima(
     def select(matrices: pd.Series, counts: pd.Series) -> pd.DataFrame:
         rows = []
         for flat, n in zip(matrices, counts):
-            m = np.asarray(flat, dtype=float).reshape(full, full)
+            m = None if flat is None else np.asarray(flat, dtype=float).reshape(full, full)
             best = None
             for cp, cq, index in choices:
+                if flat is None or n <= len(index) + 1:  # too few rows for this order
+                    continue
                 beta = np.zeros(full - 1)
                 if index:
                     block = np.ix_(index, index)
@@ -378,14 +382,16 @@ def fit_arima(
                 )
                 if best is None or found[6] < best[6]:
                     best = found
-            rows.append(best)
-        return pd.DataFrame(rows, columns=[f.name for f in result.fields])
+            rows.append(best or (None,) * len(result.fields))
+        return pd.DataFrame(rows, columns=[f.name for f in result.fields]).astype(object)
 
     if names:
         second = cross_products(innovated, keys, [*names, "_w"])
     else:
         kept = innovated.where(F.col("_w").isNotNull())
         second = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.array(F.sum(F.col("_w") * F.col("_w"))).alias("gram"))
+    if keys:  # also the series without a single complete row
+        second = base.select(*keys).distinct().join(second, keys, "left")
     fits = second.withColumn("_fit", select("gram", "n")).select(*keys, "n", "_fit.*")
     # The newest values and innovations are all a forecast needs: a bounded tail per series.
     need = max([len(poly) - 1, *ar, *ma, 1])
@@ -423,6 +429,9 @@ def arima_forecast(
     ) -> pd.Series:
         results = []
         for c, a, b, al, bl, dif, s2, y, w, e in zip(const, ar, ma, ar_lags, ma_lags, poly, sigma2, ys, ws, es):
+            if a is None:
+                results.append(None)
+                continue
             y, w, e = list(y)[::-1], list(w)[::-1], list(e)[::-1]
             phi = np.zeros(max([*al, 0]) + 1)
             phi[0] = 1.0
@@ -445,7 +454,8 @@ def arima_forecast(
         "constant", "ar", "ma", "ar_lags", "ma_lags", "difference", "sigma2", "last_y", "last_w", "last_e"
     )
     z = normal_quantile(1 - alpha / 2)
-    steps = model.withColumn("_path", path).withColumn("_h", F.explode(F.sequence(F.lit(1), F.lit(periods))))
+    steps = model.withColumn("_path", path).where(F.col("_path").isNotNull())
+    steps = steps.withColumn("_h", F.explode(F.sequence(F.lit(1), F.lit(periods))))
     value, error = (F.get("_path", F.col("_h") - 1).getField(c) for c in ("forecast", "error"))
     return steps.select(
         *keys,

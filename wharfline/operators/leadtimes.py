@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wharfline.functions.expressions import elapsed_days, flag, ratio, require_columns
+from wharfline.functions.joins import join_statistics
 from wharfline.functions.quantiles import banded_quantiles, built_in_quantile, fits_one_state
 
 ANOMALY_LIMIT = 2.5
@@ -35,14 +36,14 @@ def calculate_lead_times(df: DataFrame) -> DataFrame:
 
     A region may hold a third of all rows, so its statistics are aggregated and
     joined back instead of sorted in one window task. Rows without a region
-    drop out, as in any inner join on it.
+    drop out, as in any inner join on it. The rows are not shuffled for that.
     """
     if not {"order_date", "delivery_date"} <= set(df.columns):
         return df
     out = lead_time_days(df)
     if "region" not in df.columns:
         return out
-    scored = out.join(group_statistics(out, ["region"]), "region")
+    scored = join_statistics(out, group_statistics(out, ["region"]), ["region"])
     # A missing lead time has a missing score; a group without spread scores 0.
     score = F.when(F.col("std") > 0, (F.col("lead_time") - F.col("mean")) / F.col("std")).otherwise(F.lit(0.0))
     return scored.withColumn("lead_time_z_score", score).withColumn(
@@ -99,7 +100,7 @@ def calculate_order_statistics(
     stats = grouped.groupBy(*keys).agg(*aggregates)
     if medians:
         stats = stats.join(banded_quantiles(grouped, keys, medians), keys, "left")
-    return df.join(stats, keys) if join_back else stats
+    return join_statistics(df, stats, keys) if join_back else stats
 
 
 def on_time_share(df: DataFrame, keys: Sequence[str], done: str, due: str, name: str = "on_time_percentage") -> DataFrame:

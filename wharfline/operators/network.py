@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -177,7 +178,7 @@ def path_metrics(
     sources = sample if sample is not None else everyone
     rounds = max(1, math.ceil(n * sources.count() / pairs_per_round)) if n else 1
     totals = None
-    for i in range(rounds):
+    for i in count():
         mine = sources if rounds == 1 else sources.where(F.pmod(F.xxhash64("node"), F.lit(rounds)) == i)
         levels = _search(hops, mine)
         reached = levels[0]
@@ -301,12 +302,15 @@ def _modularity(weights: DataFrame, labels: DataFrame, total: float, resolution:
     return q or 0.0
 
 
-def _improve(weights: DataFrame, resolution: float, total: float, rounds: int) -> tuple[DataFrame, float]:
-    """Move nodes to the neighbouring community with the largest gain, half of them per round."""
+def _improve(weights: DataFrame, resolution: float, total: float) -> tuple[DataFrame, float]:
+    """Move nodes to the neighbouring community with the largest gain, half of them per round.
+
+    Ends when two rounds in a row, which give every node its turn, bring no gain.
+    """
     strength = durable(weights.groupBy(F.col("src").alias("node")).agg(F.sum("weight").alias("k")))
     labels = durable(strength.select("node", F.col("node").alias("community")))
     best, idle = _modularity(weights, labels, total, resolution), 0
-    for i in range(rounds):
+    for i in count():
         own = labels.join(strength, "node")
         sizes = own.groupBy("community").agg(F.sum("k").alias("size"))
         links = (
@@ -337,7 +341,7 @@ def _improve(weights: DataFrame, resolution: float, total: float, rounds: int) -
     return labels, best
 
 
-def communities(edges: DataFrame, resolution: float = 1.0, rounds: int = 12, levels: int = 6) -> DataFrame:
+def communities(edges: DataFrame, resolution: float = 1.0) -> DataFrame:
     """Community of every node of the undirected graph: (node, community, modularity).
 
     Nodes move by modularity gain, then each community becomes one node, until
@@ -353,10 +357,8 @@ def communities(edges: DataFrame, resolution: float = 1.0, rounds: int = 12, lev
     weights = durable(once.select(F.inline(ends)))
     total = weights.agg(F.sum("weight")).first()[0] or 0.0
     assigned, best = None, None
-    for _ in range(levels):
-        if not total:
-            break
-        labels, score = _improve(weights, resolution, total, rounds)
+    while total:
+        labels, score = _improve(weights, resolution, total)
         if best is not None and score <= best + 1e-9:
             break
         best = score

@@ -430,7 +430,8 @@ PIVOT = ", ".join(
 
 @query("stock_heatmap", with_view(STAR, f"\nSELECT product, {PIVOT} FROM star_inventory GROUP BY 1"))
 def stock_heatmap(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(agg.pivot_sum(views.star_inventory(spark, folder), "product", "region", REGIONS, "quantity"))
+    regions = agg.pivot_values(views.table(spark, folder, "region"), "r_name")
+    return rounded(agg.pivot_sum(views.star_inventory(spark, folder), "product", "region", "quantity", regions))
 
 
 @query(

@@ -74,13 +74,9 @@ def discovered_datasets(spark: SparkSession, folder: str) -> DataFrame:
     base = scratch_path(spark, "zone")
     for name in ("nation", "region", "supplier"):
         files.save_data(views.table(spark, folder, name), f"{base}/{name}.csv")
-    found = None
-    for name in ("nation", "region", "supplier"):
-        rows = spark.read.option("header", True).csv(f"{base}/{name}.csv").select(
-            F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.csv/[^/]*$", 1).alias("dataset")
-        )
-        found = rows if found is None else found.unionByName(rows)
-    return found.groupBy("dataset").agg(F.count(F.lit(1)).alias("rows"))
+    listed = files.discover(spark, base).select("dataset").distinct()
+    rows = files.read_folder(spark, base, "first_column string").groupBy("dataset").agg(F.count(F.lit(1)).alias("rows"))
+    return listed.join(rows, "dataset").select("dataset", "rows")
 
 
 @query(
@@ -93,7 +89,7 @@ def registered_zone(spark: SparkSession, folder: str) -> DataFrame:
     """Orders written by year, registered as a partitioned table, and queried through it."""
     orders = views.table(spark, folder, "orders").withColumn("order_year", F.year("o_orderdate"))
     path = tables.write_zone(orders, scratch_path(spark, "orders_zone"), ["order_year"])
-    zone = tables.register_zone(spark, "wharfline_orders_zone", path, ["order_year"])
+    zone = tables.register_zone(spark, f"wharfline_orders_{path[-32:]}", path, ["order_year"])
     return zone.groupBy("order_year").agg(
         F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("value")
     )

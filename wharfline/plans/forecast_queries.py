@@ -179,7 +179,9 @@ def demand_model_ranking(spark: SparkSession, folder: str) -> DataFrame:
     """Fitted models against the baseline on the last fifth of every series."""
     split = durable(position_split(views.daily_demand(spark, folder), KEYS, ["ds"]))
     train = split.where(F.col("split") == "train")
-    ahead = 600
+    last = F.max(F.when(F.col("split") == "train", F.col("ds")))
+    spans = split.groupBy(*KEYS).agg(F.datediff(F.max("ds"), last).alias("days"))
+    ahead = spans.agg(F.max("days")).first()[0]  # as far as any series goes
     models = {
         "flat": fc.flat_forecast(split, KEYS),
         "holt_winters": fc.holt_winters_forecast(fc.fit_holt_winters(train, KEYS), KEYS, ahead),

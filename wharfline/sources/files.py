@@ -7,7 +7,7 @@ import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,22 +91,32 @@ def load_tables(spark: SparkSession, folder: str, schemas: dict[str, T.StructTyp
 
 
 def discover(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """One row per matching file: dataset, path, bytes. File contents are not read."""
+    """One row per matching file: dataset, path, bytes. File contents are not read.
+
+    A dataset is a file of the folder, or a folder of part files such as
+    ``save_data`` writes; it is named after the first step below the folder.
+    """
     found = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", True)
         .load(folder)
         .select("path", F.col("length").alias("bytes"))
     )
-    stem = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")
-    return found.select(stem.alias("dataset"), "path", "bytes")
+    return found.select(_dataset_of(F.col("path"), folder).alias("dataset"), "path", "bytes")
+
+
+def _dataset_of(path: Column, folder: str) -> Column:
+    """The first step of a path below a folder, without extension."""
+    below = F.element_at(F.split(path, f"/{re.escape(folder.rstrip('/').rsplit('/', 1)[-1])}/"), -1)
+    return F.regexp_replace(F.get(F.split(below, "/"), F.lit(0)), r"\.[^.]*$", "")
 
 
 def read_folder(spark: SparkSession, folder: str, schema: T.StructType | str, pattern: str = "*.csv") -> DataFrame:
     """All matching csv files of a folder with the dataset each row came from."""
-    rows = spark.read.schema(schema).option("header", True).option("pathGlobFilter", pattern).csv(folder)
-    stem = F.regexp_replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), r"\.[^.]*$", "")
-    return rows.withColumn("dataset", stem)
+    options = {"header": True, "pathGlobFilter": pattern, "recursiveFileLookup": True}
+    rows = spark.read.schema(schema).options(**options).csv(folder)
+    return rows.withColumn("dataset", _dataset_of(F.col("_metadata.file_path"), folder))
 
 
 def save_predictions(df: DataFrame, path: str) -> str:
