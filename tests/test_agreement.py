@@ -1,5 +1,7 @@
 """Methods that are chosen by size or width give the same result."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from wharfline.functions.quantiles import exact_quantiles
 from wharfline.operators import aggregates as agg
 from wharfline.operators import forecasting as fc
 from wharfline.operators import leastsquares
+from wharfline.operators.series import without_gaps
 from wharfline.sources import files
 
 GAPS = [("a", 1.0), ("a", float("nan")), ("a", 3.0), ("b", None), ("b", float("nan")), ("c", 2.0), ("c", None), (None, 5.0)]
@@ -68,3 +71,21 @@ def test_datasets_that_are_folders_are_found(spark, tmp_path):
     counts = files.read_folder(spark, f"{tmp_path}/zone", "a int, b string").groupBy("dataset").count()
     assert found == {"first", "second", "third"}
     assert {r["dataset"]: r["count"] for r in by(counts)} == {"first": 2, "second": 1, "third": 1}
+
+
+def test_gaps_do_not_shift_the_season(spark):
+    """A weekly pattern without noise, every tenth day missing: the days ahead are right on the calendar."""
+    days = [(i, float(10 * (i % 7) + 5)) for i in range(140) if i % 10 != 9]
+    panel = spark.createDataFrame(days, "i int, y double").select(
+        F.lit("a").alias("k"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("i")).alias("ds"), "y"
+    )
+    ahead = by(fc.holt_winters_forecast(fc.fit_holt_winters(panel, ["k"], 7), ["k"], 7), "ds")
+    start = dt.date(2024, 1, 1)
+    for r in ahead:
+        assert r["forecast"] == pytest.approx(10 * ((r["ds"] - start).days % 7) + 5, abs=1e-3)
+
+
+def test_gaps_are_filled_on_the_line(spark):
+    rows = [("a", "2024-01-01", 1.0), ("a", "2024-01-04", 4.0), ("b", "2024-01-01", 2.0)]
+    panel = spark.createDataFrame(rows, "k string, d string, y double").select("k", F.col("d").cast("date").alias("ds"), "y")
+    assert [r["y"] for r in by(without_gaps(panel, ["k"]), "k", "ds")] == [1.0, 2.0, 3.0, 4.0, 2.0]

@@ -23,7 +23,7 @@ from wharfline.functions.expressions import ratio
 from wharfline.functions.normal import normal_quantile
 from wharfline.operators.filters import position_split
 from wharfline.operators.leastsquares import cross_products, dot, vector_products
-from wharfline.operators.series import series_window
+from wharfline.operators.series import load_panel, series_window, without_gaps
 
 DOUBLES = T.ArrayType(T.DoubleType())
 
@@ -197,9 +197,14 @@ def fit_holt_winters(
     seasonal_periods: int = 7,
     trend: str | None = "add",
     seasonal: str | None = "add",
+    freq: str | None = "D",
 ) -> DataFrame:
     """Level, slope and seasonal state of each series under its best smoothing parameters.
 
+    The series is laid on its calendar grid first, so that a season counts
+    dates; the recursion steps over missing values. ``freq=None`` takes the rows
+    as consecutive.
+
     The recursion runs over one series of the panel, as long as the calendar,
     for a grid of parameters at once; the grid is narrowed twice around the
     best point. Series shorter than two seasons are left out.
@@ -242,6 +247,8 @@ def fit_holt_winters(
         return pd.DataFrame([row], columns=columns)
 
     series = panel.select(*group, F.col("ds").cast("date").alias("ds"), F.col("y").cast("double").alias("y"))
+    if freq:
+        series = load_panel(series, "ds", "y", group, freq).select(*group, "ds", "y")
     fitted = series.groupBy(*group).applyInPandas(fit, schema)
     return fitted if keys else fitted.drop("_all")
 
@@ -291,9 +298,13 @@ def fit_arima(
     order: tuple[int, int, int] = (1, 1, 1),
     seasonal_order: tuple[int, int, int, int] | None = None,
     candidates: Sequence[tuple[int, int]] | None = None,
+    freq: str | None = "D",
 ) -> DataFrame:
     """Two-stage least-squares (S)ARIMA of every series, with AIC and BIC.
 
+    Lags count steps of the calendar grid; gaps are filled on the line between
+    their neighbours. ``freq=None`` takes the rows as consecutive.
+
     A long autoregression gives the innovations, a second regression on lagged
     values and innovations the coefficients; seasonal lags enter multiplied
     out. With ``candidates`` of (p, q) the pair with the smallest AIC is taken
@@ -314,6 +325,9 @@ def fit_arima(
     for i, c in enumerate(poly):
         if c:
             differenced = differenced + F.lag("y", i).over(window) * float(c)
+    panel = panel.where(F.col("y").isNotNull())
+    if freq:
+        panel = without_gaps(panel, keys, freq)
     base = (
         durable(panel.where(F.col("y").isNotNull()).select(*keys, "ds", F.col("y").cast("double").alias("y")))
         .withColumns({"_w": differenced, "_one": F.lit(1.0)})

@@ -49,6 +49,19 @@ def load_panel(
     return spine.join(panel, [*keys, "ds"], "left")
 
 
+def without_gaps(panel: DataFrame, keys: Sequence[str] = (), freq: str = "D") -> DataFrame:
+    """The panel on its calendar grid, missing values on the line between their neighbours."""
+    keys = list(keys)
+    grid = load_panel(panel, "ds", "y", keys, freq)
+    known = F.when(F.col("y").isNotNull(), F.struct("ds", "y"))
+    back = Window.partitionBy(*keys).orderBy("ds").rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(*keys).orderBy("ds").rowsBetween(0, Window.unboundedFollowing)
+    both = grid.withColumns({"_a": F.last(known, ignorenulls=True).over(back), "_b": F.first(known, ignorenulls=True).over(ahead)})
+    span, gone = F.datediff("_b.ds", "_a.ds"), F.datediff("ds", "_a.ds")
+    line = F.col("_a.y") + (F.col("_b.y") - F.col("_a.y")) * F.coalesce(F.try_divide(gone, span), F.lit(0.0))
+    return both.withColumn("y", line).drop("_a", "_b")
+
+
 def series_window(keys: Sequence[str]) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy("ds")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wharfline.functions.durable import durable
 from wharfline.operators import forecasting as fc
 from wharfline.operators.filters import position_split
+from wharfline.operators.series import load_panel
 from wharfline.plans.order_queries import rounded
 from wharfline.plans.registry import query
 from wharfline.plans.sql_views import DEMAND, EVENTS, WIDE, with_view
@@ -16,15 +17,20 @@ from wharfline.sources import views
 KEYS = ["region"]
 
 
+def regular_demand(spark: SparkSession, folder: str) -> DataFrame:
+    """Demand per region on every day of its calendar; a day without orders has none."""
+    return load_panel(views.daily_demand(spark, folder), "ds", "y", KEYS, "D").fillna(0.0, ["y"])
+
+
 @query("demand_stationarity")
 def demand_stationarity(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(fc.check_stationarity(views.daily_demand(spark, folder), KEYS), 6)
+    return rounded(fc.check_stationarity(regular_demand(spark, folder), KEYS), 6)
 
 
 @query("demand_holt_winters")
 def demand_holt_winters(spark: SparkSession, folder: str) -> DataFrame:
     """History and a week ahead per region, weekly season."""
-    panel = views.daily_demand(spark, folder)
+    panel = regular_demand(spark, folder)
     forecast = fc.holt_winters_forecast(fc.fit_holt_winters(panel, KEYS, 7), KEYS, 7)
     return rounded(fc.forecast_frame(panel, forecast, KEYS), 4)
 
@@ -40,20 +46,20 @@ def stock_holt_winters(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("demand_arima")
 def demand_arima(spark: SparkSession, folder: str) -> DataFrame:
-    model = fc.fit_arima(views.daily_demand(spark, folder), KEYS, (1, 1, 1))
+    model = fc.fit_arima(regular_demand(spark, folder), KEYS, (1, 1, 1))
     return rounded(fc.arima_forecast(model, KEYS, 30), 4)
 
 
 @query("demand_sarima")
 def demand_sarima(spark: SparkSession, folder: str) -> DataFrame:
-    model = fc.fit_arima(views.daily_demand(spark, folder), KEYS, (1, 1, 1), (1, 0, 1, 7))
+    model = fc.fit_arima(regular_demand(spark, folder), KEYS, (1, 1, 1), (1, 0, 1, 7))
     return rounded(fc.arima_forecast(model, KEYS, 30), 4)
 
 
 @query("demand_auto_arima")
 def demand_auto_arima(spark: SparkSession, folder: str) -> DataFrame:
     """Order, AIC and BIC per region."""
-    chosen = fc.auto_arima(views.daily_demand(spark, folder), KEYS)
+    chosen = fc.auto_arima(regular_demand(spark, folder), KEYS)
     return rounded(chosen.select(*KEYS, "p", "d", "q", "n", "aic", "bic"), 4)
 
 
@@ -177,7 +183,7 @@ def demand_forecast_errors(spark: SparkSession, folder: str) -> DataFrame:
 @query("demand_model_ranking")
 def demand_model_ranking(spark: SparkSession, folder: str) -> DataFrame:
     """Fitted models against the baseline on the last fifth of every series."""
-    split = durable(position_split(views.daily_demand(spark, folder), KEYS, ["ds"]))
+    split = durable(position_split(regular_demand(spark, folder), KEYS, ["ds"]))
     train = split.where(F.col("split") == "train")
     last = F.max(F.when(F.col("split") == "train", F.col("ds")))
     spans = split.groupBy(*KEYS).agg(F.datediff(F.max("ds"), last).alias("days"))
