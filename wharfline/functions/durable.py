@@ -35,6 +35,13 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str = "rows") -> DataFrame:
+    """The rows written as parquet in the shared folder and read again: by columns, compressed, with statistics."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/wharfline/{name}-{uuid.uuid4().hex}"

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wharfline.functions.durable import stored
 from wharfline.functions.expressions import nan_to_null, numeric_columns, text_columns
 from wharfline.functions.quantiles import STATE_ROWS, exact_quantiles
 
@@ -96,8 +97,10 @@ def parse_date_columns(df: DataFrame) -> DataFrame:
 def clean_data(df: DataFrame) -> DataFrame:
     """Drop duplicates, fill missing values, then parse dates.
 
+    The distinct rows are written once; gaps, medians and modes are read from them by column.
+
     Date texts are still texts when gaps are filled, so they get the most
     frequent text; columns that are dates already stay NULL.
     """
-    rows = nan_to_null(df)
-    return parse_date_columns(fill_missing(drop_exact_duplicates(rows), like=rows))
+    rows = stored(drop_exact_duplicates(nan_to_null(df)), "distinct")
+    return parse_date_columns(fill_missing(rows))

@@ -7,10 +7,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wharfline.functions.durable import scratch_path
 from wharfline.operators import catalog, quality
 from wharfline.plans.order_queries import rounded
 from wharfline.plans.registry import query
-from wharfline.sources import views
+from wharfline.sources import files, views
 
 # The four checked tables with faults, first as SQL, then as DataFrames.
 CHECKED = """
@@ -250,6 +251,30 @@ def quality_report(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(report.withColumn("failed", F.array_join(names, "; ")).drop("failed_expectations"), 6)
 
 
+@query(
+    "validated_folder",
+    RESULTS
+    + REPORT
+    + """
+SELECT dataset, success, total_expectations, passed_expectations,
+       round(100.0 * (total_expectations - passed_expectations) / total_expectations, 6) AS failure_percent
+FROM report""",
+)
+def validated_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """The four tables written as parquet, found in their folder, checked, and the written report read back."""
+    base = scratch_path(spark, "checked")
+    for name, made in TABLES.items():
+        files.save_data(made(spark, folder), f"{base}/{name}.parquet")
+    found = files.discover(spark, base, "*.parquet").select("dataset").distinct()
+    # One row per dataset of the folder, of which there are as many as the folder has entries.
+    paths = [f"{base}/{r['dataset']}.parquet" for r in found.collect()]
+    quality.validate_folder(spark, paths, f"{base}-reports")
+    report = spark.read.json(f"{base}-reports/data_quality_report.json")
+    return rounded(
+        report.select("dataset", "success", "total_expectations", "passed_expectations", "failure_percent"), 6
+    )
+
+
 @query(
     "quality_summary",
     RESULTS
@@ -351,6 +376,20 @@ def data_dictionary(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumns({"min": F.col("min").cast("double"), "max": F.col("max").cast("double")})
 
 
+@query(
+    "saved_data_dictionary",
+    _dictionary_sql("part", "Parts", "All parts", "part", PART_COLUMNS)
+    + "\nUNION ALL\n"
+    + _dictionary_sql("supplier", "Suppliers", "All suppliers", "supplier", SUPPLIER_COLUMNS),
+)
+def saved_data_dictionary(spark: SparkSession, folder: str) -> DataFrame:
+    """The dictionary written as csv and read back."""
+    path = scratch_path(spark, "dictionary") + "/columns.csv"
+    rows = catalog.data_dictionary(_entries(spark, folder), path)
+    back = files.load_data(spark, path, rows.schema)
+    return back.withColumns({"min": F.col("min").cast("double"), "max": F.col("max").cast("double")})
+
+
 @query(
     "datasets_by_tag",
     "SELECT 'part' AS dataset_id, 'Parts' AS name, count(*) AS row_count, 6 AS column_count, 'sales' AS owner FROM part",
