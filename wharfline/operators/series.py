@@ -211,13 +211,18 @@ def autocorrelation(panel: DataFrame, keys: Sequence[str] = (), lags: int = 40)
     Missing values are left out before lags are counted; lags reach at most the series' length.
     """
     present = panel.where(F.col("y").isNotNull())
-    order, whole = series_window(keys), Window.partitionBy(*keys)
-    centred = present.withColumn("_d", F.col("y") - F.avg("y").over(whole))
-    shifted = centred.withColumns({f"_d{k}": F.lag("_d", k).over(order) for k in range(1, lags + 1)})
-    products = [F.sum(F.col("_d") * F.col("_d"))] + [
-        F.coalesce(F.sum(F.col("_d") * F.col(f"_d{k}")), F.lit(0.0)) for k in range(1, lags + 1)
-    ]
-    sums = shifted.groupBy(*keys).agg(F.array(*products).alias("_p"), F.count(F.lit(1)).alias("n"))
+    # One array per key, as long as the calendar; the mean is a sum that combines map-side.
+    gathered = present.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("ds", "y"))).alias("_s"), F.avg("y").alias("_m"), F.count(F.lit(1)).alias("n")
+    )
+    centred = gathered.where("n > 0").select(*keys, "n", F.transform("_s.y", lambda y: y - F.col("_m")).alias("_d"))
+
+    def product(lag: Column) -> Column:
+        long = F.greatest(F.col("n").cast("int") - lag, F.lit(0))
+        pairs = F.zip_with(F.slice("_d", F.lit(1), long), F.slice("_d", lag + 1, long), lambda a, b: a * b)
+        return F.aggregate(pairs, F.lit(0.0), lambda total, x: total + x)
+
+    sums = centred.select(*keys, "n", F.transform(F.sequence(F.lit(0), F.lit(lags)), product).alias("_p"))
     acf = F.transform("_p", lambda v: F.try_divide(v, F.get(F.col("_p"), F.lit(0))))
     long = sums.withColumn("_r", acf).select(*keys, "n", "_r", F.posexplode("_r").alias("lag", "acf"))
     inner = F.slice("_r", F.lit(2), F.greatest(F.col("lag") - 1, F.lit(0)))
