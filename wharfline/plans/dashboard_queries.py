@@ -288,11 +288,11 @@ def region_options(spark: SparkSession, folder: str) -> DataFrame:
 CARDS = """
 SELECT round(avg(lead_time), 6) AS avg_lead_time, round(avg(fulfillment_rate), 6) AS fulfillment_rate,
        round(avg(stockout_probability), 6) AS stockout_probability, round({total}, 2) AS total_cost
-FROM wide WHERE region = 'EUROPE'"""
+FROM wide"""
 
 
 def _cards(spark: SparkSession, folder: str, total) -> DataFrame:
-    chosen = filters.dashboard_filter(views.daily_wide(spark, folder), region="EUROPE")
+    chosen = filters.dashboard_filter(views.daily_wide(spark, folder), region="All")
     return rounded(agg.kpi_cards(chosen, total), 6, total_cost=2)
 
 
@@ -551,7 +551,7 @@ def monthly_costs(spark: SparkSession, folder: str) -> DataFrame:
         WIDE,
         """,
 f AS (
-  SELECT facts.*, CASE WHEN return_flag = 'R' THEN 1.0::DOUBLE ELSE 0.0 END AS stockout FROM facts WHERE region = 'ASIA'
+  SELECT facts.*, CASE WHEN return_flag = 'R' THEN 1.0::DOUBLE ELSE 0.0 END AS stockout FROM facts
 ),
 sums AS (SELECT last_day(order_date) AS order_date, sum(price) AS price FROM f GROUP BY 1),
 one AS (SELECT avg(lead_time) AS lead, sum(quantity) AS units, avg(stockout) AS stockout FROM f)
@@ -565,7 +565,7 @@ def monthly_cost_model(spark: SparkSession, folder: str) -> DataFrame:
     facts = lead_time_days(views.order_facts(spark, folder)).withColumn(
         "stockout_probability", (F.col("return_flag") == "R").cast("double")
     )
-    chosen = filters.dashboard_filter(facts, region="ASIA", date="order_date")
+    chosen = filters.dashboard_filter(facts, region="All", date="order_date")
     return rounded(agg.monthly_cost_model(chosen), 4, holding_cost=0, stockout_cost=-2)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wharfline.functions.dates import date_range
 from wharfline.functions.durable import scratch_path
@@ -63,6 +64,44 @@ def star_tables_from_csv(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "all_star_tables_from_csv",
+    with_view(
+        STAR,
+        """
+SELECT 'orders' AS name, count(*) AS rows, round(sum(quantity), 4) AS total, max(due_date)::DATE AS latest FROM star_orders
+UNION ALL SELECT 'inventory', count(*), round(sum(quantity), 4), max(date)::DATE FROM star_inventory
+UNION ALL SELECT 'shipments', count(*), round(sum(shipping_cost), 4), max(delivery_date)::DATE FROM star_shipments
+UNION ALL SELECT 'suppliers', count(*), round(sum(lead_time_days), 4), NULL FROM star_suppliers""",
+    ),
+)
+def all_star_tables_from_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The four star tables written as csv and read back together, dates included."""
+    base = scratch_path(spark, "star")
+    made = {"orders": views.star_orders, "inventory": views.star_inventory, "shipments": views.star_shipments, "suppliers": views.star_suppliers}
+    declared = {
+        "orders": schemas.STAR_ORDERS, "inventory": schemas.STAR_INVENTORY, "shipments": schemas.STAR_SHIPMENTS,
+        "suppliers": schemas.STAR_SUPPLIERS,
+    }
+    for name, view in made.items():
+        rows, columns = view(spark, folder), T.StructType.fromDDL(declared[name])
+        given = [(F.col(c.name) if c.name in rows.columns else F.lit(None)).cast(c.dataType).alias(c.name) for c in columns]
+        files.save_data(rows.select(*given), f"{base}/{name}.csv")
+    loaded = files.load_tables(spark, base, declared)
+    figures = {
+        "orders": ("quantity", "due_date"), "inventory": ("quantity", "date"), "shipments": ("shipping_cost", "delivery_date"),
+        "suppliers": ("lead_time_days", None),
+    }
+    out = None
+    for name, (total, latest) in figures.items():
+        part = loaded[name].agg(
+            F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"), F.round(F.sum(F.col(total).cast("double")), 4).alias("total"),
+            F.max(F.col(latest).cast("date") if latest else F.lit(None).cast("date")).alias("latest"),
+        )
+        out = part if out is None else out.union(part)
+    return out
+
+
 @query(
     "discovered_datasets",
     """
@@ -171,24 +210,49 @@ def streamed_orders(spark: SparkSession, folder: str) -> DataFrame:
 WITH spine AS (
   SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY))::DATE AS date
 ),
-sundays AS (SELECT date FROM spine WHERE isodow(date) = 7),
-days AS (SELECT CAST(o_orderdate AS DATE) AS date, count(*) AS orders FROM orders GROUP BY 1)
-SELECT sundays.date, coalesce(orders, 0) AS orders FROM sundays LEFT JOIN days USING (date)""",
+grid AS (
+  SELECT 'D' AS freq, date FROM spine UNION ALL SELECT 'W', date FROM spine WHERE isodow(date) = 7
+  UNION ALL SELECT 'M', date FROM spine WHERE last_day(date) = date
+  UNION ALL SELECT 'Q', date FROM spine WHERE last_day(date) = date AND month(date) % 3 = 0
+),
+days AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1),
+periods AS (
+  SELECT 'D' AS freq, day AS date, n FROM days UNION ALL SELECT 'W', day + (7 - isodow(day))::INTEGER, n FROM days
+  UNION ALL SELECT 'M', last_day(day), n FROM days
+  UNION ALL SELECT 'Q', last_day((date_trunc('quarter', day) + INTERVAL 2 MONTH)::DATE), n FROM days
+),
+counted AS (SELECT freq, date, sum(n)::BIGINT AS orders FROM periods GROUP BY ALL)
+SELECT grid.freq, grid.date, coalesce(orders, 0) AS orders FROM grid LEFT JOIN counted USING (freq, date)""",
 )
 def orders_on_calendar(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders on every Sunday of the calendar."""
-    days = views.table(spark, folder, "orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(
-        F.count(F.lit(1)).alias("orders")
+    """Orders of every day, week, month and quarter of the calendar, dated by the period's last day."""
+    days = views.table(spark, folder, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(
+        F.count(F.lit(1)).alias("n")
     )
-    spine = date_range(spark, "1995-01-01", "2001-12-31", "W")
-    return spine.join(days, "date", "left").select("date", F.coalesce("orders", F.lit(0)).alias("orders"))
+    ends = {
+        "D": F.col("day"),
+        "W": F.next_day(F.date_sub("day", 1), "Sunday"),
+        "M": F.last_day("day"),
+        "Q": F.last_day(F.add_months(F.trunc("day", "quarter"), 2)),
+    }
+    out = None
+    for freq, end in ends.items():
+        counts = days.groupBy(end.alias("date")).agg(F.sum("n").alias("n"))
+        spine = date_range(spark, "1995-01-01", "2001-12-31", freq)
+        part = spine.join(counts, "date", "left").select(
+            F.lit(freq).alias("freq"), "date", F.coalesce("n", F.lit(0)).alias("orders")
+        )
+        out = part if out is None else out.union(part)
+    return out
 
 
 @query(
     "order_json_records",
     """
-SELECT '{"s_suppkey":' || s_suppkey || ',"s_name":"' || s_name || '","s_nationkey":' || s_nationkey || '}' AS record
+SELECT '{"s_suppkey":' || s_suppkey || ',"s_name":"' || s_name || '","s_nationkey":' || s_nationkey || ',"s_acctbal":'
+       || round(s_acctbal, 2)::DECIMAL(18, 2) || '}' AS record
 FROM supplier""",
 )
 def order_json_records(spark: SparkSession, folder: str) -> DataFrame:
-    return files.to_json_records(views.table(spark, folder, "supplier").drop("s_acctbal"))
+    supplier = views.table(spark, folder, "supplier")
+    return files.to_json_records(supplier.withColumn("s_acctbal", F.round("s_acctbal", 2).cast("decimal(18,2)")))

@@ -42,6 +42,8 @@ def load_data(
         reader = reader.option("header", True)
         if schema is None:
             reader = reader.option("inferSchema", True)
+        else:  # a header of other names is an error, not columns in the wrong place
+            reader = reader.option("enforceSchema", False)
         if timestamp_format:
             reader = reader.option("timestampFormat", timestamp_format)
     if kind == "json":
