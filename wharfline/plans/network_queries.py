@@ -185,7 +185,22 @@ def customer_order_components(spark: SparkSession, folder: str) -> DataFrame:
     return network.components(edges)
 
 
-@query("order_product_components")
+@query(
+    "order_product_components",
+    """WITH RECURSIVE
+ways AS (
+  SELECT 'O' || l_orderkey AS a, 'P' || l_partkey AS b FROM lineitem UNION SELECT 'P' || l_partkey, 'O' || l_orderkey FROM lineitem
+),
+labels(hop, node, label) AS (
+  SELECT DISTINCT 0, a, a FROM ways
+  UNION ALL
+  SELECT hop + 1, node, min(label) FROM (
+    SELECT hop, node, label FROM labels WHERE hop < 24
+    UNION ALL SELECT hop, b, label FROM labels JOIN ways ON node = a WHERE hop < 24
+  ) GROUP BY hop, node
+)
+SELECT node, label AS component FROM labels WHERE hop = 24""",
+)
 def order_product_components(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of orders and products linked by order lines."""
     edges = views.table(spark, folder, "lineitem").select(

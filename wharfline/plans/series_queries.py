@@ -284,11 +284,7 @@ def series_extent(spark: SparkSession, folder: str) -> DataFrame:
 LAG_COUNT = 40
 
 
-@query(
-    "demand_autocorrelation",
-    with_view(
-        DEMAND,
-        f""",
+ACF = f"""\
 centred AS (
   SELECT region, y - avg(y) OVER (PARTITION BY region) AS d, row_number() OVER (PARTITION BY region ORDER BY ds) AS rn
   FROM demand
@@ -300,7 +296,15 @@ pairs AS (
   JOIN centred b ON a.region = b.region AND a.earlier = b.rn GROUP BY 1, 2
 ),
 acf AS (SELECT region, n, k, c / v AS r FROM pairs JOIN total USING (region))
-SELECT region, n, k::INT AS lag, round(r, 6) + 0.0 AS acf,
+"""
+
+
+@query(
+    "demand_autocorrelation",
+    with_view(
+        DEMAND,
+        f""",
+{ACF}SELECT region, n, k::INT AS lag, round(r, 6) + 0.0 AS acf,
        round(CASE WHEN k = 0 THEN 0 ELSE 1.959963984540054::DOUBLE * sqrt((1 + 2 * coalesce(
          (SELECT sum(o.r * o.r) FROM acf o WHERE o.region = acf.region AND o.k BETWEEN 1 AND acf.k - 1), 0)) / n) END, 6) AS band
 FROM acf""",
@@ -310,6 +314,26 @@ def demand_autocorrelation(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(series.autocorrelation(views.daily_demand(spark, folder), ["region"], LAG_COUNT), 6)
 
 
-@query("demand_partial_autocorrelation")
+@query(
+    "demand_partial_autocorrelation",
+    with_view(
+        DEMAND,
+        f""",
+{ACF},
+lists AS (SELECT region, max(n) AS n, list(r ORDER BY k) AS r FROM acf WHERE k < n GROUP BY 1),
+steps(region, n, r, k, phi, last) AS (
+  SELECT region, n, r, 0, []::DOUBLE[], 1.0::DOUBLE FROM lists
+  UNION ALL
+  SELECT region, n, r, k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - a * phi[k + 1 - j]), a), a
+  FROM (
+    SELECT *, (r[k + 2] - coalesce(list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[k + 2 - j])), 0))
+              / (1 - coalesce(list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[j + 1])), 0)) AS a
+    FROM steps WHERE k + 2 <= len(r)
+  )
+)
+SELECT region, n, k::INT AS lag, round(last, 6) + 0.0 AS pacf, round(1.959963984540054::DOUBLE / sqrt(n), 6) AS band
+FROM steps""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+)
 def demand_partial_autocorrelation(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(series.partial_autocorrelation(views.daily_demand(spark, folder), ["region"], LAG_COUNT), 6)
