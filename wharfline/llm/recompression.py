@@ -15,19 +15,19 @@ them, at the highest level that has any, the longest one stands for the window
 (ties: least hash, then leftmost), together with the word on either side, which
 the window always holds. Equal windows thus share a symbol with certainty, and
 neighbouring windows mostly have the same one, so that one row is shuffled for
-about six words. Windows of one or two runs have no inner symbol and stand for
+about five words. Windows of one or two runs have no inner symbol and stand for
 themselves.
 
 1. Rows of symbol, document and the windows it stands for meet by symbol.
    Symbols of one document only are dropped.
-2. The windows of the others are hashed whole (128 bits) and meet by that hash;
+2. The windows of the others are hashed whole (96 bits) and meet by that hash;
    those that also start in a document of smaller id are repeats.
 3. Repeats go to their documents, whose covered words are removed.
 
 Texts move once, by id, for steps 2 and 3. No group is collected: minima over a
 symbol or a window are spillable window functions over narrow rows. A passage in
 a third of all documents makes many groups of so many rows, never one group of a
-third of all rows, since every document has a row for every six of its words.
+third of all rows, since every document has a row for every five of its words.
 Long texts are parsed in overlapping parts, which is exact because a window's
 symbol depends on the window alone.
 
@@ -43,13 +43,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wharfline.llm.common import query, small_batches, table
+from wharfline.llm.common import packed, query, small_batches, table, unpacked
 
 WINDOW = 13  # words; fixed by the result contract
-ROUNDS = 3
+ROUNDS = 2  # a third one makes more symbols per window and tells hardly more windows apart
 WORDS_AT_ONCE = 200_000
 WORDS_REMEMBERED = 500_000
 LAST = 2**63 - 1
@@ -224,64 +224,80 @@ def repeats(documents: DataFrame, shared: DataFrame, width: int = WINDOW) -> Dat
     """Rows id, twin, start: windows that also start in a document of smaller id."""
     grouped = shared.groupBy("id").agg(F.collect_list("windows").alias("spans"))
 
+    def candidates(names: np.ndarray, spans: np.ndarray) -> np.ndarray:
+        n = len(names) - width + 1
+        edges = np.zeros(n + 1, np.int64)
+        first = np.minimum(spans >> 20, n)
+        np.add.at(edges, first, 1)
+        np.add.at(edges, np.minimum(first + (spans & (2**20 - 1)) + 1, n), -1)
+        return np.flatnonzero(np.cumsum(edges[:-1]) > 0)
+
+    def frame_of(parts: list[tuple]) -> pd.DataFrame:
+        one, rest, key, twin = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return pd.DataFrame({"one": one, "rest": rest, "id": key, "twin": twin})
+
     def hashed(batches):
         known = Names()
         for frame in batches:
-            out = []
+            parts, n = [], 0
             for key, twin, text, spans in zip(frame["id"], frame["twin"], frame["text"], frame["spans"], strict=True):
                 names = known.of(text.encode().split() if isinstance(text, str) else [])
                 if len(names) < width:
                     continue
-                spans = np.asarray(spans, np.int64)
-                n = len(names) - width + 1
-                edges = np.zeros(n + 1, np.int64)
-                first = np.minimum(spans >> 20, n)
-                np.add.at(edges, first, 1)
-                np.add.at(edges, np.minimum(first + (spans & (2**20 - 1)) + 1, n), -1)
-                starts = np.flatnonzero(np.cumsum(edges[:-1]) > 0)
-                if len(starts):
-                    one, two = window_hashes(names, width, 9)[starts], window_hashes(names, width, 10)[starts]
-                    out.append(pd.DataFrame({"one": one.view(np.int64), "two": two.view(np.int64), "id": key, "twin": twin, "start": starts}))
-            if out:
-                yield pd.concat(out, ignore_index=True)
-
-    windows = documents.join(grouped, "id").mapInPandas(hashed, "one long, two long, id long, twin long, start int")
-    lowest = F.min("id").over(Window.partitionBy("one", "two"))
-    return windows.withColumn("_low", lowest).where("id > _low").select("id", "twin", "start")
-
-
-def prepared(documents: DataFrame) -> DataFrame:
-    """Id (null: the largest), a hash that tells rows of equal id apart, and the text."""
-    small_batches(documents.sparkSession)
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
-    return documents.select(key.alias("id"), F.xxhash64("text").alias("twin"), "text")
+                starts = candidates(names, np.asarray(spans, np.int64))
+                one = window_hashes(names, width, 9)[starts].view(np.int64)
+                two = (window_hashes(names, width, 10)[starts] >> np.uint64(32)).astype(np.int64)
+                parts.append((one, (two << 32) | starts, np.full(len(starts), key), np.full(len(starts), twin)))
+                n += len(starts)
+                if n >= WORDS_AT_ONCE:
+                    yield frame_of(parts)
+                    parts, n = [], 0
+            if parts:
+                yield frame_of(parts)
 
+    windows = documents.join(grouped, "id").mapInPandas(hashed, "one long, rest long, id long, twin long")
+    lowest = F.min("id").over(Window.partitionBy("one", F.shiftright("rest", 32)))
+    found = windows.withColumn("_low", lowest).where("id > _low")
+    return found.select("id", "twin", F.col("rest").bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("start"))
 
-def repeated_starts(documents: DataFrame, width: int = WINDOW) -> DataFrame:
-    """_id, _twin, starts: the repeated windows of a ``prepared`` row."""
-    found = repeats(documents, shared_symbols(documents, width), width)
-    return found.groupBy("id", "twin").agg(F.collect_list("start").alias("starts")).select(
-        F.col("id").alias("_id"), F.col("twin").alias("_twin"), "starts"
-    )
 
+def row_key(doc_id: Column) -> Column:
+    """A null id counts as the largest."""
+    return F.coalesce(doc_id.cast("long"), F.lit(LAST))
 
-def marked(documents: DataFrame, width: int = WINDOW) -> DataFrame:
-    """``prepared`` rows with the starts of their repeated windows.
 
-    Rows meet by id alone, so that this join reads the texts that ``repeats``
-    has shuffled already; twins are told apart after it.
-    """
-    same_text = F.col("twin").bitwiseXOR(F.col("_twin")) == 0
-    return documents.join(repeated_starts(documents, width), (F.col("id") == F.col("_id")) & same_text, "left")
+def twin_key(documents: DataFrame):
+    """What tells rows of equal id apart, of their text: nothing where ids are unique, else a hash."""
+    repeated = documents.groupBy(row_key(F.col("doc_id")).alias("id")).count().where("count > 1")
+    unique = repeated.isEmpty()
+    return lambda text: F.lit(0).cast("long") if unique else F.xxhash64(text)
+
+
+def prepared(documents: DataFrame, twin) -> DataFrame:
+    return documents.select(row_key(F.col("doc_id")).alias("id"), twin(F.col("text")).alias("twin"), "text")
+
 
+def repeated_starts(rows: DataFrame, width: int = WINDOW) -> DataFrame:
+    """_id, starts, twins: the repeated windows of all ``prepared`` rows of an id."""
+    found = repeats(rows, shared_symbols(rows, width), width)
+    gathered = found.groupBy("id").agg(F.collect_list(F.struct("start", "twin")).alias("_marks"))
+    return gathered.select(F.col("id").alias("_id"), F.col("_marks.start").alias("starts"), F.col("_marks.twin").alias("twins"))
 
-def kept_words(text: str | None, starts, width: int = WINDOW) -> tuple[int, list[bytes]]:
+
+def own_starts(starts, twins, twin: int) -> np.ndarray:
+    """The repeated windows of one row among those of its id."""
+    if starts is None or not len(starts):
+        return np.zeros(0, np.int64)
+    return np.asarray(starts, np.int64)[np.asarray(twins, np.int64) == twin]
+
+
+def kept_words(text: str | None, starts: np.ndarray, width: int = WINDOW) -> tuple[int, list[bytes]]:
     """The number of words of a text, and the words no repeated window covers."""
     words = text.encode().split() if isinstance(text, str) else []
-    if starts is None or not len(starts):
+    if not len(starts):
         return len(words), words
     edges = np.zeros(len(words) + width + 1, np.int32)
-    starts = np.unique(np.asarray(starts, np.int64))
+    starts = np.unique(starts)
     edges[starts] += 1
     edges[starts + width] -= 1
     covered = np.cumsum(edges[: len(words)]) > 0
@@ -289,30 +305,39 @@ def kept_words(text: str | None, starts, width: int = WINDOW) -> tuple[int, list
 
 
 def without_repeats(documents: DataFrame, width: int = WINDOW) -> DataFrame:
-    """The documents, all columns, with repeated passages cut out of the text.
+    """The documents, all columns, with repeated passages cut out of the text (and ``n_chars`` counted anew).
 
     Texts that lose nothing are kept as they are, white space included.
     """
     small_batches(documents.sparkSession)
-    key, twin = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), F.xxhash64("text")
-    found = repeated_starts(prepared(documents), width)
+    twin = twin_key(documents)
+    found = repeated_starts(prepared(documents, twin), width)
 
     @F.pandas_udf("string")
-    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for texts, starts in batches:
-            out = [kept_words(t, s, width) for t, s in zip(texts, starts, strict=True)]
-            yield pd.Series([t if n == len(kept) else b" ".join(kept).decode() for t, (n, kept) in zip(texts, out, strict=True)])
+    def cut(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for columns in batches:
+            out = []
+            for text, starts, twins, own in zip(*columns, strict=True):
+                n, kept = kept_words(text, own_starts(starts, twins, own), width)
+                out.append(text if n == len(kept) else b" ".join(kept).decode())
+            yield pd.Series(out, dtype=object)
 
-    rows = documents.join(found, (key == F.col("_id")) & (twin == F.col("_twin")), "left")
-    return rows.withColumn("text", cut("text", "starts")).select(*documents.columns)
+    rows = packed(documents).withColumns({"_key": row_key(F.col("_row.doc_id")), "_hash": twin(F.col("_row.text"))})
+    rows = rows.join(found, F.col("_key") == F.col("_id"), "left").withColumn("_text", cut("_row.text", "starts", "twins", "_hash"))
+    return unpacked(rows, documents.columns, text=F.col("_text"), n_chars=F.char_length("_text").cast("long"))
 
 
 def digests(documents: DataFrame, width: int = WINDOW) -> DataFrame:
-    """The same with a digest of the kept words instead of the text."""
+    """Per document its number of words, of removed words, and a digest of the kept ones."""
+    small_batches(documents.sparkSession)
+    rows = prepared(documents, twin_key(documents))
 
     def cut(batches):
         for frame in batches:
-            out = [kept_words(t, s, width) for t, s in zip(frame["text"], frame["starts"], strict=True)]
+            out = [
+                kept_words(text, own_starts(starts, twins, twin), width)
+                for text, starts, twins, twin in zip(frame["text"], frame["starts"], frame["twins"], frame["twin"], strict=True)
+            ]
             yield pd.DataFrame({
                 "id": frame["id"],
                 "n_words": [n for n, _ in out],
@@ -320,8 +345,9 @@ def digests(documents: DataFrame, width: int = WINDOW) -> DataFrame:
                 "kept_sha256": [hashlib.sha256(b" ".join(kept)).hexdigest() for _, kept in out],
             })
 
-    rows = marked(prepared(documents), width).select("id", "text", "starts")
-    out = rows.mapInPandas(cut, "id long, n_words long, n_removed long, kept_sha256 string")
+    # Both joins are by id alone, so that the texts are shuffled once.
+    marked = rows.join(repeated_starts(rows, width), F.col("id") == F.col("_id"), "left").select("id", "twin", "text", "starts", "twins")
+    out = marked.mapInPandas(cut, "id long, n_words long, n_removed long, kept_sha256 string")
     return out.select(F.nullif(F.col("id"), F.lit(LAST)).alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
