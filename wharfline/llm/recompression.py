@@ -25,9 +25,10 @@ themselves.
 3. Repeats go to their documents, whose covered words are removed.
 
 Texts move once, by id, for steps 2 and 3. No group is collected: minima over a
-symbol or a window are spillable window functions over narrow rows. A passage in
-a third of all documents makes many groups of so many rows, never one group of a
-third of all rows, since every document has a row for every five of its words.
+symbol or a window are spillable window functions over narrow rows. What a text
+says again and again is one row of it before anything is shuffled. A passage in a
+third of all documents then makes many groups of so many rows, never one group of
+a third of all rows, since every document has a row for every five of its words.
 Long texts are parsed in overlapping parts, which is exact because a window's
 symbol depends on the window alone.
 
@@ -170,10 +171,10 @@ def anchors(names: np.ndarray, owner: np.ndarray, width: int = WINDOW, rounds: i
     key[found] = mix(mix(before, chosen[found], 5), after, 6)
     if not found.all():  # runs that fill a window
         plain = window_hashes(names, width, 8)
-        key[~found], place[~found] = plain[starts[~found]], starts[~found]
-    # One row for neighbouring windows of the same symbol.
+        key[~found] = plain[starts[~found]]
+    # One row for neighbouring windows of one key, so a repeated word or phrase is one row.
     change = np.ones(len(starts), bool)
-    change[1:] = (place[1:] != place[:-1]) | (key[1:] != key[:-1]) | (owner[starts[1:]] != owner[starts[:-1]])
+    change[1:] = (key[1:] != key[:-1]) | (owner[starts[1:]] != owner[starts[:-1]])
     first = np.flatnonzero(change)
     last = np.append(first[1:], len(starts)) - 1
     return key[first], starts[first], starts[last]
@@ -221,7 +222,11 @@ def shared_symbols(documents: DataFrame, width: int = WINDOW) -> DataFrame:
 
 
 def repeats(documents: DataFrame, shared: DataFrame, width: int = WINDOW) -> DataFrame:
-    """Rows id, twin, start: windows that also start in a document of smaller id."""
+    """Rows id, twin, start: different windows of a text that also start in a document of smaller id.
+
+    The start is that of the window's first place in the text, or, where the text
+    repeats the window, that start less 2^31.
+    """
     grouped = shared.groupBy("id").agg(F.collect_list("windows").alias("spans"))
 
     def candidates(names: np.ndarray, spans: np.ndarray) -> np.ndarray:
@@ -247,8 +252,11 @@ def repeats(documents: DataFrame, shared: DataFrame, width: int = WINDOW) -> Dat
                 starts = candidates(names, np.asarray(spans, np.int64))
                 one = window_hashes(names, width, 9)[starts].view(np.int64)
                 two = (window_hashes(names, width, 10)[starts] >> np.uint64(32)).astype(np.int64)
-                parts.append((one, (two << 32) | starts, np.full(len(starts), key), np.full(len(starts), twin)))
-                n += len(starts)
+                # A window that a text repeats is one row, marked so that its other places are found again.
+                one, at, many = np.unique(one, return_index=True, return_counts=True)
+                rest = (two[at] << 32) | ((many > 1).astype(np.int64) << 31) | starts[at]
+                parts.append((one, rest, np.full(len(at), key), np.full(len(at), twin)))
+                n += len(at)
                 if n >= WORDS_AT_ONCE:
                     yield frame_of(parts)
                     parts, n = [], 0
@@ -258,7 +266,8 @@ def repeats(documents: DataFrame, shared: DataFrame, width: int = WINDOW) -> Dat
     windows = documents.join(grouped, "id").mapInPandas(hashed, "one long, rest long, id long, twin long")
     lowest = F.min("id").over(Window.partitionBy("one", F.shiftright("rest", 32)))
     found = windows.withColumn("_low", lowest).where("id > _low")
-    return found.select("id", "twin", F.col("rest").bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("start"))
+    low = F.col("rest").bitwiseAND(F.lit(2**32 - 1))
+    return found.select("id", "twin", F.when(low >= 2**31, low - 2**32).otherwise(low).cast("int").alias("start"))
 
 
 def row_key(doc_id: Column) -> Column:
@@ -267,10 +276,10 @@ def row_key(doc_id: Column) -> Column:
 
 
 def twin_key(documents: DataFrame):
-    """What tells rows of equal id apart, of their text: nothing where ids are unique, else a hash."""
+    """What tells rows of equal id apart, of their text: zero where ids are unique, else an odd hash."""
     repeated = documents.groupBy(row_key(F.col("doc_id")).alias("id")).count().where("count > 1")
     unique = repeated.isEmpty()
-    return lambda text: F.lit(0).cast("long") if unique else F.xxhash64(text)
+    return lambda text: F.lit(0).cast("long") if unique else F.xxhash64(text).bitwiseOR(F.lit(1).cast("long"))
 
 
 def prepared(documents: DataFrame, twin) -> DataFrame:
@@ -280,15 +289,27 @@ def prepared(documents: DataFrame, twin) -> DataFrame:
 def repeated_starts(rows: DataFrame, width: int = WINDOW) -> DataFrame:
     """_id, starts, twins: the repeated windows of all ``prepared`` rows of an id."""
     found = repeats(rows, shared_symbols(rows, width), width)
-    gathered = found.groupBy("id").agg(F.collect_list(F.struct("start", "twin")).alias("_marks"))
-    return gathered.select(F.col("id").alias("_id"), F.col("_marks.start").alias("starts"), F.col("_marks.twin").alias("twins"))
+    # Where ids are unique no twin is collected: the starts are all of one row.
+    twins = F.collect_list(F.when(F.col("twin") != 0, F.col("twin"))).alias("twins")
+    return found.groupBy(F.col("id").alias("_id")).agg(F.collect_list("start").alias("starts"), twins)
 
 
 def own_starts(starts, twins, twin: int) -> np.ndarray:
     """The repeated windows of one row among those of its id."""
     if starts is None or not len(starts):
         return np.zeros(0, np.int64)
-    return np.asarray(starts, np.int64)[np.asarray(twins, np.int64) == twin]
+    starts = np.asarray(starts, np.int64)
+    return starts[np.asarray(twins, np.int64) == twin] if len(twins) else starts
+
+
+def all_places(words: list[bytes], starts: np.ndarray, width: int) -> np.ndarray:
+    """Every place of the windows that ``repeats`` names by one."""
+    several = starts < 0
+    if not several.any():
+        return starts
+    hashes = window_hashes(Names().of(words), width, 9)
+    again = np.flatnonzero(np.isin(hashes, hashes[starts[several] + 2**31]))
+    return np.concatenate((starts[~several], again))
 
 
 def kept_words(text: str | None, starts: np.ndarray, width: int = WINDOW) -> tuple[int, list[bytes]]:
@@ -297,7 +318,7 @@ def kept_words(text: str | None, starts: np.ndarray, width: int = WINDOW) -> tup
     if not len(starts):
         return len(words), words
     edges = np.zeros(len(words) + width + 1, np.int32)
-    starts = np.unique(starts)
+    starts = np.unique(all_places(words, starts, width))
     edges[starts] += 1
     edges[starts + width] -= 1
     covered = np.cumsum(edges[: len(words)]) > 0
