@@ -20,7 +20,7 @@ themselves.
 
 1. Rows of symbol, document and the windows it stands for meet by symbol.
    Symbols of one document only are dropped.
-2. The windows of the others are hashed whole (96 bits) and meet by that hash;
+2. The windows of the others are hashed whole (88 bits) and meet by that hash;
    those that also start in a document of smaller id are repeats.
 3. Repeats go to their documents, whose covered words are removed.
 
@@ -211,7 +211,7 @@ def shared_symbols(documents: DataFrame, width: int = WINDOW) -> DataFrame:
                 owner = np.cumsum(np.concatenate(([0], (np.diff(rows) != 0) | (np.diff(places) != 1))))
                 key, first, last = anchors(names, owner, width)
                 yield pd.DataFrame({
-                    "symbol": key.view(np.int64), "id": ids[rows[first]],
+                    "symbol": (key >> np.uint64(8)).view(np.int64), "id": ids[rows[first]],
                     "windows": (places[first] << 20) | (places[last] - places[first]),
                 })
 
@@ -251,11 +251,13 @@ def repeats(documents: DataFrame, shared: DataFrame, width: int = WINDOW) -> Dat
                     continue
                 starts = candidates(names, np.asarray(spans, np.int64))
                 one = window_hashes(names, width, 9)[starts].view(np.int64)
-                two = (window_hashes(names, width, 10)[starts] >> np.uint64(32)).astype(np.int64)
+                two = (window_hashes(names, width, 10)[starts] >> np.uint64(40)).astype(np.int64)
                 # A window that a text repeats is one row, marked so that its other places are found again.
-                one, at, many = np.unique(one, return_index=True, return_counts=True)
+                _, at, many = np.unique(one, return_index=True, return_counts=True)
+                order = np.argsort(at)  # in order of the text, rows compress better
+                at, many = at[order], many[order]
                 rest = (two[at] << 32) | ((many > 1).astype(np.int64) << 31) | starts[at]
-                parts.append((one, rest, np.full(len(at), key), np.full(len(at), twin)))
+                parts.append((one[at], rest, np.full(len(at), key), np.full(len(at), twin)))
                 n += len(at)
                 if n >= WORDS_AT_ONCE:
                     yield frame_of(parts)
