@@ -85,6 +85,21 @@ def test_rounds_of_sources_change_nothing(spark):
         assert a["closeness"] == pytest.approx(b["closeness"])
 
 
+def test_path_search_ends_after_its_rounds(spark, monkeypatch):
+    search, calls = network._search, []
+
+    def counted(hops, sources):
+        calls.append(1)
+        assert len(calls) <= 3, "searches on after the last round"
+        return search(hops, sources)
+
+    monkeypatch.setattr(network, "_search", counted)
+    edges = graph(spark, GRAPHS["cycle"])
+    assert network.path_metrics(edges).count() == 4 and len(calls) == 1
+    calls.clear()
+    assert network.path_metrics(edges, pairs_per_round=6).count() == 4 and len(calls) == 3
+
+
 def test_average_path_needs_strong_connection(spark):
     ring = network.average_path_length(network.path_metrics(graph(spark, GRAPHS["cycle"]))).first()
     assert ring["strongly_connected"] and ring["average_path_length"] == pytest.approx(2.0)
