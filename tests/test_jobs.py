@@ -178,3 +178,32 @@ def test_boosting_grid(samples):
     scores = ml.grid_scores(train, fitted).collect()
     assert len(scores) == 2 and best.getMaxDepth() == 3 and scores[0]["mse"] <= scores[1]["mse"]
     assert len(ml.BOOSTING_GRID) == 5 and all(len(v) == 3 for v in ml.BOOSTING_GRID.values())
+
+
+def test_registered_models_are_whole(samples, monkeypatch):
+    """Five folds, whole ensembles and the whole grid reach the fits."""
+    from types import SimpleNamespace
+
+    from wharfline.plans import ml_queries
+
+    regressors, folded, sizes = ml.regressors, [], []
+
+    def small_forest(train, target, seed=42, size=ml.ENSEMBLE_SIZE, depth=5):
+        sizes.append(size)
+        return {"random_forest": regressors(train, target, seed, 3, 2)["random_forest"]}
+
+    def counted(estimator, df, target, keys, folds=5, seed=42, metric="rmse", grid=None, parallelism=4):
+        folded.append((folds, len(grid or [1])))
+        return SimpleNamespace(avgMetrics=[1.0] * len(grid or [1]), bestModel=None, getEstimatorParamMaps=lambda: grid)
+
+    keyed = samples.withColumns({k: samples["order_id"] for k in ml_queries.KEYS if k != "order_id"})
+    monkeypatch.setattr(ml_queries, "features", lambda *_: keyed)
+    monkeypatch.setattr(ml, "regressors", small_forest)
+    monkeypatch.setattr(ml, "cross_validated", counted)
+    spark = samples.sparkSession
+    assert [r["cv_rmse"] for r in ml_queries.compared_lead_time_models(spark, "").collect()] == [1.0]
+    ml_queries.lead_time_feature_importances(spark, "")
+    ml_queries.lead_time_intervals(spark, "")
+    assert sizes == [ml.ENSEMBLE_SIZE] * 3
+    folded.clear()
+    assert ml_queries.boosted_grid_scores(spark, "").count() == 243 and folded == [(5, 243)]
