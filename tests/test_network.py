@@ -189,3 +189,30 @@ def test_density_and_clustering(spark):
     rows = {r["node"]: r for r in by(network.clustering(graph(spark, pairs)))}
     assert rows["a"]["clustering"] == 1.0 and rows["c"]["clustering"] == pytest.approx(1 / 3) and rows["d"]["clustering"] == 0.0
     assert rows["c"]["triangles"] == 1
+
+
+def test_lane_queries_cover_all_lanes(spark, tmp_path):
+    """Every lane query is also registered over the lanes that are not heavier than the mean."""
+    from wharfline.plans import network_queries, registered
+    from wharfline.sources import views
+
+    names = [n for n in registered.queries() if n.startswith("lane_") or n == "undirected_lanes"]
+    assert len(names) == 9 and {f"whole_{n}" for n in names} <= set(registered.queries())
+    with_sql = {n for n in names if n in registered.oracle_sql()}
+    assert {f"whole_{n}" for n in with_sql} <= set(registered.oracle_sql())
+    rows = {
+        "nation": [(i,) for i in range(3)],
+        "customer": [(i, i) for i in range(3)],
+        "supplier": [(i, i) for i in range(3)],
+        "orders": [(i, i) for i in range(3)],
+        "lineitem": [(o, s, 1.0 + 10 * o) for o in range(3) for s in range(3)],
+    }
+    columns = {
+        "nation": "n_nationkey int", "customer": "c_custkey int, c_nationkey int", "supplier": "s_suppkey int, s_nationkey int",
+        "orders": "o_orderkey int, o_custkey int", "lineitem": "l_orderkey int, l_suppkey int, l_quantity double",
+    }
+    for name in rows:
+        spark.createDataFrame(rows[name], columns[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert views.trade_lanes(spark, str(tmp_path)).count() == 6
+    assert registered.queries()["whole_lane_density"](spark, str(tmp_path)).first()["density"] == 1.0
+    assert 0 < network_queries.lanes(spark, str(tmp_path)).count() < 6

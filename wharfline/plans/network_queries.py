@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from wharfline.operators import network
 from wharfline.operators.aggregates import edge_weights
 from wharfline.plans.order_queries import rounded
 from wharfline.plans.registry import query
-from wharfline.plans.sql_views import EDGES, FACTS, LANES, with_view
+from wharfline.plans.sql_views import EDGES, FACTS, LANES, WHOLE_LANES, with_view
 from wharfline.sources import views
 
 
@@ -19,11 +21,28 @@ def supply(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lanes(spark: SparkSession, folder: str) -> DataFrame:
+    """The lanes heavier than the mean."""
+    return durable(views.busy_lanes(views.trade_lanes(spark, folder)))
+
+
+def whole_lanes(spark: SparkSession, folder: str) -> DataFrame:
     return durable(views.trade_lanes(spark, folder))
 
 
-def _recursive(view: str) -> str:
-    return "WITH RECURSIVE " + view.strip()
+def _recursive(view: str, body: str = "") -> str:
+    return "WITH RECURSIVE " + view.strip() + body
+
+
+def lane_query(name: str, body: str | None = None, statement: Callable[[str, str], str] = with_view):
+    """Register a query of edges twice: over the heavier lanes, and as ``whole_...`` over all of them."""
+
+    def register(fn: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+        for prefix, view, edges in (("", LANES, lanes), ("whole_", WHOLE_LANES, whole_lanes)):
+            sql = None if body is None else statement(view, body)
+            query(prefix + name, sql)(lambda spark, folder, edges=edges: fn(edges(spark, folder)))
+        return fn
+
+    return register
 
 
 @query(
@@ -51,16 +70,12 @@ def last_shipment_edges(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query(
+@lane_query(
     "undirected_lanes",
-    with_view(
-        LANES,
-        "\nSELECT least(src, dst) AS src, greatest(src, dst) AS dst, arg_max(weight, (src, dst)) AS weight FROM lanes GROUP BY 1, 2",
-    ),
+    "\nSELECT least(src, dst) AS src, greatest(src, dst) AS dst, arg_max(weight, (src, dst)) AS weight FROM lanes GROUP BY 1, 2",
 )
-def undirected_lanes(spark: SparkSession, folder: str) -> DataFrame:
+def undirected_lanes(edges: DataFrame) -> DataFrame:
     """Lanes without direction; of the two ways of a pair the later by name is kept."""
-    edges = lanes(spark, folder)
     return network.build_edges(edges, "src", "dst", "weight", order=["src", "dst"], directed=False)
 
 
@@ -135,15 +150,14 @@ def supply_path_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(network.path_metrics(supply(spark, folder)), 8)
 
 
-@query("lane_path_metrics")
-def lane_path_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(network.path_metrics(lanes(spark, folder)), 8)
+@lane_query("lane_path_metrics")
+def lane_path_metrics(edges: DataFrame) -> DataFrame:
+    return rounded(network.path_metrics(edges), 8)
 
 
-@query(
+@lane_query(
     "lane_average_path",
-    _recursive(LANES)
-    + """,
+    """,
 names AS (SELECT src AS node FROM lanes UNION SELECT dst FROM lanes),
 walks AS (
   SELECT src AS s, dst AS t, 1 AS d FROM lanes
@@ -154,14 +168,15 @@ n AS (SELECT count(*) AS n FROM names)
 SELECT count(*) = max(n * (n - 1)) AS strongly_connected,
        CASE WHEN count(*) = max(n * (n - 1)) THEN round(avg(d), 8) END AS average_path_length
 FROM dist, n""",
+    _recursive,
 )
-def lane_average_path(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(network.average_path_length(network.path_metrics(lanes(spark, folder))), 8)
+def lane_average_path(edges: DataFrame) -> DataFrame:
+    return rounded(network.average_path_length(network.path_metrics(edges)), 8)
 
 
-@query("lane_eigenvector")
-def lane_eigenvector(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(network.eigenvector_centrality(lanes(spark, folder)), 6)
+@lane_query("lane_eigenvector")
+def lane_eigenvector(edges: DataFrame) -> DataFrame:
+    return rounded(network.eigenvector_centrality(edges), 6)
 
 
 @query(
@@ -215,21 +230,21 @@ def supply_features(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(network.network_features(supply(spark, folder), "src", "dst", "weight"), 8)
 
 
-@query("lane_communities")
-def lane_communities(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(network.communities(lanes(spark, folder)), 6)
+@lane_query("lane_communities")
+def lane_communities(edges: DataFrame) -> DataFrame:
+    return rounded(network.communities(edges), 6)
 
 
-@query("lane_critical_nodes")
-def lane_critical_nodes(spark: SparkSession, folder: str) -> DataFrame:
+@lane_query("lane_critical_nodes")
+def lane_critical_nodes(edges: DataFrame) -> DataFrame:
     """The ten first nodes of every metric."""
-    critical = network.critical_nodes(network.centrality_metrics(lanes(spark, folder)))
+    critical = network.critical_nodes(network.centrality_metrics(edges))
     return rounded(critical, 6)
 
 
-@query("lane_consensus_nodes")
-def lane_consensus_nodes(spark: SparkSession, folder: str) -> DataFrame:
-    metrics = network.centrality_metrics(lanes(spark, folder), eigenvector=False)
+@lane_query("lane_consensus_nodes")
+def lane_consensus_nodes(edges: DataFrame) -> DataFrame:
+    metrics = network.centrality_metrics(edges, eigenvector=False)
     return rounded(network.consensus_nodes(network.critical_nodes(metrics)), 6)
 
 
@@ -281,24 +296,19 @@ def supply_resilience(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(shown.withColumn("nodes_removed", F.array_join("nodes_removed", ",")), 6)
 
 
-@query(
+@lane_query(
     "lane_density",
-    with_view(
-        LANES,
-        """,
+    """,
 names AS (SELECT src AS node FROM lanes UNION SELECT dst FROM lanes)
 SELECT round((SELECT count(*) FROM lanes)::DOUBLE / (count(*) * (count(*) - 1)), 8) AS density FROM names""",
-    ),
 )
-def lane_density(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(network.density(lanes(spark, folder)), 8)
+def lane_density(edges: DataFrame) -> DataFrame:
+    return rounded(network.density(edges), 8)
 
 
-@query(
+@lane_query(
     "lane_clustering",
-    with_view(
-        LANES,
-        """,
+    """,
 ways AS (SELECT src AS a, dst AS b FROM lanes UNION SELECT dst, src FROM lanes),
 deg AS (SELECT a AS node, count(*) AS degree FROM ways GROUP BY 1),
 tri AS (
@@ -308,7 +318,6 @@ tri AS (
 SELECT node, degree, coalesce(triangles, 0) AS triangles,
        round(coalesce(2 * triangles / nullif(degree * (degree - 1), 0)::DOUBLE, 0), 8) AS clustering
 FROM deg LEFT JOIN tri USING (node)""",
-    ),
 )
-def lane_clustering(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(network.clustering(lanes(spark, folder)), 8)
+def lane_clustering(edges: DataFrame) -> DataFrame:
+    return rounded(network.clustering(edges), 8)

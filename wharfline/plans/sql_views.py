@@ -142,6 +142,9 @@ lane_pairs AS (
 ),
 lanes AS (SELECT * FROM lane_pairs WHERE weight > (SELECT avg(weight) FROM lane_pairs))"""
 
+# The same without the filter: every pair of nations that trade.
+WHOLE_LANES = LANES.replace(" WHERE weight > (SELECT avg(weight) FROM lane_pairs)", "")
+
 
 def with_view(view: str, body: str) -> str:
     """A statement over one of the views above; ``body`` may open with further ones after a comma."""

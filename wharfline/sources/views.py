@@ -221,7 +221,7 @@ def supply_edges(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def trade_lanes(spark: SparkSession, folder: str) -> DataFrame:
-    """Supplier nation -> customer nation, the pairs that carry more than the mean quantity."""
+    """Supplier nation -> customer nation with the quantity sold, all pairs of two nations."""
     lines = table(spark, folder, "lineitem").join(
         table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
@@ -242,4 +242,9 @@ def trade_lanes(spark: SparkSession, folder: str) -> DataFrame:
         )
         .agg(F.sum("q").alias("weight"))
     )
-    return pairs.where(F.col("weight") > pairs.agg(F.avg("weight")).scalar())
+    return pairs
+
+
+def busy_lanes(lanes: DataFrame) -> DataFrame:
+    """The lanes heavier than the mean of all."""
+    return lanes.where(F.col("weight") > lanes.agg(F.avg("weight")).scalar())
