@@ -66,3 +66,25 @@ def test_equals_a_dictionary_of_windows(spark, documents, monkeypatch, at_once):
 
 def test_empty(documents):
     assert rec.digests(documents([])).count() == 0 and rec.without_repeats(documents([])).count() == 0
+
+
+@pytest.mark.parametrize("shared_id", [None, 900])
+def test_a_row_gets_only_its_own_windows(documents, monkeypatch, shared_id):
+    """Many rows without an id, or of one id, share passages with others; no list holds windows of several rows."""
+    rng = random.Random(3)
+    words = lambda n: " ".join(rng.choice("abcdefghij") * rng.randint(1, 4) for _ in range(n))
+    passages = [words(30) for _ in range(4)]
+    rows = [(i, f"{passages[i % 4]} {words(9)}") for i in range(8)]
+    rows += [(shared_id, f"{words(5)} {passages[i % 4]} {words(i % 7)}") for i in range(60)]
+    rows += [rows[-1]] * 9  # equal rows have one list
+    starts_of, seen = rec.repeated_starts, []
+
+    def kept(*given):
+        seen.append(starts_of(*given))
+        return seen[-1]
+
+    monkeypatch.setattr(rec, "repeated_starts", kept)
+    got = sorted((tuple(r)[:3] for r in rec.digests(documents(rows)).collect()), key=str)
+    assert got == sorted((x[:3] for x in plain_repeats(rows)), key=str)
+    lists = [len(r.starts) for r in seen[0].collect()]
+    assert len(lists) == 64 and max(lists) <= 29  # a text has 41 words at most

@@ -35,6 +35,8 @@ symbol depends on the window alone.
 Defined cases: null text and text without words have no words and lose none;
 null ids count as larger than all others; a repeated row (equal id) is never a
 smaller document, so twins keep what only they share; empty tables give no rows.
+Where ids are null or repeated, lists and joins go by id and a hash of the text,
+so no row gets the windows of another one; rows equal in both have one list.
 """
 
 from __future__ import annotations
@@ -199,35 +201,44 @@ def _parts(frame: pd.DataFrame, known: Names) -> Iterator[tuple[np.ndarray, np.n
         yield np.concatenate(names), np.concatenate(rows), np.concatenate(places)
 
 
-def shared_symbols(documents: DataFrame, width: int = WINDOW) -> DataFrame:
-    """Rows id, first, last: windows of a text whose symbol is in another document, too."""
+def shared_symbols(documents: DataFrame, keys: list[str], width: int = WINDOW) -> DataFrame:
+    """Keys and windows: windows of a text whose symbol is in another document, too."""
 
     def parsed(batches):
         known = Names()
         for frame in batches:
-            ids = frame["id"].to_numpy()
+            own = {k: frame[k].to_numpy() for k in keys}
             for names, rows, places in _parts(frame, known):
                 # Parts of one long text lie side by side only if they overlap, so a jump in place is a border.
                 owner = np.cumsum(np.concatenate(([0], (np.diff(rows) != 0) | (np.diff(places) != 1))))
                 key, first, last = anchors(names, owner, width)
                 yield pd.DataFrame({
-                    "symbol": (key >> np.uint64(8)).view(np.int64), "id": ids[rows[first]],
+                    "symbol": (key >> np.uint64(8)).view(np.int64), **{k: v[rows[first]] for k, v in own.items()},
                     "windows": (places[first] << 20) | (places[last] - places[first]),
                 })
 
-    found = documents.select("id", "text").mapInPandas(parsed, "symbol long, id long, windows long")
+    found = documents.mapInPandas(parsed, f"symbol long, {_longs(keys)}, windows long")
     together = Window.partitionBy("symbol")
     spread = found.withColumns({"_low": F.min("id").over(together), "_high": F.max("id").over(together)})
-    return spread.where("_low < _high").select("id", "windows")
+    return spread.where("_low < _high").select(*keys, "windows")
 
 
-def repeats(documents: DataFrame, shared: DataFrame, width: int = WINDOW) -> DataFrame:
-    """Rows id, twin, start: different windows of a text that also start in a document of smaller id.
+def _longs(keys: list[str]) -> str:
+    return ", ".join(f"{k} long" for k in keys)
+
+
+def gathered(keys: list[str], column: str) -> Column:
+    """The values of a key. Equal rows have equal values, which a set keeps once, map-side already."""
+    return F.collect_list(column) if keys == ["id"] else F.collect_set(column)
+
+
+def repeats(documents: DataFrame, shared: DataFrame, keys: list[str], width: int = WINDOW) -> DataFrame:
+    """Keys and start: different windows of a text that also start in a document of smaller id.
 
     The start is that of the window's first place in the text, or, where the text
     repeats the window, that start less 2^31.
     """
-    grouped = shared.groupBy("id").agg(F.collect_list("windows").alias("spans"))
+    grouped = shared.groupBy(*keys).agg(gathered(keys, "windows").alias("spans"))
 
     def candidates(names: np.ndarray, spans: np.ndarray) -> np.ndarray:
         n = len(names) - width + 1
@@ -238,14 +249,13 @@ def repeats(documents: DataFrame, shared: DataFrame, width: int = WINDOW) -> Dat
         return np.flatnonzero(np.cumsum(edges[:-1]) > 0)
 
     def frame_of(parts: list[tuple]) -> pd.DataFrame:
-        one, rest, key, twin = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return pd.DataFrame({"one": one, "rest": rest, "id": key, "twin": twin})
+        return pd.DataFrame(dict(zip(["one", "rest", *keys], map(np.concatenate, zip(*parts, strict=True)), strict=True)))
 
     def hashed(batches):
         known = Names()
         for frame in batches:
             parts, n = [], 0
-            for key, twin, text, spans in zip(frame["id"], frame["twin"], frame["text"], frame["spans"], strict=True):
+            for text, spans, *own in zip(frame["text"], frame["spans"], *[frame[k] for k in keys], strict=True):
                 names = known.of(text.encode().split() if isinstance(text, str) else [])
                 if len(names) < width:
                     continue
@@ -257,7 +267,7 @@ def repeats(documents: DataFrame, shared: DataFrame, width: int = WINDOW) -> Dat
                 order = np.argsort(at)  # in order of the text, rows compress better
                 at, many = at[order], many[order]
                 rest = (two[at] << 32) | ((many > 1).astype(np.int64) << 31) | starts[at]
-                parts.append((one[at], rest, np.full(len(at), key), np.full(len(at), twin)))
+                parts.append((one[at], rest, *[np.full(len(at), k) for k in own]))
                 n += len(at)
                 if n >= WORDS_AT_ONCE:
                     yield frame_of(parts)
@@ -265,11 +275,11 @@ def repeats(documents: DataFrame, shared: DataFrame, width: int = WINDOW) -> Dat
             if parts:
                 yield frame_of(parts)
 
-    windows = documents.join(grouped, "id").mapInPandas(hashed, "one long, rest long, id long, twin long")
+    windows = documents.join(grouped, keys).mapInPandas(hashed, f"one long, rest long, {_longs(keys)}")
     lowest = F.min("id").over(Window.partitionBy("one", F.shiftright("rest", 32)))
     found = windows.withColumn("_low", lowest).where("id > _low")
     low = F.col("rest").bitwiseAND(F.lit(2**32 - 1))
-    return found.select("id", "twin", F.when(low >= 2**31, low - 2**32).otherwise(low).cast("int").alias("start"))
+    return found.select(*keys, F.when(low >= 2**31, low - 2**32).otherwise(low).cast("int").alias("start"))
 
 
 def row_key(doc_id: Column) -> Column:
@@ -277,31 +287,26 @@ def row_key(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(LAST))
 
 
-def twin_key(documents: DataFrame):
-    """What tells rows of equal id apart, of their text: zero where ids are unique, else an odd hash."""
+def row_keys(documents: DataFrame) -> list[str]:
+    """What tells rows apart: their id where ids are unique, else also a hash of their text."""
     repeated = documents.groupBy(row_key(F.col("doc_id")).alias("id")).count().where("count > 1")
-    unique = repeated.isEmpty()
-    return lambda text: F.lit(0).cast("long") if unique else F.xxhash64(text).bitwiseOR(F.lit(1).cast("long"))
+    return ["id"] if repeated.isEmpty() else ["id", "twin"]
 
 
-def prepared(documents: DataFrame, twin) -> DataFrame:
-    return documents.select(row_key(F.col("doc_id")).alias("id"), twin(F.col("text")).alias("twin"), "text")
+def key_columns(doc_id: Column, text: Column, keys: list[str]) -> dict[str, Column]:
+    both = {"id": row_key(doc_id), "twin": F.xxhash64(text)}
+    return {k: both[k] for k in keys}
 
 
-def repeated_starts(rows: DataFrame, width: int = WINDOW) -> DataFrame:
-    """_id, starts, twins: the repeated windows of all ``prepared`` rows of an id."""
-    found = repeats(rows, shared_symbols(rows, width), width)
-    # Where ids are unique no twin is collected: the starts are all of one row.
-    twins = F.collect_list(F.when(F.col("twin") != 0, F.col("twin"))).alias("twins")
-    return found.groupBy(F.col("id").alias("_id")).agg(F.collect_list("start").alias("starts"), twins)
+def prepared(documents: DataFrame, keys: list[str]) -> DataFrame:
+    own = key_columns(F.col("doc_id"), F.col("text"), keys)
+    return documents.select(*[c.alias(k) for k, c in own.items()], "text")
 
 
-def own_starts(starts, twins, twin: int) -> np.ndarray:
-    """The repeated windows of one row among those of its id."""
-    if starts is None or not len(starts):
-        return np.zeros(0, np.int64)
-    starts = np.asarray(starts, np.int64)
-    return starts[np.asarray(twins, np.int64) == twin] if len(twins) else starts
+def repeated_starts(rows: DataFrame, keys: list[str], width: int = WINDOW) -> DataFrame:
+    """_id (and _twin), starts: the repeated windows of each of the ``prepared`` rows that has some."""
+    found = repeats(rows, shared_symbols(rows, keys, width), keys, width)
+    return found.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(gathered(keys, "start").alias("starts"))
 
 
 def all_places(words: list[bytes], starts: np.ndarray, width: int) -> np.ndarray:
@@ -314,13 +319,13 @@ def all_places(words: list[bytes], starts: np.ndarray, width: int) -> np.ndarray
     return np.concatenate((starts[~several], again))
 
 
-def kept_words(text: str | None, starts: np.ndarray, width: int = WINDOW) -> tuple[int, list[bytes]]:
+def kept_words(text: str | None, starts: np.ndarray | None, width: int = WINDOW) -> tuple[int, list[bytes]]:
     """The number of words of a text, and the words no repeated window covers."""
     words = text.encode().split() if isinstance(text, str) else []
-    if not len(starts):
+    if starts is None or not len(starts):
         return len(words), words
     edges = np.zeros(len(words) + width + 1, np.int32)
-    starts = np.unique(all_places(words, starts, width))
+    starts = np.unique(all_places(words, np.asarray(starts, np.int64), width))
     edges[starts] += 1
     edges[starts + width] -= 1
     covered = np.cumsum(edges[: len(words)]) > 0
@@ -333,34 +338,33 @@ def without_repeats(documents: DataFrame, width: int = WINDOW) -> DataFrame:
     Texts that lose nothing are kept as they are, white space included.
     """
     small_batches(documents.sparkSession)
-    twin = twin_key(documents)
-    found = repeated_starts(prepared(documents, twin), width)
+    keys = row_keys(documents)
+    found = repeated_starts(prepared(documents, keys), keys, width)
 
     @F.pandas_udf("string")
     def cut(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for columns in batches:
             out = []
-            for text, starts, twins, own in zip(*columns, strict=True):
-                n, kept = kept_words(text, own_starts(starts, twins, own), width)
+            for text, starts in zip(*columns, strict=True):
+                n, kept = kept_words(text, starts, width)
                 out.append(text if n == len(kept) else b" ".join(kept).decode())
             yield pd.Series(out, dtype=object)
 
-    rows = packed(documents).withColumns({"_key": row_key(F.col("_row.doc_id")), "_hash": twin(F.col("_row.text"))})
-    rows = rows.join(found, F.col("_key") == F.col("_id"), "left").withColumn("_text", cut("_row.text", "starts", "twins", "_hash"))
+    own = key_columns(F.col("_row.doc_id"), F.col("_row.text"), keys)
+    rows = packed(documents).withColumns({f"_own_{k}": c for k, c in own.items()})
+    rows = rows.join(found, [F.col(f"_own_{k}") == F.col(f"_{k}") for k in keys], "left").withColumn("_text", cut("_row.text", "starts"))
     return unpacked(rows, documents.columns, text=F.col("_text"), n_chars=F.char_length("_text").cast("long"))
 
 
 def digests(documents: DataFrame, width: int = WINDOW) -> DataFrame:
     """Per document its number of words, of removed words, and a digest of the kept ones."""
     small_batches(documents.sparkSession)
-    rows = prepared(documents, twin_key(documents))
+    keys = row_keys(documents)
+    rows = prepared(documents, keys)
 
     def cut(batches):
         for frame in batches:
-            out = [
-                kept_words(text, own_starts(starts, twins, twin), width)
-                for text, starts, twins, twin in zip(frame["text"], frame["starts"], frame["twins"], frame["twin"], strict=True)
-            ]
+            out = [kept_words(text, starts, width) for text, starts in zip(frame["text"], frame["starts"], strict=True)]
             yield pd.DataFrame({
                 "id": frame["id"],
                 "n_words": [n for n, _ in out],
@@ -368,8 +372,9 @@ def digests(documents: DataFrame, width: int = WINDOW) -> DataFrame:
                 "kept_sha256": [hashlib.sha256(b" ".join(kept)).hexdigest() for _, kept in out],
             })
 
-    # Both joins are by id alone, so that the texts are shuffled once.
-    marked = rows.join(repeated_starts(rows, width), F.col("id") == F.col("_id"), "left").select("id", "twin", "text", "starts", "twins")
+    # Both joins are by the same keys, so that the texts are shuffled once.
+    found = repeated_starts(rows, keys, width)
+    marked = rows.join(found, [F.col(k) == F.col(f"_{k}") for k in keys], "left").select("id", "text", "starts")
     out = marked.mapInPandas(cut, "id long, n_words long, n_removed long, kept_sha256 string")
     return out.select(F.nullif(F.col("id"), F.lit(LAST)).alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
