@@ -167,6 +167,19 @@ def test_automatic_order(spark):
     assert rows["walk"]["d"] == 1 and rows["steady"]["d"] == 0 and rows["steady"]["p"] + rows["steady"]["q"] >= 1
 
 
+def test_automatic_order_finds_long_lags_and_second_differences(spark):
+    rng = np.random.default_rng(5)
+    bent, lagged = rng.normal(0, 1, 400).cumsum().cumsum(), np.zeros(400)
+    for t in range(5, 400):
+        lagged[t] = -0.6 * lagged[t - 5] + rng.normal()
+    series = panel(spark, bent=bent, lagged=lagged, line=np.arange(400) * 2.0)
+    rows = {r["key"]: r for r in by(fc.auto_arima(series, ["key"]))}
+    assert rows["bent"]["d"] == 2 and rows["line"]["d"] == 1
+    assert rows["lagged"]["d"] == 0 and max(rows["lagged"]["p"], rows["lagged"]["q"]) == 5
+    alone = fc.auto_arima(series.where("key = 'bent'").drop("key")).first()
+    assert (alone["d"], alone["p"], alone["q"]) == (2, rows["bent"]["p"], rows["bent"]["q"])
+
+
 def test_trend_and_season_regression(spark):
     t = np.arange(500)
     y = 30 + 0.05 * t + 4 * np.sin(2 * np.pi * (t + 3) / 7)

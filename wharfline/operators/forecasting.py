@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 from statistics import NormalDist
 
 import numpy as np
@@ -480,17 +481,40 @@ def arima_forecast(
     )
 
 
+def differences_needed(panel: DataFrame, keys: Sequence[str], max_d: int = 2) -> DataFrame:
+    """Keys and ``_d``: the fewest differences after which a series tests stationary, ``max_d`` if none.
+
+    A series that differencing leaves constant, or too short to test, needs no further difference.
+    """
+    keys = list(keys)
+    window = series_window(keys)
+    found = check_stationarity(panel, keys).select(*keys, F.col("is_stationary").alias("_stays"))
+    found = found.withColumn("_d", F.when(F.col("_stays"), 0).otherwise(min(1, max_d))).drop("_stays")
+    changed = without_gaps(panel.where(F.col("y").isNotNull()), keys)
+    for d in range(1, max_d):
+        step = changed.withColumn("y", F.col("y") - F.lag("y").over(window))
+        changed = durable(step.where(F.col("y").isNotNull()).select(*keys, "ds", "y"))
+        varies = changed.groupBy(*keys).agg((F.min("y") < F.max("y")).alias("_varies"))
+        tested = check_stationarity(changed, keys).select(*keys, (~F.col("is_stationary")).alias("_moves"))
+        more = _match(tested, varies, keys).where("_moves AND _varies").select(*keys, F.lit(True).alias("_more"))
+        found = found.join(more, keys, "left")
+        again = (F.col("_d") == d) & F.coalesce("_more", F.lit(False))
+        found = found.withColumn("_d", F.when(again, d + 1).otherwise(F.col("_d"))).drop("_more")
+    return durable(found)
+
+
 def auto_arima(
-    panel: DataFrame, keys: Sequence[str] = (), max_p: int = 2, max_q: int = 2
+    panel: DataFrame, keys: Sequence[str] = (), max_p: int = 5, max_q: int = 5, max_d: int = 2
 ) -> DataFrame:
-    """Order per series: one difference unless the series tests stationary, then (p, q) by AIC."""
+    """Order per series: as many differences as make it stationary, then (p, q) by AIC; no seasonal lags."""
+    if not keys:
+        return auto_arima(panel.withColumn("_all", F.lit(0)), ["_all"], max_p, max_q, max_d).drop("_all")
     grid = [(i, j) for i in range(max_p + 1) for j in range(max_q + 1)]
     panel = durable(panel)
-    tested = check_stationarity(panel, keys).select(*keys, "is_stationary")
-    level = fit_arima(panel, keys, (max_p, 0, max_q), candidates=grid)
-    changed = fit_arima(panel, keys, (max_p, 1, max_q), candidates=grid)
-    both = _match(level.unionByName(changed), tested, keys)
-    return both.where(F.col("d") == F.when(F.col("is_stationary"), 0).otherwise(1)).drop("is_stationary")
+    needed = differences_needed(panel, keys, max_d)
+    fits = [fit_arima(panel, keys, (max_p, d, max_q), candidates=grid) for d in range(max_d + 1)]
+    every = reduce(DataFrame.unionByName, fits)
+    return _match(every, needed, keys).where(F.col("d") == F.col("_d")).drop("_d")
 
 
 # ------------------------------------------------ trend and season regression
