@@ -40,6 +40,14 @@ def test_sample_is_bounded_and_leaves_out_the_held_out_fold(documents, labels):
     assert len(ids) <= 30 and all(zlib.crc32(str(i).encode()) % 4 != 2 for i in ids)
 
 
+def test_sample_is_bounded_with_repeated_ids(documents, labels):
+    docs = documents([(i % 5, f"t {i:03d}") for i in range(200)] + [(3, None)])
+    marks = labels([(i, i % 2, 0, "x", 0.5) for i in range(5)])
+    rows = labelled.training_rows(docs, marks, "quality", 4, 2, rows=30).collect()
+    ids = [i for i in range(5) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert sorted(map(tuple, rows)) == sorted(("" if i == 3 else f"t {i:03d}", float(i % 2)) for i in ids)
+
+
 @pytest.mark.parametrize("module", [quality_gam, toxicity_fm])
 def test_degenerate_input(spark, documents, labels, module):
     docs = documents([(1, None), (2, ""), (3, "some words here"), (None, "x"), (3, "some words here"), (4, "long " * 50_000)])

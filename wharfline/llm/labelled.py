@@ -19,15 +19,18 @@ def training_rows(
     """text and label (0.0 or 1.0) of at most ``rows`` labelled documents outside the held-out fold.
 
     The sample is the first ``rows`` ids in a hashed order, so it is the same in
-    every run. It is broadcast: its size is bounded by ``rows``.
+    every run. It is broadcast: its size is bounded by ``rows``. An id that
+    stands on several rows gives one, with its least text.
     """
-    chosen = (
+    chosen = (  # one row per label: an id labelled twice counts twice
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), folds) != held_out))
         .select(F.col("doc_id").alias("_id"), F.col(label).cast("double").alias("label"))
         .orderBy(F.md5(F.col("_id").cast("string")), "label")
         .limit(rows)
     )
     texts = documents.select("doc_id", "text")
-    return texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select(
-        F.coalesce("text", F.lit("")).alias("text"), "label"
-    )
+    ids = chosen.groupBy("_id").agg(F.collect_list("label").alias("_labels"))
+    found = texts.join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
+    # Least texts are found map-side first, so a repeated id moves one text per task.
+    one = found.groupBy("_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.first("_labels").alias("_labels"))
+    return one.select("text", F.explode("_labels").alias("label"))
