@@ -17,9 +17,3 @@ def spark():
     session = local_session("8", "wharfline-tests", **{"spark.sql.shuffle.partitions": "4"})
     yield session
     session.stop()
-
-
-def by(df, *keys):
-    """Rows as dicts, sorted by the given columns."""
-    rows = [r.asDict() for r in df.collect()]
-    return sorted(rows, key=lambda r: tuple((r[k] is not None, r[k]) for k in keys)) if keys else rows

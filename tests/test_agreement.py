@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import by
+from row_helpers import by
 from wharfline.functions.joins import join_statistics
 from wharfline.functions.quantiles import exact_quantiles
 from wharfline.operators import aggregates as agg

@@ -2,7 +2,7 @@ import datetime as dt
 import math
 
 import pytest
-from conftest import by
+from row_helpers import by
 from pyspark.sql import functions as F
 
 from wharfline.functions import dates, expressions as ex

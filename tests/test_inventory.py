@@ -1,7 +1,7 @@
 import math
 
 import pytest
-from conftest import by
+from row_helpers import by
 
 from wharfline.functions.normal import normal_quantile
 from wharfline.operators import inventory as inv

@@ -4,7 +4,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
-from conftest import by
+from row_helpers import by
 from pyspark.sql import functions as F
 
 from wharfline.functions.durable import durable, scratch_path, shared_folder

@@ -4,7 +4,7 @@ from collections import defaultdict, deque
 
 import numpy as np
 import pytest
-from conftest import by
+from row_helpers import by
 
 from wharfline.operators import network
 

@@ -3,7 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import by
+from row_helpers import by
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

@@ -3,7 +3,7 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import by
+from row_helpers import by
 
 from wharfline.operators.cleaning import clean_data, fill_missing, parse_date_columns
 from wharfline.operators.leadtimes import aggregate_metrics, calculate_lead_times, calculate_order_statistics

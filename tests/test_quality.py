@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import by
+from row_helpers import by
 
 from wharfline.functions.durable import scratch_path
 from wharfline.operators import catalog, quality
