@@ -9,6 +9,7 @@ from wharfline.llm import (  # noqa: F401
     quality_gam,
     recompression,
     simhash,
+    spelling,
     subspace_join,
     token_counts,
     toxicity_fm,
