@@ -12,6 +12,7 @@ from wharfline.llm import (  # noqa: F401
     spelling,
     subspace_join,
     token_counts,
+    token_files,
     toxicity_fm,
     winnowing,
 )
