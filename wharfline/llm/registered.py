@@ -14,6 +14,7 @@ from wharfline.llm import (  # noqa: F401
     token_counts,
     token_files,
     toxicity_fm,
+    whitening,
     winnowing,
 )
 from wharfline.llm.common import QUERIES, SQL
