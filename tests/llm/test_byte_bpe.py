@@ -2,7 +2,7 @@ import hashlib
 import random
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import pytest
 
 from wharfline.llm import byte_bpe as bpe
@@ -27,7 +27,7 @@ def hard_texts():
 def test_equals_the_library(library):
     encoding, encoder = library
     given = hard_texts()
-    got = [i for _, ids in bpe.encode_batches([pd.DataFrame({"text": given})], encoder, public.PATTERN) for i in ids]
+    got = [i for _, ids in bpe.encode_batches([pa.RecordBatch.from_pydict({"doc_id": list(range(len(given))), "text": given})], encoder, public.PATTERN) for i in ids]
     for text, ids in zip(given, got, strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == encoding.encode_ordinary(text)
         assert encoder.decode(ids) == text.encode()
@@ -39,7 +39,7 @@ def test_full_memory_is_emptied(library, monkeypatch):
     monkeypatch.setattr(bpe, "ENCODED_AT_ONCE", 2)
     monkeypatch.setattr(bpe, "CHARS_AT_ONCE", 500)
     given = hard_texts()[:60]
-    got = [i for _, ids in bpe.encode_batches([pd.DataFrame({"text": given})], encoder, public.PATTERN) for i in ids]
+    got = [i for _, ids in bpe.encode_batches([pa.RecordBatch.from_pydict({"doc_id": list(range(len(given))), "text": given})], encoder, public.PATTERN) for i in ids]
     assert [np.frombuffer(i, "<u4").tolist() for i in got] == [encoding.encode_ordinary(t) for t in given]
 
 
@@ -67,3 +67,12 @@ def test_frames(spark, documents, library):
     back = bpe.decode(bpe.encode(documents(rows[:20]), path, pattern), path).collect()
     assert {r.doc_id: bytes(r.data) for r in back} == {i: t.encode() for i, t in rows[:20]}
     assert bpe.digests(documents([]), path, pattern).count() == 0
+
+
+def test_large_ids_beside_null_ones(documents):
+    rows = [(2**60 + 1, "a b"), (2**60 + 3, "c"), (None, "d e f"), (-(2**63), ""), (2**63 - 1, None)]
+    path, pattern = bpe.public_vocabulary()
+    coded = bpe.encode(documents(rows), path, pattern)
+    back = {r.doc_id: bytes(r.data) for r in bpe.decode(coded, path).collect()}
+    assert back == {i: (t or "").encode() for i, t in rows} == {r.doc_id: "".join(t or "" for i, t in rows if i == r.doc_id).encode() for r in coded.collect()}
+    assert {r.doc_id for r in bpe.digests(documents(rows), path, pattern).collect()} == {i for i, _ in rows}

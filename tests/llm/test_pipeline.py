@@ -68,6 +68,18 @@ def test_stages_equal_plain_recomputation(spark):
     assert sorted(map(tuple, whole)) == sorted(map(tuple, final))
 
 
+def test_no_row_is_lost_beside_null_ids(spark, documents, labels, tmp_path):
+    """Ids above what a double holds, next to a null one, through every stage."""
+    rows = [(2**60 + 1, "the first of the harbour logs " * 3), (2**60 + 3, "cranes and ships and quays"), (None, "a note on tides")]
+    folder = folder_of(tmp_path, documents=documents(rows), labels=labels([(i, 1, 0, "", 0.0) for i, _ in rows]))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[1:3]:
+        docs = stage(spark, docs, folder)
+        assert {r.doc_id for r in docs.collect()} == {i for i, _ in rows}, name
+    ids = {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()}
+    assert ids and ids <= {i for i, _ in rows}
+
+
 def test_nulls_extra_columns_and_empty_tables(spark, documents, labels, tmp_path):
     rows = [(1, None), (2, ""), (None, "no id"), (3, "a few good words"), (3, "a few good words"), (4, "w " * 30_000, None)]
     for n, docs in enumerate((documents(rows), documents([]))):
@@ -96,6 +108,6 @@ def test_every_operator_is_registered_once():
     import __spark_entry__ as contract
 
     names = set(contract.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and set(common.QUERIES) <= names

@@ -70,6 +70,15 @@ def test_components_and_one_of_each(spark, documents):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted(lowest.values(), key=str)
 
 
+def test_large_ids_beside_null_ones(documents):
+    texts = ["one two three four " * 9, "quite another text about harbours", "a third one, of ships and cranes"]
+    rows = [(2**60 + 1, texts[0]), (2**60 + 3, texts[1]), (None, texts[2]), (2**60 + 5, texts[0])]
+    docs = documents(rows)
+    got = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).collect()}
+    assert got == {(2**60 + 1, 2**60 + 1), (2**60 + 3, 2**60 + 3), (None, None), (2**60 + 5, 2**60 + 1)}
+    assert {(r.doc_id, r.text) for r in simhash.one_of_each(docs).collect()} == set(rows[:3])
+
+
 def test_empty(documents):
     assert simhash.near_duplicates(documents([])).count() == 0 and simhash.one_of_each(documents([])).count() == 0
 

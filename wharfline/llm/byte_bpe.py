@@ -19,7 +19,8 @@ once, so executors need not see its file.
 
 Defined cases: null text is empty and has no ids; an empty vocabulary merges
 nothing and is an error only where a single byte has no rank; other columns are
-dropped, and repeated rows are encoded each.
+dropped, and repeated rows are encoded each; null ids and ids of any size come
+through unchanged.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import heapq
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -225,18 +226,19 @@ ENCODED_AT_ONCE = 256  # texts whose new pieces share matrices,
 CHARS_AT_ONCE = 1_000_000  # or fewer where texts are long
 
 
-def encode_batches(batches: Iterable[pd.DataFrame], encoder: Encoder, pattern: str) -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
+def encode_batches(batches: Iterable[pa.RecordBatch], encoder: Encoder, pattern: str) -> Iterator[tuple[pa.Array, list[bytes]]]:
+    """doc ids and the ids of their texts, from batches of both. Doc ids stay Arrow values: pandas has no nulls among integers."""
     import regex
 
     find = regex.compile(pattern).findall
     memory = Remembered(encoder)
-    for frame in batches:
-        texts = [t if isinstance(t, str) else "" for t in frame["text"]]
+    for batch in batches:
+        texts = [t or "" for t in batch.column("text").to_pylist()]
         start = chars = 0
         for at, text in enumerate(texts, 1):
             chars += len(text)
             if at == len(texts) or at - start == ENCODED_AT_ONCE or chars >= CHARS_AT_ONCE:
-                yield frame.iloc[start:at], memory.encode([find(t) for t in texts[start:at]])
+                yield batch.column("doc_id").slice(start, at - start), memory.encode([find(t) for t in texts[start:at]])
                 start, chars = at, 0
 
 
@@ -250,10 +252,13 @@ def encode(documents: DataFrame, path: str, pattern: str) -> DataFrame:
     vocabulary = _vocabulary(documents.sparkSession, path)
 
     def encoded(batches):
-        for part, ids in encode_batches(batches, Encoder(vocabulary.value), pattern):
-            yield pd.DataFrame({"doc_id": part["doc_id"], "ids": [np.frombuffer(x, "<u4").astype(np.int32) for x in ids]})
+        for doc_ids, ids in encode_batches(batches, Encoder(vocabulary.value), pattern):
+            ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+            flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([doc_ids, lists], names=["doc_id", "ids"])
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInPandas(encoded, "doc_id long, ids array<int>")
+    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(encoded, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -262,11 +267,11 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def decoded(batches):
         encoder = Encoder(vocabulary.value)
-        for frame in batches:
-            data = [encoder.decode(np.asarray(x, "<u4").tobytes()) if x is not None else b"" for x in frame["ids"]]
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "data": data})
+        for batch in batches:
+            data = [encoder.decode(np.asarray(x or [], "<u4").tobytes()) for x in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(data, pa.binary())], names=["doc_id", "data"])
 
-    return encoded.select("doc_id", "ids").mapInPandas(decoded, "doc_id long, data binary")
+    return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(decoded, "doc_id long, data binary")
 
 
 def digests(documents: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -275,16 +280,17 @@ def digests(documents: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def digested(batches):
         encoder = Encoder(vocabulary.value)
-        for part, ids in encode_batches(batches, encoder, pattern):
-            yield pd.DataFrame({
-                "doc_id": part["doc_id"],
-                "n_tokens": [len(x) // 4 for x in ids],
-                "ids_sha256": [hashlib.sha256(x).hexdigest() for x in ids],
-                "decoded_sha256": [hashlib.sha256(encoder.decode(x)).hexdigest() for x in ids],
-            })
+        for doc_ids, ids in encode_batches(batches, encoder, pattern):
+            columns = [
+                doc_ids,
+                pa.array([len(x) // 4 for x in ids], pa.int64()),
+                pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                pa.array([hashlib.sha256(encoder.decode(x)).hexdigest() for x in ids], pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInPandas(digested, schema)
+    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(digested, schema)
 
 
 def public_vocabulary() -> tuple[str, str]:

@@ -30,6 +30,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,17 +74,14 @@ def fingerprints(documents: DataFrame, shingle: int = SHINGLE, seed: int = SEED)
     """Per document its 64-bit fingerprint as a signed integer; ``twin`` tells texts of equal id apart."""
     small_batches(documents.sparkSession)
 
-    def hashed(batches):
-        for frame in batches:
-            texts = [t if isinstance(t, str) else None for t in frame["text"]]
-            yield pd.DataFrame({
-                "doc_id": frame["doc_id"].astype("Int64"),
-                "twin": frame["twin"],
-                "code": np.array([fingerprint_text(t, shingle, seed) for t in texts], np.int64),
-            })
+    def hashed(batches):  # ids stay Arrow values: pandas has no nulls among integers
+        for batch in batches:
+            codes = [fingerprint_text(t, shingle, seed) for t in batch.column("text").to_pylist()]
+            columns = [batch.column("doc_id"), batch.column("twin"), pa.array(codes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "twin", "code"])
 
     rows = documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("twin"), "text")
-    return rows.mapInPandas(hashed, "doc_id long, twin long, code long")
+    return rows.mapInArrow(hashed, "doc_id long, twin long, code long")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
