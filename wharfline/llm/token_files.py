@@ -20,7 +20,14 @@ more than that and a document. Only what a finished attempt reports comes into t
 manifest, which also says how many ids stand before each file; files of lost or
 doubled attempts are in no manifest and are removed. Each file is one reading task.
 
-Texts move once, by range. Paths are opened through pyarrow's file systems, so the
+Texts move once, by range, and the task that writes a file encodes them, so ids
+never leave it but for the file. The tokenizer cuts a text between a letter and a
+single space that another letter follows, whatever stands around; so a text is cut
+there first, and a chunk that was seen before has known ids. What is new is cut by
+the tokenizer's own pattern, and new pieces go to the library in one call. Both
+memories are emptied when they are full.
+
+Paths are opened through pyarrow's file systems, so the
 folder may be on any store that executors and driver share.
 
 Defined cases: null text is empty and has the end id alone; null ids come last;
@@ -34,11 +41,14 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,13 +61,22 @@ from wharfline.functions.durable import scratch_path
 from wharfline.llm.common import query, small_batches, table
 
 END = 2  # fixed by the result contract
-FILE_IDS = 1 << 23
+FILE_IDS = 1 << 22
 BLOCK_IDS = 1 << 18
 MAGIC = b"TOKFILE1"
 MANIFEST = "manifest.json"
 CHARS_AT_ONCE = 1_000_000
+TEXTS_AT_ONCE = 256
+REMEMBERED = 300_000  # chunks, and as many pieces
+# White space of any definition: a cut beside none of it is one in all of them.
+_SPACE = "\t-\r\x1c-\x20\x85\xa0\u1680\u180e\u2000-\u200d\u2028-\u202f\u205f\u2060\u3000\ufeff"
+_CUT = f" (?<![{_SPACE}] )(?![{_SPACE}])"
 _HEAD = "<QQQI"
 
+# Fixed values of the byte-level scheme: how its definition reads, and where it cuts.
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 # How many bytes each of the four ranks of a control byte has, how many all have,
 # and for each of 16 result bytes its place in the group (16: there is none).
 _LENGTHS = (np.arange(256)[:, None] >> np.arange(0, 8, 2) & 3) + 1
@@ -151,6 +170,69 @@ def read_file(stream) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.n
         )
 
 
+# ------------------------------------------------------------------ encoding
+
+
+class Coder:
+    """Texts to ids by a tokenizer's definition, as the library has them for whole texts.
+
+    Chunks and pieces are cut where the byte-level tokenizer of the definition
+    cuts, too, so ids of parts join to those of the whole.
+    """
+
+    def __init__(self, definition: str, end: int | None = END):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        import regex
+        from tokenizers import Tokenizer
+
+        described = json.loads(definition)
+        if described["normalizer"] is not None or described["pre_tokenizer"] != BYTE_LEVEL:
+            raise ValueError("the definition is not one of a byte-level tokenizer")
+        self.library = Tokenizer.from_str(definition)
+        self.library.encode_special_tokens = True  # their names in a text are ordinary text
+        self.cut, self.find = re.compile(_CUT).split, regex.compile(PATTERN).findall
+        self.end = b"" if end is None else end.to_bytes(4, "little")
+        self.chunks: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
+        for found in self.library.encode_batch_fast(texts, add_special_tokens=False):
+            yield array("I", found.ids).tobytes()
+
+    def _learn(self, new: list[str]) -> None:
+        """Remember the ids of new chunks."""
+        found = [self.find(chunk) for chunk in new]
+        pieces = list(set(chain.from_iterable(found)).difference(self.pieces))
+        if len(self.pieces) + len(pieces) > REMEMBERED:
+            self.pieces.clear()
+            pieces = list(set(chain.from_iterable(found)))
+        self.pieces.update(zip(pieces, self._encoded(pieces), strict=True))
+        ids = self.pieces.__getitem__
+        self.chunks.update(zip(new, [b"".join(map(ids, own)) for own in found], strict=True))
+
+    def _batch(self, texts: list[str]) -> list[bytes]:
+        cut = [self.cut(t) for t in texts]
+        for chunks in cut:
+            chunks[1:] = [" " + c for c in chunks[1:]]
+        every = set(chain.from_iterable(cut))
+        new = list(every.difference(self.chunks))
+        if len(self.chunks) + len(new) > REMEMBERED:
+            self.chunks.clear()
+            new = list(every)
+        self._learn(new)
+        ids = self.chunks.__getitem__
+        return [b"".join(map(ids, chunks)) + self.end for chunks in cut]
+
+    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        start = chars = 0
+        for at, text in enumerate(texts, 1):
+            chars += len(text or "")
+            if chars >= CHARS_AT_ONCE or at - start == TEXTS_AT_ONCE or at == len(texts):
+                for ids in self._batch([t or "" for t in texts[start:at]]):
+                    yield np.frombuffer(ids, "<u4")
+                start, chars = at, 0
+
+
 # --------------------------------------------------------------- data source
 
 
@@ -179,8 +261,10 @@ class File(InputPartition):
 
 
 class TokenWriter(DataSourceArrowWriter):
-    def __init__(self, path: str, file_ids: int):
-        self.path, self.file_ids = path, file_ids
+    """Rows of doc_id and ids, or of doc_id and text where there is a tokenizer."""
+
+    def __init__(self, path: str, file_ids: int, definition: str | None = None, end: int | None = END):
+        self.path, self.file_ids, self.definition, self.end = path, file_ids, definition, end
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         system, folder = opened(self.path)
@@ -196,14 +280,18 @@ class TokenWriter(DataSourceArrowWriter):
             files.append((partition, len(files), name, len(doc_ids), n))
             doc_ids, ids, n = [], [], 0
 
+        coder = None if self.definition is None else Coder(self.definition, self.end)
         for batch in iterator:
             own = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
-            lists = batch.column(batch.schema.get_field_index("ids"))
-            ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()
-            for at, doc_id in enumerate(own):
+            if coder is not None:
+                coded = coder.encode(batch.column(batch.schema.get_field_index("text")).to_pylist())
+            else:
+                lists = batch.column(batch.schema.get_field_index("ids"))
+                coded = np.split(lists.flatten().to_numpy(), lists.offsets.to_numpy()[1:-1] - lists.offsets[0].as_py())
+            for doc_id, found in zip(own, coded, strict=True):
                 doc_ids.append(doc_id)
-                ids.append(values[ends[at] : ends[at + 1]].copy())
-                n += len(ids[-1])
+                ids.append(found)
+                n += len(found)
                 if n >= self.file_ids:
                     close()
         if doc_ids:
@@ -234,8 +322,8 @@ class TokenWriter(DataSourceArrowWriter):
 
 
 class TokenReader(DataSourceReader):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, digests: bool):
+        self.path, self.digests = path, digests
 
     def partitions(self) -> list[File]:
         found = manifest(self.path)["files"]
@@ -249,28 +337,46 @@ class TokenReader(DataSourceReader):
         with system.open_input_stream(f"{folder}/{partition.name}") as stream:
             for doc_ids, nulls, sizes, ids in read_file(stream):
                 ends = np.concatenate(([0], np.cumsum(sizes)))
-                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc_ids, mask=nulls), pa.array(start + ends[:-1]), lists], names=["doc_id", "start", "ids"]
-                )
+                columns = {"doc_id": pa.array(doc_ids, mask=nulls), "start": pa.array(start + ends[:-1])}
+                if self.digests:
+                    data = ids.astype("<u4").tobytes()
+                    crc = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+                    columns |= {"n_tokens": pa.array(sizes), "ids_crc32": pa.array(crc, pa.int64())}
+                else:
+                    columns["ids"] = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                yield pa.RecordBatch.from_pydict(columns)
                 start += int(ends[-1])
 
 
 class TokenFiles(DataSource):
-    """Rows doc_id, ids to files; rows doc_id, start, ids from them. The path must hold no token files yet."""
+    """Token files of a folder.
+
+    Writes doc_id and ids, or doc_id and text by the tokenizer whose definition
+    is at ``tokenizer`` on the driver, ``end`` behind each document. Reads
+    doc_id, start, ids; with ``content`` "digests" doc_id, start, n_tokens, ids_crc32.
+    """
 
     @classmethod
     def name(cls) -> str:
         return "tokenfiles"
 
+    def _digests(self) -> bool:
+        return self.options.get("content", "ids") == "digests"
+
     def schema(self) -> str:
-        return "doc_id long, start long, ids array<int>"
+        return "doc_id long, start long, " + ("n_tokens long, ids_crc32 long" if self._digests() else "ids array<int>")
 
     def writer(self, schema, overwrite: bool) -> TokenWriter:
-        return TokenWriter(self.options["path"], int(self.options.get("fileIds", FILE_IDS)))
+        definition, end = None, self.options.get("end", "")
+        if "tokenizer" in self.options:
+            with open(self.options["tokenizer"], encoding="utf-8") as file:
+                definition = file.read()
+        return TokenWriter(
+            self.options["path"], int(self.options.get("fileIds", FILE_IDS)), definition, int(end) if end else None
+        )
 
     def reader(self, schema) -> TokenReader:
-        return TokenReader(self.options["path"])
+        return TokenReader(self.options["path"], self._digests())
 
 
 def manifest(path: str) -> dict:
@@ -282,42 +388,6 @@ def manifest(path: str) -> dict:
 
 # ------------------------------------------------------------------ operator
 
-def _tokenizer(definition: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
-
-    coder = Tokenizer.from_str(definition)
-    coder.encode_special_tokens = True  # their names in a text are ordinary text
-    return coder
-
-
-def encoded(documents: DataFrame, tokenizer: str, end: int | None = END) -> DataFrame:
-    """doc_id, ids of every whole text, in the order of the rows; ``tokenizer`` is the path of a definition."""
-    small_batches(documents.sparkSession)
-    with open(tokenizer, encoding="utf-8") as file:
-        definition = documents.sparkSession.sparkContext.broadcast(file.read())
-
-    def ids_of(texts: list[str], coder) -> Iterator[np.ndarray]:
-        last, start, chars = [] if end is None else [end], 0, 0
-        for at, text in enumerate(texts, 1):
-            chars += len(text)
-            if chars >= CHARS_AT_ONCE or at == len(texts):
-                for found in coder.encode_batch_fast(texts[start:at], add_special_tokens=False):
-                    yield np.array(found.ids + last, np.int32)
-                start, chars = at, 0
-
-    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _tokenizer(definition.value)
-        for batch in batches:
-            ids = list(ids_of([t or "" for t in batch.column(1).to_pylist()], coder))
-            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            flat = np.concatenate([*ids, np.zeros(0, np.int32)])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["doc_id", "ids"]
-            )
-
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(coded, "doc_id long, ids array<int>")
-
 
 def in_order(documents: DataFrame) -> DataFrame:
     """doc_id and text, partition after partition in ascending doc_id, null ids last; hot ids are split."""
@@ -330,34 +400,19 @@ def in_order(documents: DataFrame) -> DataFrame:
 
 
 def write(documents: DataFrame, path: str, tokenizer: str, end: int | None = END, file_ids: int = FILE_IDS) -> str:
-    """All texts as ids in files of a folder, in ascending doc_id."""
-    documents.sparkSession.dataSource.register(TokenFiles)
-    rows = encoded(in_order(documents), tokenizer, end)
-    rows.write.format(TokenFiles.name()).mode("append").option("fileIds", str(file_ids)).save(path)
+    """All texts as ids in files of an empty folder, in ascending doc_id."""
+    spark = documents.sparkSession
+    small_batches(spark)
+    spark.dataSource.register(TokenFiles)
+    options = {"tokenizer": tokenizer, "end": "" if end is None else str(end), "fileIds": str(file_ids)}
+    in_order(documents).write.format(TokenFiles.name()).mode("append").options(**options).save(path)
     return path
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start (ids of all documents before), ids."""
+def read(spark: SparkSession, path: str, content: str = "ids") -> DataFrame:
+    """doc_id, start (ids of all documents before), and ids, or digests of them."""
     spark.dataSource.register(TokenFiles)
-    return spark.read.format(TokenFiles.name()).load(path)
-
-
-def digests(rows: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of rows that ``read`` gives."""
-    schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
-
-    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(2)
-            ends, values = lists.offsets.to_numpy(), lists.values.to_numpy().astype("<u4")
-            crc = [zlib.crc32(values[a:b].tobytes()) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.diff(ends).astype(np.int64)), pa.array(crc, pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids_crc32"],
-            )
-
-    return rows.select("doc_id", "start", "ids").mapInArrow(digested, schema)
+    return spark.read.format(TokenFiles.name()).option("content", content).load(path)
 
 
 def public_tokenizer() -> str:
@@ -370,4 +425,4 @@ def public_tokenizer() -> str:
 @query("op12_token_files")
 def op12_token_files(spark, folder):
     path = write(table(spark, folder, "documents"), scratch_path(spark, "token-files"), public_tokenizer())
-    return digests(read(spark, path))
+    return read(spark, path, "digests")

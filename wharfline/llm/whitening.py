@@ -49,6 +49,7 @@ from wharfline.llm.common import query, table
 SCALE = 256  # fixed by the result contract
 COMPONENTS = 4  # fixed by the result contract
 BLOCK_BYTES = 1 << 22
+TASK_BYTES = 1 << 26
 CONVERGED = 1e-13  # residual, as a part of the largest singular value
 VANISHED = 1e-12  # an eigenvalue, as a part of the largest one
 SEED = 11
@@ -90,12 +91,13 @@ def _rows_of(batch: pa.RecordBatch, width: int) -> Iterator[np.ndarray]:
 
 @dataclass
 class FitList:
-    """Blocks of the different vectors, their number, and the sums of their dimensions."""
+    """Blocks of the different vectors, their number, the sums of their dimensions, and how many tasks read them."""
 
     blocks: DataFrame
     width: int
     n: int
     sums: list[int]
+    tasks: int = 1
 
     @property
     def middle(self) -> np.ndarray:
@@ -120,7 +122,7 @@ class FitList:
             if out is not None:
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(out)], names=["place", "value"])
 
-        added = self.blocks.mapInArrow(summed, "place long, value double").groupBy("place").agg(F.sum("value").alias("value"))
+        added = self.blocks.coalesce(self.tasks).mapInArrow(summed, "place long, value double").groupBy("place").agg(F.sum("value").alias("value"))
         out = np.zeros(size)
         for row in added.collect():  # as many rows as the array has entries
             out[row["place"]] = row["value"]
@@ -154,19 +156,20 @@ def fit_list(vectors: DataFrame) -> FitList | None:
     blocks = durable(packed_rows(vectors.where(F.size("x") == width).select("x").distinct(), width))
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, sums = 0, [0] * width
+        n, size, sums = 0, 0, [0] * width
         for batch in batches:
             for rows in _rows_of(batch, width):
-                n += len(rows)
+                n, size = n + len(rows), size + rows.nbytes
                 # Halves of 32 bits add up without overflow in a block of any size.
                 high, low = (rows.astype(np.int64) >> 32).sum(axis=0), (rows.astype(np.int64) & 0xFFFFFFFF).sum(axis=0)
                 sums = [s + (int(h) << 32) + int(m) for s, h, m in zip(sums, high, low, strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width + 1)), pa.array([str(s) for s in [*sums, n]])], names=["place", "sum"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width + 2)), pa.array([str(s) for s in [*sums, n, size]])], names=["place", "sum"])
 
     parts = blocks.mapInArrow(added, "place long, sum string")
     found = parts.groupBy("place").agg(F.sum(F.col("sum").cast("decimal(38,0)")).alias("sum")).collect()
     exact = {r["place"]: int(r["sum"]) for r in found}
-    return FitList(blocks, width, exact[width], [exact[i] for i in range(width)])
+    # Passes are many: a few tasks of many blocks each, however many partitions the shuffle had.
+    return FitList(blocks, width, exact[width], [exact[i] for i in range(width)], -(-exact[width + 1] // TASK_BYTES))
 
 
 # ----------------------------------------------------------- bidiagonalisation
