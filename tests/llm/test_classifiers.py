@@ -85,6 +85,56 @@ def test_factors_learn_a_pair():
     assert ranked(y, toxicity_fm.margins(model, terms, starts)) > 0.99
 
 
+@pytest.mark.parametrize("both", [lambda a, b: a != b, lambda a, b: a and b])
+def test_a_pair_without_single_terms_is_learnt_from_a_table(spark, documents, labels, both):
+    """Whether two words stand together decides, neither of them alone."""
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(60)]
+    rows, marks = [], []
+    for i in range(800):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        said = rng.sample(words, rng.randint(3, 12)) + ["grumble"] * a + ["lantern"] * b
+        rng.shuffle(said)
+        rows.append((i, " ".join(said)))
+        marks.append((i, None, int(both(a, b)), "", 0.0))
+    docs = documents(rows)
+    model = toxicity_fm.train(docs, labels(marks))
+    held = {r.doc_id: r.s for r in docs.select("doc_id", toxicity_fm.toxicity(model, F.col("text")).alias("s")).collect() if zlib.crc32(str(r.doc_id).encode()) % 5 == 0}
+    y = np.array([marks[i][2] for i in held])
+    assert ranked(y, np.array(list(held.values()))) > 0.95
+
+
+def test_training_terms_are_bounded(spark):
+    sample = spark.createDataFrame([(f"some words number {i}", float(i % 2)) for i in range(50)], "text string, label double")
+    whole = toxicity_fm.sparse_rows(sample)
+    some = toxicity_fm.sparse_rows(sample, 200)
+    assert len(whole) == 50 and 0 < sum(len(t) // 4 for t, _ in some) <= 200 and set(some) <= set(whole)
+    assert toxicity_fm.sparse_rows(sample, 0) == []
+
+
+def test_scores_equal_plain_sums(spark, documents, labels):
+    """Every score again from the fitted numbers, term by term, pair by pair, and bin by bin."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60)
+    marks = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    every = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    toxic, good = toxicity_fm.train(every, marks), quality_gam.train(every, marks)
+    rows = docs.select("text", toxicity_fm.toxicity(toxic, F.col("text")).alias("t"), quality_gam.quality(good, F.col("text")).alias("q")).collect()
+    place = {int(b): i for i, b in enumerate(toxic.chosen)}
+    assert len(place) > 20
+    for r in rows:
+        own = {place[b] for b in toxicity_fm.Terms().of(r.text) if b in place}
+        margin = toxic.base + sum(toxic.weights[i] for i in own)
+        margin += sum(float(toxic.factors[i] @ toxic.factors[j]) for i in own for j in own if i < j)
+        assert abs(r.t - 1 / (1 + np.exp(-margin))) < 1e-9
+        values = quality_gam.describe(r.text)
+        total = good.base
+        for j, v in enumerate(values):
+            total += good.tables[j][sum(v >= c for c in good.cuts[j])]
+        for (i, j), own_table in zip(good.pairs, good.pair_tables, strict=True):
+            total += own_table[sum(values[i] >= c for c in good.pair_cuts[i])][sum(values[j] >= c for c in good.pair_cuts[j])]
+        assert abs(r.q - 1 / (1 + np.exp(-total))) < 1e-9
+
+
 def test_terms():
     terms = toxicity_fm.Terms()
     assert terms.of("Idiot, IDIOT!") == terms.of("idiot") and terms.of(None) == terms.of(" .,") == []

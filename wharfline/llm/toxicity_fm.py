@@ -1,15 +1,21 @@
 """Toxicity by a factorization machine over hashed terms.
 
 The terms of a text are its lower-case words and their first four to seven
-letters, hashed into ``BUCKETS`` numbers, each counted once per text. Of these
-the ``TERMS`` whose presence goes most with the label are kept, found by one
-aggregation over the labelled sample. On them a factorization machine learns a
-weight per term and a short vector per term; the product of two vectors weighs a
-pair of terms, so an insult next to a group can count for more than both alone.
-
-The fit sees at most ``TRAIN_ROWS`` labelled rows, each as its kept terms, and
-runs on the driver; what goes to the tasks has ``TERMS`` rows. Nothing is shuffled
-to score.
+letters, hashed into ``BUCKETS`` numbers, each counted once per text. A
+factorization machine learns a weight per term and a short vector per term; the
+product of two vectors weighs a pair of terms, so an insult next to a group can
+count for more than both alone.
+
+It is fitted in two steps, both by logistic loss. First a machine over all
+buckets at once, in small batches, whose weights and vectors shrink towards zero
+by a constant with every step: only terms that matter, alone or beside others,
+can grow. Vectors that have grown to ``GROWN`` times their random start, and terms
+whose presence alone goes with the label (chi-squared), make the machine of the
+second step, which is fitted to the end without that constant pull. A pair
+neither of whose terms says anything alone is thus learnt, too.
+
+The fit sees at most ``TRAIN_ROWS`` labelled rows with at most ``TRAIN_TERMS`` terms
+in all, sparse, and runs on the driver. Nothing is shuffled to score.
 
 Defined cases: null and empty texts have no terms and get the score of such
 texts; without labelled rows, or with one class only, every score is the share
@@ -25,20 +31,24 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wharfline.functions.durable import durable
 from wharfline.llm.common import query, small_batches, table
 from wharfline.llm.labelled import TRAIN_ROWS, fold, training_rows
 
 BUCKETS = 1 << 18
-TERMS = 2048
+TRAIN_TERMS = 40_000_000  # of all training rows; further rows, in a hashed order, are left out
 STEMS = (4, 5, 6, 7)
 FACTORS = 4
 STEPS = 150
 RATE = 0.05
 SHRINK = 2e-4
-CHI_SQUARED = 20.0  # a term with less goes with the label by chance
+CHI_SQUARED, LEAST_TEXTS = 20.0, 5  # a term with less goes with the label by chance
+JOINT_STEPS, JOINT_BATCH, JOINT_RATE, JOINT_SHRINK = 240, 256, 0.05, 3e-3
+START, GROWN = 0.02, 5.0
 THRESHOLD = 0.5
 REMEMBERED = 300_000
 
@@ -118,48 +128,92 @@ def fit(chosen: np.ndarray, terms: np.ndarray, starts: np.ndarray, labels: np.nd
     return Model(chosen, float(base[0]), weights, factors)
 
 
-def choose(sample: DataFrame) -> np.ndarray:
-    """Buckets by how far their presence goes with the label (chi-squared over texts)."""
-
-    def counted(batches):
+def telling(terms: np.ndarray, starts: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Whether a bucket's presence alone goes with the label (chi-squared over texts)."""
+    row = np.repeat(np.arange(len(labels)), np.diff(starts))
+    n, positive = len(labels), labels.sum()
+    a, b = np.bincount(terms, labels[row], BUCKETS), np.bincount(terms, 1 - labels[row], BUCKETS)
+    c, d = positive - a, n - positive - b
+    squared = n * (a * d - b * c) ** 2 / np.maximum((a + b) * (c + d) * positive * (n - positive), 1e-12)
+    return (squared > CHI_SQUARED) & (a + b >= LEAST_TEXTS)
+
+
+def grown(terms: np.ndarray, starts: np.ndarray, labels: np.ndarray, seed: int = 9) -> np.ndarray:
+    """Whether a bucket's vector grows in a machine over all buckets that shrinks what does not matter."""
+    rng, n = np.random.default_rng(seed), len(labels)
+    rounds = -(-JOINT_STEPS * JOINT_BATCH // n)
+    order = np.concatenate([rng.permutation(n) for _ in range(rounds)])
+    share = labels.mean()
+    base, base_square = np.log(share / (1 - share)), 1e-8
+    values = np.zeros((BUCKETS, 1 + FACTORS))  # weight, then vector
+    values[:, 1:] = rng.normal(0, START, (BUCKETS, FACTORS))
+    squares = np.full_like(values, 1e-8)
+    sizes = np.diff(starts)
+    for step in range(JOINT_STEPS):
+        rows = order[step * JOINT_BATCH : (step + 1) * JOINT_BATCH]
+        size = sizes[rows]
+        cuts = np.concatenate(([0], np.cumsum(size)))
+        own, at = np.unique(terms[np.repeat(starts[rows] - cuts[:-1], size) + np.arange(cuts[-1])], return_inverse=True)
+        if not len(own):
+            continue
+        part = Model(own, float(base), values[own, 0], values[own, 1:])
+        wrong = (1 / (1 + np.exp(-np.clip(margins(part, at, cuts), -30, 30))) - labels[rows]) / len(rows)
+        row = np.repeat(np.arange(len(rows)), size)
+        v = part.factors[at]
+        pull = wrong[row][:, None] * (_sums(v, cuts)[row] - v)
+        gradient = np.stack([np.bincount(at, g, len(own)) for g in (wrong[row], *pull.T)], axis=1)
+        squares[own] += gradient**2
+        rate = JOINT_RATE / np.sqrt(squares[own])
+        moved = values[own] - rate * gradient
+        values[own] = np.sign(moved) * np.maximum(np.abs(moved) - rate * JOINT_SHRINK, 0)
+        base_square += wrong.sum() ** 2
+        base -= JOINT_RATE * wrong.sum() / np.sqrt(base_square)
+    return np.sqrt((values[:, 1:] ** 2).sum(axis=1)) > GROWN * START * np.sqrt(FACTORS)
+
+
+def learnt(terms: np.ndarray, starts: np.ndarray, labels: np.ndarray) -> Model:
+    """Both steps, from the sparse rows of the sample."""
+    nothing = np.zeros(0, np.int64)
+    if len(np.unique(labels)) < 2:
+        return fit(nothing, nothing, np.zeros(len(labels) + 1, np.int64), labels)
+    kept = telling(terms, starts, labels) | grown(terms, starts, labels)
+    chosen = np.flatnonzero(kept)
+    place = np.cumsum(kept) - 1
+    inside = kept[terms]
+    before = np.concatenate(([0], np.cumsum(inside)))
+    return fit(chosen, place[terms[inside]], before[starts], labels)
+
+
+def sparse_rows(sample: DataFrame, most: int = TRAIN_TERMS) -> list[tuple[bytes, float]]:
+    """Terms (32-bit integers) and label of the sample's rows, at most so many terms in all, in a fixed order."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms()
-        for frame in batches:
-            seen = np.zeros((2, BUCKETS), np.int32)
-            for text, label in zip(frame["text"], frame["label"], strict=True):
-                seen[int(label > 0.5), terms.of(text)] += 1
-            some = np.flatnonzero(seen.any(axis=0))
-            yield pd.DataFrame({"bucket": some, "clean": seen[0, some], "toxic": seen[1, some]})
-
-    counts = sample.mapInPandas(counted, "bucket long, clean long, toxic long").groupBy("bucket").agg(
-        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
-    )
-    whole = sample.agg(F.sum(1 - F.col("label")).alias("clean"), F.sum("label").alias("toxic")).first()
-    if not whole["clean"] or not whole["toxic"]:
-        return np.zeros(0, np.int64)
-    n = F.lit(whole["clean"] + whole["toxic"])
-    a, b = F.col("toxic"), F.col("clean")
-    c, d = whole["toxic"] - a, whole["clean"] - b
-    squared = n * (a * d - b * c) ** 2 / ((a + b) * (c + d) * F.lit(whole["toxic"] * whole["clean"]))
-    best = counts.where((a + b < n) & (a + b >= 5)).select("bucket", squared.alias("chi"))
-    top = best.where(F.col("chi") > CHI_SQUARED).orderBy(F.col("chi").desc(), "bucket").limit(TERMS)
-    return np.array(sorted(r["bucket"] for r in top.collect()), np.int64)
-
-
-def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
+        for batch in batches:
+            rows = [np.array(terms.of(t), np.int32) for t in batch.column("text").to_pylist()]
+            columns = [pa.array([r.tobytes() for r in rows], pa.binary()), pa.array([len(r) for r in rows], pa.int64()), batch.column("label")]
+            yield pa.RecordBatch.from_arrays(columns, names=["terms", "n", "label"])
+
+    rows = durable(sample.select("text", "label").mapInArrow(found, "terms binary, n long, label double"))
+    place = F.xxhash64("terms")
+    if (rows.agg(F.sum("n")).first()[0] or 0) > most:
+        total, last = 0, None
+        for r in sorted((r["at"], r["n"]) for r in rows.select(place.alias("at"), "n").collect()):  # at most TRAIN_ROWS
+            total += r[1]
+            if total > most:
+                break
+            last = r[0]
+        rows = rows.where(place < last if last is not None else F.lit(False))
+    # A fixed order, so that sums of floats agree in every run.
+    return sorted((bytes(r["terms"]), r["label"]) for r in rows.select("terms", "label").collect())
+
+
+def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most: int = TRAIN_TERMS) -> Model:
     small_batches(documents.sparkSession)
-    sample = training_rows(documents.select("doc_id", "text"), labels, "toxic", 5, 0, rows)
-    chosen = choose(sample)
-
-    def kept(batches):
-        terms = Terms(chosen)
-        for frame in batches:
-            yield pd.DataFrame({"terms": [terms.of(t) for t in frame["text"]], "label": frame["label"]})
-
-    found = sample.mapInPandas(kept, "terms array<int>, label double").toPandas()
-    # Rows in a fixed order, so that sums of floats agree in every run.
-    rows_ = sorted((tuple(int(x) for x in t), float(y)) for t, y in zip(found["terms"], found["label"], strict=True))
-    starts = np.cumsum([0, *(len(t) for t, _ in rows_)])
-    return fit(chosen, np.array([x for t, _ in rows_ for x in t], np.int64), starts, np.array([y for _, y in rows_]))
+    found = sparse_rows(training_rows(documents.select("doc_id", "text"), labels, "toxic", 5, 0, rows), most)
+    starts = np.cumsum([0, *(len(t) // 4 for t, _ in found)])
+    terms = np.frombuffer(b"".join(t for t, _ in found), np.int32)
+    return learnt(terms, starts, np.array([y for _, y in found]))
 
 
 def toxicity(model: Model, text: Column) -> Column:
