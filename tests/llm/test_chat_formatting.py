@@ -50,6 +50,14 @@ def test_lists(spark, name):
     assert [(t["role"], t["text"]) for t in got.turns] == expected
 
 
+def test_roles_of_turn_rows_stay(spark, tmp_path):
+    """Other layouts' names of roles are ordinary roles in a table of turns."""
+    said = [(1, 0, "human", "q"), (1, 1, "gpt", "a"), (1, 2, "model", "b"), (1, 3, "assistant", "c")]
+    frame = spark.createDataFrame(said, "conv_id long, turn long, role string, text string")
+    got = formatted(frame)[1]
+    assert [(t["role"], t["text"]) for t in got.turns] == [x[2:] for x in said] and got.loss == ["c"]
+
+
 def test_flat_layouts_and_unknown_ones_side_by_side(spark):
     schema = "conv_id long, at int, system string, instruction string, input string, output string, prompt string, completion string, question string, answer string, context string"
     rows = [

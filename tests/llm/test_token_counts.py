@@ -59,3 +59,44 @@ def test_a_hot_source_is_one_row_per_batch(spark, rollup):
     hot = spark.range(5000).select(F.lit("hot").alias("source"), F.lit("en").alias("lang"), F.lit(2).alias("new"))
     rollup.commit("hot", token_counts.changes(hot, "v1", new="new"))
     assert spark.read.parquet(f"{rollup.folder}/batch=hot").count() == 1 and totals(rollup) == [("hot", "en", "v1", 5000, 10000)]
+
+
+def test_compaction_keeps_totals_and_batches(spark, rollup):
+    one = token_counts.changes(rows(spark, [("a", "en", 5, None, "", ""), ("b", "en", 2, None, "", "")]), "v1", new="new")
+    rollup.compact()
+    assert rollup.batches() == []
+    rollup.commit("one", one)
+    rollup.compact()
+    rollup.drop_compacted()
+    assert rollup._names("batch") == [] and rollup.batches() == ["one"] and not rollup.commit("one", one)
+    rollup.commit("two", token_counts.changes(rows(spark, [("a", "en", None, 5, "", "")]), "v1", old="old"))
+    assert totals(rollup) == [("b", "en", "v1", 1, 2)]
+    rollup.compact()
+    assert rollup.batches() == ["one", "two"] and totals(rollup) == [("b", "en", "v1", 1, 2)]
+    rollup.drop_compacted()
+    assert len(rollup._names("base")) == 1 and totals(rollup) == [("b", "en", "v1", 1, 2)]
+
+
+def test_a_base_that_died_does_not_count(spark, rollup):
+    one = token_counts.changes(rows(spark, [("a", "en", 5, None, "", "")]), "v1", new="new")
+    rollup.commit("one", one)
+    rollup.compact()
+    system, path = rollup._path(f"{rollup.folder}/base=00000000/totals/_SUCCESS")
+    system.delete(path, False)
+    assert rollup.compacted() == set() and totals(rollup) == [("a", "en", "v1", 1, 5)]
+    rollup.compact()
+    assert rollup.compacted() == {"one"} and totals(rollup) == [("a", "en", "v1", 1, 5)]
+
+
+def test_vocabulary_counts_equal_a_replay_of_the_encoder(spark, documents, tmp_path):
+    from wharfline.llm import byte_bpe
+
+    docs = documents([(1, "some words here", "a"), (2, None, "a"), (None, "more of them", "b"), (2**60 + 1, "x " * 500, None)])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    expected = {}
+    tokens = {r.doc_id: r.n_tokens for r in byte_bpe.digests(docs, *byte_bpe.public_vocabulary()).collect()}
+    for r in docs.collect():
+        n, t = expected.get(r.source, (0, 0))
+        expected[r.source] = (n + 1, t + tokens[r.doc_id])
+    got = token_counts.token_counts_by_vocabulary(spark, str(tmp_path)).collect()
+    assert {r.source: (r.documents, r.tokens) for r in got} == expected

@@ -17,7 +17,8 @@ points, over the texts of assistant turns.
 A conversation is one output row and so must fit a task; everything before it
 is per row, and rows meet in one shuffle by conversation.
 
-Defined cases: null roles and texts are empty; a field counts as filled when it
+Defined cases: null roles and texts are empty; roles are kept as they are, but for the
+names that a layout brings along; a field counts as filled when it
 is not null, a list when one of its elements fills the path; fields no mapping
 names are ignored; a record of unknown fingerprint has no turns and a null
 layout, and a conversation without turns is an empty string; turns of equal
@@ -46,11 +47,15 @@ class Said(NamedTuple):
 
 
 class Each(NamedTuple):
-    """A turn per element of a list, or one turn of the record itself where ``items`` is empty."""
+    """A turn per element of a list, or one turn of the record itself where ``items`` is empty.
+
+    ``names`` maps the layout's own names of roles to canonical ones; other roles stay as they are.
+    """
 
     items: str
     role: str
     text: str
+    names: tuple[tuple[str, str], ...] = ()
 
 
 class Layout(NamedTuple):
@@ -60,12 +65,14 @@ class Layout(NamedTuple):
     turns: tuple[Said | Each, ...]
 
 
+SHARED_NAMES = (("human", "user"), ("gpt", "assistant"), ("bot", "assistant"), ("model", "assistant"))
+
 LAYOUTS = (
     Layout("turn row", ("turn",), ("role", "text"), (Each("", "role", "text"),)),
     Layout("messages", ("messages[].role",), ("messages[].content", "system"),
            (Said("system", ("system",)), Each("messages", "role", "content"))),
     Layout("from and value", ("conversations[].from",), ("conversations[].value", "system"),
-           (Said("system", ("system",)), Each("conversations", "from", "value"))),
+           (Said("system", ("system",)), Each("conversations", "from", "value", SHARED_NAMES))),
     Layout("instruction", ("instruction", "output"), ("input", "system"),
            (Said("system", ("system",)), Said("user", ("instruction", "input")), Said("assistant", ("output",)))),
     Layout("prompt", ("prompt", "completion"), ("system",),
@@ -74,8 +81,6 @@ LAYOUTS = (
            (Said("user", ("context", "question")), Said("assistant", ("answer",)))),
 )
 
-ROLE_NAMES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
-
 OPEN, CLOSE, ROLE_OPEN, ROLE_CLOSE = "<s>", "</s>", "[ROLE]", "[/ROLE]"
 CONTROL = r"(/?(?:s>|INST\]|ROLE\]))"
 
@@ -124,21 +129,18 @@ def fingerprint(records: DataFrame, layouts=LAYOUTS) -> Column:
     return F.md5(F.concat_ws("\n", *filled)) if filled else F.lit(_digest(()))
 
 
-def _role(name: Column) -> Column:
-    plain = F.coalesce(name.cast("string"), F.lit(""))
-    for other, canonical in ROLE_NAMES.items():
-        plain = F.when(plain == other, canonical).otherwise(plain)
-    return plain
-
-
-def _turn(role: Column, text: Column) -> Column:
-    return F.struct(_role(role).alias("role"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
+def _turn(role: Column, text: Column, names: tuple[tuple[str, str], ...] = ()) -> Column:
+    given = F.coalesce(role.cast("string"), F.lit(""))
+    plain = given
+    for other, canonical in names:
+        plain = F.when(given == other, canonical).otherwise(plain)
+    return F.struct(plain.alias("role"), F.coalesce(text.cast("string"), F.lit("")).alias("text"))
 
 
 def _turn_of(spec: Each, names: list[str]):
     """The turn an element of a list stands for; fields the list lacks are empty."""
     role, text = [(lambda x, f=f: x[f]) if f in names else (lambda x: F.lit(None)) for f in (spec.role, spec.text)]
-    return lambda x: _turn(role(x), text(x))
+    return lambda x: _turn(role(x), text(x), spec.names)
 
 
 def _turns(schema: T.StructType, layout: Layout) -> Column | None:
@@ -157,7 +159,7 @@ def _turns(schema: T.StructType, layout: Layout) -> Column | None:
             parts.append(F.transform(F.col(spec.items), _turn_of(spec, schema[spec.items].dataType.elementType.names)))
         else:
             role, text = [F.col(f) if f in schema.names else F.lit(None) for f in (spec.role, spec.text)]
-            parts.append(F.array(_turn(role, text)))
+            parts.append(F.array(_turn(role, text, spec.names)))
     return F.concat(*parts)
 
 
