@@ -75,8 +75,7 @@ def test_a_damaged_block_is_noticed():
 def test_digests_equal_the_library(spark, documents, tmp_path, file_ids):
     path = str(tmp_path / "ids")
     token_files.write(documents(ROWS), path, token_files.public_tokenizer(), file_ids=file_ids)
-    got = token_files.digests(token_files.read(spark, path)).collect()
-    # Equal ids stand in order of a text hash, so the order of those is read from the result.
+    got = token_files.read(spark, path, "digests").collect()
     assert [r["start"] for r in sorted(got, key=lambda r: r["start"])] == np.cumsum([0] + [r["n_tokens"] for r in sorted(got, key=lambda r: r["start"])])[:-1].tolist()
     want = {(d, n, crc) for d, _, n, crc in plain(ROWS)}
     assert {(r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got} == want and len(got) == len(ROWS)
@@ -91,7 +90,7 @@ def test_digests_equal_the_library(spark, documents, tmp_path, file_ids):
 def test_starts_of_unique_ids(spark, documents, tmp_path):
     rows = [(i * 37 % 101, f"text {i} " * (i % 13)) for i in range(101)]
     path = token_files.write(documents(rows), str(tmp_path / "ids"), token_files.public_tokenizer(), file_ids=50)
-    got = by(token_files.digests(token_files.read(spark, path)), "start")
+    got = by(token_files.read(spark, path, "digests"), "start")
     assert [tuple(r.values()) for r in sorted(got, key=lambda r: r["doc_id"])] == plain(sorted(rows))
 
 
@@ -101,10 +100,36 @@ def test_ids_come_back(spark, documents, tmp_path):
     assert [r["start"] for r in rows] == [0, len(rows[0]["ids"])] and rows[1]["ids"] == []
 
 
+def test_parts_join_to_whole_texts(monkeypatch):
+    """White space, letters and numbers of all kinds, and a memory that is emptied."""
+    from tokenizers import Tokenizer
+
+    rng = np.random.default_rng(4)
+    some = [" ", " ", " ", "  ", "\n", "\t", "\x1c", "\x85", "\u00a0", "\u2003", "\u200b", "\u3000", "a", "Ab", "'s", "é", "日本", "12", ".", "…", "\u180e", "\ufeff", "<|endoftext|>", "😀", "𝔸", "Ⅷ", "²", "१", "ͅ", "\u0301", "'ll", "'S"]
+    texts = ["".join(rng.choice(some, rng.integers(0, 40))) for _ in range(3000)] + [None, "", " ", " a", "a ", "a  b", "word " * 9000]
+    with open(token_files.public_tokenizer(), encoding="utf-8") as file:
+        coder = token_files.Coder(file.read(), None)
+    library = Tokenizer.from_file(token_files.public_tokenizer())
+    library.encode_special_tokens = True
+    want = [x.ids for x in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert [x.tolist() for x in coder.encode(texts)] == want
+    monkeypatch.setattr(token_files, "REMEMBERED", 20)
+    monkeypatch.setattr(token_files, "CHARS_AT_ONCE", 500)
+    assert [x.tolist() for x in coder.encode(texts)] == want
+
+
+def test_rows_of_ids_can_be_written(spark, tmp_path):
+    rows = [(1, [5, 6]), (None, []), (2, [70_000])]
+    spark.dataSource.register(token_files.TokenFiles)
+    spark.createDataFrame(rows, "doc_id long, ids array<int>").coalesce(1).write.format("tokenfiles").mode("append").save(str(tmp_path / "x"))
+    got = by(token_files.read(spark, str(tmp_path / "x")), "start")
+    assert [(r["doc_id"], r["ids"]) for r in got] == rows or sorted(map(str, [(r["doc_id"], r["ids"]) for r in got])) == sorted(map(str, rows))
+
+
 def test_empty_table(spark, documents, tmp_path):
     path = token_files.write(documents([]), str(tmp_path / "ids"), token_files.public_tokenizer())
     assert token_files.manifest(path) == {"ids": 0, "files": []}
-    assert token_files.digests(token_files.read(spark, path)).collect() == []
+    assert token_files.read(spark, path, "digests").collect() == []
 
 
 def test_files_of_lost_attempts_are_removed(tmp_path):

@@ -18,29 +18,26 @@ out by ranges of doc_id and sorted, so that partition after partition, file afte
 file, documents ascend. A task closes a file after ``FILE_IDS`` ids, so it holds no
 more than that and a document. Only what a finished attempt reports comes into the
 manifest, which also says how many ids stand before each file; files of lost or
-doubled attempts are in no manifest and are removed. Each file is one reading task.
+doubled attempts are in no manifest and are removed. A few files make a reading task.
 
 Texts move once, by range, and the task that writes a file encodes them, so ids
-never leave it but for the file. The tokenizer cuts a text between a letter and a
-single space that another letter follows, whatever stands around; so a text is cut
-there first, and a chunk that was seen before has known ids. What is new is cut by
-the tokenizer's own pattern, and new pieces go to the library in one call. Both
-memories are emptied when they are full.
+never leave it but for the file. A text is cut as the tokenizer cuts it, each
+different piece goes to the library's model once, and the ids of a batch of texts
+are gathered from those of its pieces at once. What is remembered of pieces is
+dropped when it is full.
 
 Paths are opened through pyarrow's file systems, so the
 folder may be on any store that executors and driver share.
 
-Defined cases: null text is empty and has the end id alone; null ids come last;
-repeated ids stand in order of a hash of their texts, equal rows one after
-another; an empty table has a manifest without files; other columns are dropped.
-Ties of id and text are dealt out by place in the input, which must therefore be a
-stored table: a scan that runs again gives its rows in the same places.
+Defined cases: null text is empty and has the end id alone; null ids come last; rows
+of one id stand in order of their place in the input, which must therefore be a
+stored table (a scan that runs again gives its rows in the same places); an empty
+table has a manifest without files; other columns are dropped.
 """
 
 from __future__ import annotations
 
 import json
-import os
 import re
 import struct
 import uuid
@@ -63,19 +60,18 @@ from wharfline.llm.common import query, small_batches, table
 END = 2  # fixed by the result contract
 FILE_IDS = 1 << 22
 BLOCK_IDS = 1 << 18
+READ_IDS = 1 << 24  # of a reading task, in whole files
 MAGIC = b"TOKFILE1"
 MANIFEST = "manifest.json"
 CHARS_AT_ONCE = 1_000_000
-TEXTS_AT_ONCE = 256
-REMEMBERED = 300_000  # chunks, and as many pieces
-# White space of any definition: a cut beside none of it is one in all of them.
-_SPACE = "\t-\r\x1c-\x20\x85\xa0\u1680\u180e\u2000-\u200d\u2028-\u202f\u205f\u2060\u3000\ufeff"
-_CUT = f" (?<![{_SPACE}] )(?![{_SPACE}])"
+REMEMBERED = 400_000  # pieces
 _HEAD = "<QQQI"
 
-# Fixed values of the byte-level scheme: how its definition reads, and where it cuts.
+# Fixed values of the byte-level scheme: how its definition reads, the classes
+# of characters it knows, and the short forms it cuts off.
 BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+KINDS = (r"\p{L}", r"\p{N}", r"\s")
+SHORT_FORMS = ("s", "t", "re", "ve", "m", "ll", "d")
 
 # How many bytes each of the four ranks of a control byte has, how many all have,
 # and for each of 16 result bytes its place in the group (16: there is none).
@@ -106,10 +102,18 @@ def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes; the last group is filled up with zeros."""
     values = np.zeros(-(-len(ranks) // 4) * 4, "<u4")
     values[: len(ranks)] = ranks
-    extra = (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
-    control = (extra.reshape(-1, 4) << np.arange(0, 8, 2, dtype=np.uint8)).sum(axis=1, dtype=np.uint8)
-    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]]
-    return control.tobytes(), data.tobytes()
+    extra = (values > 0xFF).view(np.uint8)
+    if values.max(initial=0) > 0xFFFF:
+        extra = extra + (values > 0xFFFF) + (values > 0xFFFFFF)
+    fours = extra.reshape(-1, 4)
+    control = fours[:, 0] | fours[:, 1] << 2 | fours[:, 2] << 4 | fours[:, 3] << 6
+    begins = np.cumsum(extra, dtype=np.int64) - extra + np.arange(len(values))
+    data = np.empty(len(values) + int(extra.sum(dtype=np.int64)), np.uint8)
+    data[begins] = values.astype(np.uint8)
+    for byte in range(1, int(extra.max(initial=0)) + 1):
+        some = np.flatnonzero(extra >= byte)
+        data[begins[some] + byte] = (values[some] >> (8 * byte)).astype(np.uint8)
+    return control.astype(np.uint8).tobytes(), data.tobytes()
 
 
 def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
@@ -134,7 +138,7 @@ def blocks_of(doc_ids: list[int | None], ids: list[np.ndarray]) -> Iterator[tupl
 
 def write_file(stream, doc_ids: list[int | None], ids: list[np.ndarray]) -> None:
     """One file of whole documents."""
-    order, ranks = ranked(np.concatenate([*ids, np.zeros(0, np.int64)]).astype(np.int64))
+    order, ranks = ranked(np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32, copy=False))
     stream.write(MAGIC + struct.pack("<I", len(order)) + order.astype("<u4").tobytes())
     done = 0
     for cut, n in blocks_of(doc_ids, ids):
@@ -173,63 +177,99 @@ def read_file(stream) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 # ------------------------------------------------------------------ encoding
 
 
-class Coder:
-    """Texts to ids by a tokenizer's definition, as the library has them for whole texts.
+def byte_names() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself where it can be seen, else the next above 255."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
+def classes() -> tuple[str, str, str]:
+    """The letters, numbers and white space up to U+FFFF, as classes of ``re`` name them."""
+    import regex
+
+    plane = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x10000))))
+
+    def characters(kind: str) -> str:
+        runs = regex.findall(f"{kind}+", plane)
+        return "".join(re.escape(r[0]) + (f"-{re.escape(r[-1])}" if len(r) > 1 else "") for r in runs)
+
+    return tuple(map(characters, KINDS))
 
-    Chunks and pieces are cut where the byte-level tokenizer of the definition
-    cuts, too, so ids of parts join to those of the whole.
+
+def cutter(known: tuple[str, str, str]):
+    """The pieces of a text as the byte-level tokenizer cuts it.
+
+    ``re`` is twice as fast as the module that knows classes of characters by
+    name, given their characters; it is used up to U+FFFF, which its tables hold.
     """
+    import regex
+
+    def pattern(letters: str, numbers: str, space: str) -> str:
+        return (
+            f" ?[{letters}]++| ?[{numbers}]++|'(?:{'|'.join(SHORT_FORMS)})| ?[^{space}{letters}{numbers}]++"
+            f"|[{space}]+(?![^{space}])|[{space}]+"
+        )
+
+    beyond = re.compile("[\U00010000-\U0010ffff]").search
+    fast, any_text = re.compile(pattern(*known)).findall, regex.compile(pattern(*KINDS)).findall
+    return lambda text: any_text(text) if beyond(text) else fast(text)
 
-    def __init__(self, definition: str, end: int | None = END):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        import regex
+
+class Pieces(dict):
+    """Piece -> place among the remembered; a new piece is merged by the library's model."""
+
+    def __init__(self, merge, names: dict[int, str]):
+        super().__init__()
+        self.merge, self.names = merge, names
+        self.begins, self.ids = array("q", [0]), array("I")
+
+    def __missing__(self, piece: str) -> int:
+        self.ids.extend([token.id for token in self.merge(piece.encode().decode("latin-1").translate(self.names))])
+        self.begins.append(len(self.ids))
+        place = self[piece] = len(self)
+        return place
+
+    def forget(self) -> None:
+        self.clear()
+        self.begins, self.ids = array("q", [0]), array("I")
+
+
+class Coder:
+    """Texts to ids by a byte-level tokenizer's definition, as the library has them for whole texts."""
+
+    def __init__(self, definition: str, end: int | None = END, known: tuple[str, str, str] | None = None):
         from tokenizers import Tokenizer
 
         described = json.loads(definition)
         if described["normalizer"] is not None or described["pre_tokenizer"] != BYTE_LEVEL:
             raise ValueError("the definition is not one of a byte-level tokenizer")
         self.library = Tokenizer.from_str(definition)
-        self.library.encode_special_tokens = True  # their names in a text are ordinary text
-        self.cut, self.find = re.compile(_CUT).split, regex.compile(PATTERN).findall
-        self.end = b"" if end is None else end.to_bytes(4, "little")
-        self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
-        for found in self.library.encode_batch_fast(texts, add_special_tokens=False):
-            yield array("I", found.ids).tobytes()
-
-    def _learn(self, new: list[str]) -> None:
-        """Remember the ids of new chunks."""
-        found = [self.find(chunk) for chunk in new]
-        pieces = list(set(chain.from_iterable(found)).difference(self.pieces))
-        if len(self.pieces) + len(pieces) > REMEMBERED:
-            self.pieces.clear()
-            pieces = list(set(chain.from_iterable(found)))
-        self.pieces.update(zip(pieces, self._encoded(pieces), strict=True))
-        ids = self.pieces.__getitem__
-        self.chunks.update(zip(new, [b"".join(map(ids, own)) for own in found], strict=True))
-
-    def _batch(self, texts: list[str]) -> list[bytes]:
-        cut = [self.cut(t) for t in texts]
-        for chunks in cut:
-            chunks[1:] = [" " + c for c in chunks[1:]]
-        every = set(chain.from_iterable(cut))
-        new = list(every.difference(self.chunks))
-        if len(self.chunks) + len(new) > REMEMBERED:
-            self.chunks.clear()
-            new = list(every)
-        self._learn(new)
-        ids = self.chunks.__getitem__
-        return [b"".join(map(ids, chunks)) + self.end for chunks in cut]
+        self.find = cutter(known or classes())
+        self.pieces = Pieces(self.library.model.tokenize, byte_names())
+        self.end = [] if end is None else [end]
+
+    def _batch(self, texts: list[str]) -> Iterator[np.ndarray]:
+        if len(self.pieces) > REMEMBERED:
+            self.pieces.forget()
+        found = [self.find(t) for t in texts]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        place = np.fromiter(map(self.pieces.__getitem__, chain.from_iterable(found)), np.int64, int(counts.sum()))
+        begins, ids = np.array(self.pieces.begins), np.array(self.pieces.ids, "<u4")
+        size = begins[place + 1] - begins[place]
+        ends = np.cumsum(size)
+        flat = ids[np.repeat(begins[place] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
+        borders = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))].tolist()
+        last = np.array(self.end, "<u4")
+        for start, stop in zip(borders[:-1], borders[1:], strict=True):
+            yield np.concatenate((flat[start:stop], last))
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         start = chars = 0
         for at, text in enumerate(texts, 1):
             chars += len(text or "")
-            if chars >= CHARS_AT_ONCE or at - start == TEXTS_AT_ONCE or at == len(texts):
-                for ids in self._batch([t or "" for t in texts[start:at]]):
-                    yield np.frombuffer(ids, "<u4")
+            if chars >= CHARS_AT_ONCE or at == len(texts):
+                yield from self._batch([t or "" for t in texts[start:at]])
                 start, chars = at, 0
 
 
@@ -250,14 +290,12 @@ class Written(WriterCommitMessage):
     files: list[tuple[int, int, str, int, int]]
 
 
-@dataclass
-class File(InputPartition):
-    name: str
-    start: int
+class Files(InputPartition):
+    """Neighbouring files for one reading task: names and the ids before each."""
 
-    def __init__(self, name: str, start: int):
-        super().__init__((name, start))
-        self.name, self.start = name, start
+    def __init__(self, files: list[tuple[str, int]]):
+        super().__init__(files)
+        self.files = files
 
 
 class TokenWriter(DataSourceArrowWriter):
@@ -265,6 +303,7 @@ class TokenWriter(DataSourceArrowWriter):
 
     def __init__(self, path: str, file_ids: int, definition: str | None = None, end: int | None = END):
         self.path, self.file_ids, self.definition, self.end = path, file_ids, definition, end
+        self.known = None if definition is None else classes()
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         system, folder = opened(self.path)
@@ -280,7 +319,7 @@ class TokenWriter(DataSourceArrowWriter):
             files.append((partition, len(files), name, len(doc_ids), n))
             doc_ids, ids, n = [], [], 0
 
-        coder = None if self.definition is None else Coder(self.definition, self.end)
+        coder = None if self.definition is None else Coder(self.definition, self.end, self.known)
         for batch in iterator:
             own = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
             if coder is not None:
@@ -325,27 +364,31 @@ class TokenReader(DataSourceReader):
     def __init__(self, path: str, digests: bool):
         self.path, self.digests = path, digests
 
-    def partitions(self) -> list[File]:
-        found = manifest(self.path)["files"]
-        return [File(f["name"], f["start"]) for f in found] or [File("", 0)]
-
-    def read(self, partition: File) -> Iterator[pa.RecordBatch]:
-        if not partition.name:
-            return
+    def partitions(self) -> list[Files]:
+        tasks, n = [Files([])], 0
+        for f in manifest(self.path)["files"]:
+            if n and n + f["ids"] > READ_IDS:
+                tasks.append(Files([]))
+                n = 0
+            tasks[-1].files.append((f["name"], f["start"]))
+            n += f["ids"]
+        return tasks
+
+    def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
         system, folder = opened(self.path)
-        start = partition.start
-        with system.open_input_stream(f"{folder}/{partition.name}") as stream:
-            for doc_ids, nulls, sizes, ids in read_file(stream):
-                ends = np.concatenate(([0], np.cumsum(sizes)))
-                columns = {"doc_id": pa.array(doc_ids, mask=nulls), "start": pa.array(start + ends[:-1])}
-                if self.digests:
-                    data = ids.astype("<u4").tobytes()
-                    crc = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-                    columns |= {"n_tokens": pa.array(sizes), "ids_crc32": pa.array(crc, pa.int64())}
-                else:
-                    columns["ids"] = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_pydict(columns)
-                start += int(ends[-1])
+        for name, start in partition.files:
+            with system.open_input_stream(f"{folder}/{name}") as stream:
+                for doc_ids, nulls, sizes, ids in read_file(stream):
+                    ends = np.concatenate(([0], np.cumsum(sizes)))
+                    columns = {"doc_id": pa.array(doc_ids, mask=nulls), "start": pa.array(start + ends[:-1])}
+                    if self.digests:
+                        data = ids.astype("<u4").tobytes()
+                        crc = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+                        columns |= {"n_tokens": pa.array(sizes), "ids_crc32": pa.array(crc, pa.int64())}
+                    else:
+                        columns["ids"] = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                    yield pa.RecordBatch.from_pydict(columns)
+                    start += int(ends[-1])
 
 
 class TokenFiles(DataSource):
@@ -392,10 +435,9 @@ def manifest(path: str) -> dict:
 def in_order(documents: DataFrame) -> DataFrame:
     """doc_id and text, partition after partition in ascending doc_id, null ids last; hot ids are split."""
     keyed = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_twin"),
-        F.monotonically_increasing_id().alias("_row"),
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("_place")
     )
-    order = [F.col("doc_id").asc_nulls_last(), F.col("_twin"), F.col("_row")]
+    order = [F.col("doc_id").asc_nulls_last(), F.col("_place")]
     return keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
 
