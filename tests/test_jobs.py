@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wharfline.functions.durable import durable, scratch_path, shared_folder
 from wharfline.operators import aggregates as agg
-from wharfline.operators import costs, filters, ml
+from wharfline.operators import boosting, costs, filters, linearfits, ml
 from wharfline.plans import curation
 from wharfline.sources import files, tables
 from wharfline.streaming import file_cleaner
@@ -145,14 +145,64 @@ def test_split_and_linear_model(samples):
     assert again == pipeline.transform(samples).first()["features"]
 
 
-def test_ridge_matches_the_closed_form(samples):
-    _, train, _ = ml.prepare_features(samples, categorical=[], numerical=["x"])
-    model = ml.regressors(train, "lead_time")["ridge"].fit(train)
-    frame = train.select("features", "lead_time").toPandas()
-    x, y = np.stack([v.toArray() for v in frame["features"]]), frame["lead_time"].to_numpy()
+def plain_rows(df):
+    frame = df.select("features", "lead_time").toPandas()
+    return np.stack([v.toArray() for v in frame["features"]]), frame["lead_time"].to_numpy()
+
+
+def test_ridge_and_lasso_match_plain_solutions(samples):
+    _, train, _ = ml.prepare_features(samples, drop_last=False)
+    x, y = plain_rows(train)
     xc, yc = x - x.mean(0), y - y.mean()
-    expected = np.linalg.solve(xc.T @ xc + ml.RIDGE_ALPHA * np.eye(x.shape[1]), xc.T @ yc)
-    np.testing.assert_allclose(model.coefficients.toArray(), expected, rtol=1e-6)
+    products = linearfits.fold_products(train, "lead_time", F.lit(0))[0]
+    ridge = linearfits.solved(products, ridge=ml.RIDGE_ALPHA)
+    np.testing.assert_allclose(ridge.coefficients, np.linalg.solve(xc.T @ xc + ml.RIDGE_ALPHA * np.eye(x.shape[1]), xc.T @ yc), rtol=1e-6)
+    lasso = linearfits.solved(products, lasso=0.5)
+    pull = xc.T @ (yc - xc @ lasso.coefficients) / len(y)  # at the solution: +-penalty where a coefficient is, less where it is not
+    assert np.abs(pull).max() <= 0.5 + 1e-6 and (lasso.coefficients == 0).any()
+    np.testing.assert_allclose(pull[lasso.coefficients != 0], 0.5 * np.sign(lasso.coefficients[lasso.coefficients != 0]), atol=1e-6)
+    fitted = ridge.transform(train).select("prediction").toPandas()["prediction"].to_numpy()
+    assert np.isclose(linearfits.mean_squared_error(ridge, products), ((y - fitted) ** 2).mean())
+
+
+def test_folds_from_products_equal_refits(samples):
+    _, train, _ = ml.prepare_features(samples)
+    _, cv = ml.train_linear_model(train, "lead_time", folds=4)
+    errors = []
+    parts = [plain_rows(train.where(ml.hash_bucket(["order_id"], 4) == f)) for f in range(4)]
+    for f in range(4):
+        x, y = (np.concatenate([p[k] for g, p in enumerate(parts) if g != f]) for k in range(2))
+        beta = np.linalg.lstsq(np.column_stack([np.ones(len(x)), x]), y, rcond=None)[0]
+        errors.append(np.sqrt(((parts[f][1] - beta[0] - parts[f][0] @ beta[1:]) ** 2).mean()))
+    assert cv == pytest.approx(np.mean(errors), rel=1e-9)
+
+
+def test_prefixes_of_an_ensemble_are_ensembles():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(400, 3))
+    y = np.where(x[:, 0] > 0, 3.0, -1.0) * (x[:, 1] > 0.3) + rng.normal(0, 0.1, 400)
+    bins, test = boosting.binned(x), np.arange(400) % 5 == 0
+    long = boosting.staged_errors(bins, y, test, [5, 20, 60], step=0.2, depth=3, share=0.8)
+    assert [boosting.staged_errors(bins, y, test, [n], step=0.2, depth=3, share=0.8)[0] for n in (5, 20, 60)] == long
+    assert long[-1] < 0.1 * y[test].var() and long[0] > long[-1]
+    # One tree of one level is the best single cut.
+    stump = boosting.staged_errors(bins, y, test, [1], step=1.0, depth=1)[0]
+    train = ~test
+    cuts = [(j, b) for j in range(3) for b in range(bins.max()) if 0 < (bins[train, j] <= b).sum() < train.sum()]
+
+    def after(j, b, rows):
+        left = bins[:, j] <= b
+        means = np.where(left, y[train & left].mean(), y[train & ~left].mean())
+        return ((y - means)[rows] ** 2).mean()
+
+    assert stump == pytest.approx(after(*min(cuts, key=lambda c: after(*c, train)), test))
+
+
+def test_leaves_keep_their_least_rows():
+    bins, y = np.arange(12)[:, None], np.array([9.0] + [0.0] * 11)
+    test = np.zeros(12, bool)
+    test[0] = True
+    assert boosting.staged_errors(np.minimum(bins, 5), y, test, [1], step=1.0, depth=4, least=6) == [81.0]
 
 
 def test_forest_importances_and_intervals(samples):
@@ -172,38 +222,54 @@ def test_forest_importances_and_intervals(samples):
     assert "prediction" in plain.columns and "lower_ci" not in plain.columns
 
 
+def test_walked_trees_equal_the_models_own(samples):
+    _, train, test = ml.prepare_features(samples, drop_last=False)
+    for name in ("random_forest", "gradient_boosting"):
+        model = ml.tree_regressors("lead_time", size=5)[name].fit(train)
+        each = ml.predict(model, test)
+        for i, tree in enumerate(model.trees):
+            each = tree.copy().setPredictionCol(f"_tree{i}").transform(each)
+        rows = each.select(F.array(*[f"_tree{i}" for i in range(5)]).alias("own"), ml.tree_predictions(model).alias("walked")).collect()
+        assert rows and all(r["own"] == r["walked"] for r in rows)
+
+
 def test_boosting_grid(samples):
     _, train, _ = ml.prepare_features(samples)
-    best, fitted = ml.train_boosted_model(train, "lead_time", grid={"maxIter": [2], "maxDepth": [1, 3]}, folds=2)
-    scores = ml.grid_scores(train, fitted).collect()
-    assert len(scores) == 2 and best.getMaxDepth() == 3 and scores[0]["mse"] <= scores[1]["mse"]
+    grid = {"maxIter": [2, 8], "maxDepth": [1, 3]}
+    best, scores = ml.train_boosted_model(train, "lead_time", grid=grid, folds=2)
+    rows = scores.collect()
+    assert len(rows) == 4 and best.getMaxDepth() == 3 and best.getNumTrees == 8
+    assert [r["mse"] for r in rows] == sorted(r["mse"] for r in rows)
     assert len(ml.BOOSTING_GRID) == 5 and all(len(v) == 3 for v in ml.BOOSTING_GRID.values())
+    assert boosting.search_rows(train, "lead_time", ["order_id"], F.lit(0), 50)[0].shape[0] == 50
 
 
 def test_registered_models_are_whole(samples, monkeypatch):
     """Five folds, whole ensembles and the whole grid reach the fits."""
-    from types import SimpleNamespace
-
     from wharfline.plans import ml_queries
 
-    regressors, folded, sizes = ml.regressors, [], []
+    tree_regressors, point_errors, sizes, searched = ml.tree_regressors, boosting.point_errors, [], []
 
-    def small_forest(train, target, seed=42, size=ml.ENSEMBLE_SIZE, depth=5):
+    def small_trees(target, seed=42, size=ml.ENSEMBLE_SIZE, depth=5):
         sizes.append(size)
-        return {"random_forest": regressors(train, target, seed, 3, 2)["random_forest"]}
+        return tree_regressors(target, seed, 3, 2)
 
-    def counted(estimator, df, target, keys, folds=5, seed=42, metric="rmse", grid=None, parallelism=4):
-        folded.append((folds, len(grid or [1])))
-        return SimpleNamespace(avgMetrics=[1.0] * len(grid or [1]), bestModel=None, getEstimatorParamMaps=lambda: grid)
+    def counted(df, target, keys, fold, folds, points, sizes, seed=42, rows=boosting.SEARCH_ROWS):
+        searched.append((folds, len(points), list(sizes)))
+        return point_errors(df, target, keys, fold, 2, points, [1] * (len(sizes) == 1) or [1, 2, 3], seed, 100).replace(
+            {1: sizes[0], 2: sizes[-2] if len(sizes) > 1 else 0, 3: sizes[-1]}, subset=["size"]
+        )
 
     keyed = samples.withColumns({k: samples["order_id"] for k in ml_queries.KEYS if k != "order_id"})
     monkeypatch.setattr(ml_queries, "features", lambda *_: keyed)
-    monkeypatch.setattr(ml, "regressors", small_forest)
-    monkeypatch.setattr(ml, "cross_validated", counted)
+    monkeypatch.setattr(ml, "tree_regressors", small_trees)
+    monkeypatch.setattr(boosting, "point_errors", counted)
     spark = samples.sparkSession
-    assert [r["cv_rmse"] for r in ml_queries.compared_lead_time_models(spark, "").collect()] == [1.0]
+    rows = ml_queries.compared_lead_time_models(spark, "").collect()
+    assert {r["model"] for r in rows} == set(ml.MODELS) and all(r["cv_rmse"] > 0 for r in rows)
     ml_queries.lead_time_feature_importances(spark, "")
     ml_queries.lead_time_intervals(spark, "")
     assert sizes == [ml.ENSEMBLE_SIZE] * 3
-    folded.clear()
-    assert ml_queries.boosted_grid_scores(spark, "").count() == 243 and folded == [(5, 243)]
+    grid = ml_queries.boosted_grid_scores(spark, "").collect()
+    assert len(grid) == 243 and all(r["mse"] > 0 for r in grid)
+    assert searched == [(5, 2, [ml.ENSEMBLE_SIZE]), (5, 81, [100, 200, 300])]
