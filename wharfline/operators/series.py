@@ -217,21 +217,17 @@ def autocorrelation(panel: DataFrame, keys: Sequence[str] = (), lags: int = 40)
     )
     centred = gathered.where("n > 0").select(*keys, "n", F.transform("_s.y", lambda y: y - F.col("_m")).alias("_d"))
 
-    def product(lag: Column) -> Column:
-        long = F.greatest(F.col("n").cast("int") - lag, F.lit(0))
-        pairs = F.zip_with(F.slice("_d", F.lit(1), long), F.slice("_d", lag + 1, long), lambda a, b: a * b)
-        return F.aggregate(pairs, F.lit(0.0), lambda total, x: total + x)
-
-    sums = centred.select(*keys, "n", F.transform(F.sequence(F.lit(0), F.lit(lags)), product).alias("_p"))
-    acf = F.transform("_p", lambda v: F.try_divide(v, F.get(F.col("_p"), F.lit(0))))
-    long = sums.withColumn("_r", acf).select(*keys, "n", "_r", F.posexplode("_r").alias("lag", "acf"))
-    inner = F.slice("_r", F.lit(2), F.greatest(F.col("lag") - 1, F.lit(0)))
-    squares = F.aggregate(inner, F.lit(0.0), lambda total, r: total + r * r)
-    variance = F.when(F.col("lag") == 0, F.lit(0.0)).otherwise((squares * 2 + 1) / F.col("n"))
+    # A row per lag: a product is added up once, where an array of all lags would be planned into each use of it.
+    lagged = centred.select(*keys, "n", "_d", F.explode(F.sequence(F.lit(0), F.lit(lags))).alias("lag")).where(F.col("lag") < F.col("n"))
+    long = F.col("n").cast("int") - F.col("lag")
+    pairs = F.zip_with(F.slice("_d", F.lit(1), long), F.slice("_d", F.col("lag") + 1, long), lambda a, b: a * b)
+    sums = lagged.select(*keys, "n", "lag", F.aggregate(pairs, F.lit(0.0), lambda total, x: total + x).alias("_p"))
+    by_lag = Window.partitionBy(*keys).orderBy("lag")  # as many rows as lags
+    rated = sums.withColumn("acf", F.try_divide("_p", F.first("_p").over(by_lag)))
+    earlier = F.sum(F.when(F.col("lag") > 0, F.col("acf") * F.col("acf"))).over(by_lag.rowsBetween(Window.unboundedPreceding, -1))
+    variance = F.when(F.col("lag") == 0, F.lit(0.0)).otherwise((F.coalesce(earlier, F.lit(0.0)) * 2 + 1) / F.col("n"))
     # Fixed value: 97.5 % quantile of the normal distribution.
-    return long.where(F.col("lag") < F.col("n")).select(
-        *keys, "n", "lag", "acf", (F.sqrt(variance) * 1.959963984540054).alias("band")
-    )
+    return rated.withColumn("band", F.sqrt(variance) * 1.959963984540054).select(*keys, "n", "lag", "acf", "band")
 
 
 def partial_autocorrelation(panel: DataFrame, keys: Sequence[str] = (), lags: int = 40) -> DataFrame:
