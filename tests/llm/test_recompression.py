@@ -64,6 +64,22 @@ def test_equals_a_dictionary_of_windows(spark, documents, monkeypatch, at_once):
     assert untouched <= {(r.doc_id, r.text) for r in left.collect()}
 
 
+def test_whole_copies_lose_all_words_and_send_no_windows(documents):
+    rng = random.Random(8)
+    text = " ".join(rng.choice("abcdefghij") * rng.randint(1, 4) for _ in range(50))
+    other = text + " and more"
+    rows = [(5, text), (3, text), (9, text), (None, text), (7, other), (3, text), (1, "short " * 12), (2, "short " * 12), (4, " " * 40)]
+    docs = documents(rows)
+    got = sorted((tuple(r)[:3] for r in rec.digests(docs).collect()), key=str)
+    assert got == sorted((x[:3] for x in plain_repeats(rows)), key=str)
+    keys = rec.row_keys(docs)
+    prepared = rec.prepared(docs, keys)
+    copies = rec.whole_copies(prepared, keys)
+    assert sorted(r.id for r in copies.collect()) == [2, 5, 9, rec.LAST]
+    found = rec.repeats(prepared, rec.shared_symbols(prepared, keys), copies, keys).collect()
+    assert {r.id for r in found} == {7}
+
+
 def test_empty(documents):
     assert rec.digests(documents([])).count() == 0 and rec.without_repeats(documents([])).count() == 0
 

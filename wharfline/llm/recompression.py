@@ -18,6 +18,10 @@ neighbouring windows mostly have the same one, so that one row is shuffled for
 about five words. Windows of one or two runs have no inner symbol and stand for
 themselves.
 
+Equal texts are one text: a row whose whole text a smaller id has, too, loses every
+word that a window covers, and sends no windows to find that out. Texts are equal
+where their md5 is.
+
 1. Rows of symbol, document and the windows it stands for meet by symbol.
    Symbols of one document only are dropped.
 2. The windows of the others are hashed whole (88 bits) and meet by that hash;
@@ -49,6 +53,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wharfline.functions.durable import durable
 from wharfline.llm.common import packed, query, small_batches, table, unpacked
 
 WINDOW = 13  # words; fixed by the result contract
@@ -232,13 +237,21 @@ def gathered(keys: list[str], column: str) -> Column:
     return F.collect_list(column) if keys == ["id"] else F.collect_set(column)
 
 
-def repeats(documents: DataFrame, shared: DataFrame, keys: list[str], width: int = WINDOW) -> DataFrame:
+def whole_copies(documents: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of rows whose whole text stands in a document of smaller id, too."""
+    texts = documents.where(F.octet_length("text") >= 2 * WINDOW - 1)  # shorter ones have no window
+    same = durable(texts.select(*keys, F.unhex(F.md5("text")).alias("_same")))
+    lowest = same.groupBy("_same").agg(F.min("id").alias("_low"), F.max("id").alias("_high")).where("_low < _high")
+    return same.join(lowest, "_same").where("id > _low").select(*keys).distinct()
+
+
+def repeats(documents: DataFrame, shared: DataFrame, copies: DataFrame, keys: list[str], width: int = WINDOW) -> DataFrame:
     """Keys and start: different windows of a text that also start in a document of smaller id.
 
     The start is that of the window's first place in the text, or, where the text
-    repeats the window, that start less 2^31.
+    repeats the window, that start less 2^31. Rows of ``copies`` are left out.
     """
-    grouped = shared.groupBy(*keys).agg(gathered(keys, "windows").alias("spans"))
+    grouped = shared.groupBy(*keys).agg(gathered(keys, "windows").alias("spans")).join(copies, keys, "left_anti")
 
     def candidates(names: np.ndarray, spans: np.ndarray) -> np.ndarray:
         n = len(names) - width + 1
@@ -304,9 +317,13 @@ def prepared(documents: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def repeated_starts(rows: DataFrame, keys: list[str], width: int = WINDOW) -> DataFrame:
-    """_id (and _twin), starts: the repeated windows of each of the ``prepared`` rows that has some."""
-    found = repeats(rows, shared_symbols(rows, keys, width), keys, width)
-    return found.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(gathered(keys, "start").alias("starts"))
+    """_id (and _twin), starts, copy: the repeated windows of each of the ``prepared`` rows that has some; all of a copy's are."""
+    copies = durable(whole_copies(rows, keys))
+    found = repeats(rows, shared_symbols(rows, keys, width), copies, keys, width)
+    whole = copies.select(*keys, F.lit(None).cast("int").alias("start"), F.lit(True).alias("copy"))
+    both = found.withColumn("copy", F.lit(False)).unionByName(whole)
+    lists = [gathered(keys, "start").alias("starts"), F.bool_or("copy").alias("copy")]
+    return both.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(*lists)
 
 
 def all_places(words: list[bytes], starts: np.ndarray, width: int) -> np.ndarray:
@@ -319,9 +336,11 @@ def all_places(words: list[bytes], starts: np.ndarray, width: int) -> np.ndarray
     return np.concatenate((starts[~several], again))
 
 
-def kept_words(text: str | None, starts: np.ndarray | None, width: int = WINDOW) -> tuple[int, list[bytes]]:
-    """The number of words of a text, and the words no repeated window covers."""
+def kept_words(text: str | None, starts: np.ndarray | None, copy: bool | None, width: int = WINDOW) -> tuple[int, list[bytes]]:
+    """The number of words of a text, and the words no repeated window covers; in a copy of a whole text, all windows are."""
     words = text.encode().split() if isinstance(text, str) else []
+    if copy is True and len(words) >= width:
+        return len(words), []
     if starts is None or not len(starts):
         return len(words), words
     edges = np.zeros(len(words) + width + 1, np.int32)
@@ -345,14 +364,14 @@ def without_repeats(documents: DataFrame, width: int = WINDOW) -> DataFrame:
     def cut(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for columns in batches:
             out = []
-            for text, starts in zip(*columns, strict=True):
-                n, kept = kept_words(text, starts, width)
+            for text, starts, copy in zip(*columns, strict=True):
+                n, kept = kept_words(text, starts, copy, width)
                 out.append(text if n == len(kept) else b" ".join(kept).decode())
             yield pd.Series(out, dtype=object)
 
     own = key_columns(F.col("_row.doc_id"), F.col("_row.text"), keys)
     rows = packed(documents).withColumns({f"_own_{k}": c for k, c in own.items()})
-    rows = rows.join(found, [F.col(f"_own_{k}") == F.col(f"_{k}") for k in keys], "left").withColumn("_text", cut("_row.text", "starts"))
+    rows = rows.join(found, [F.col(f"_own_{k}") == F.col(f"_{k}") for k in keys], "left").withColumn("_text", cut("_row.text", "starts", "copy"))
     return unpacked(rows, documents.columns, text=F.col("_text"), n_chars=F.char_length("_text").cast("long"))
 
 
@@ -364,7 +383,8 @@ def digests(documents: DataFrame, width: int = WINDOW) -> DataFrame:
 
     def cut(batches):
         for frame in batches:
-            out = [kept_words(text, starts, width) for text, starts in zip(frame["text"], frame["starts"], strict=True)]
+            rows = zip(frame["text"], frame["starts"], frame["copy"], strict=True)
+            out = [kept_words(text, starts, copy, width) for text, starts, copy in rows]
             yield pd.DataFrame({
                 "id": frame["id"],
                 "n_words": [n for n, _ in out],
@@ -374,7 +394,7 @@ def digests(documents: DataFrame, width: int = WINDOW) -> DataFrame:
 
     # Both joins are by the same keys, so that the texts are shuffled once.
     found = repeated_starts(rows, keys, width)
-    marked = rows.join(found, [F.col(k) == F.col(f"_{k}") for k in keys], "left").select("id", "text", "starts")
+    marked = rows.join(found, [F.col(k) == F.col(f"_{k}") for k in keys], "left").select("id", "text", "starts", "copy")
     out = marked.mapInPandas(cut, "id long, n_words long, n_removed long, kept_sha256 string")
     return out.select(F.nullif(F.col("id"), F.lit(LAST)).alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
