@@ -215,3 +215,20 @@ def test_gap_months_are_zero(spark):
     assert [(r["date"].isoformat(), r["cost"]) for r in rows] == [
         ("2023-01-31", 3.0), ("2023-02-28", 0.0), ("2023-03-31", 0.0), ("2023-04-30", 5.0),
     ]
+
+
+@pytest.mark.parametrize(("trend", "seasonal"), [("add", "add"), (None, "add"), ("add", "mul"), ("add", None)])
+def test_folded_smoothing_equals_the_recursion(spark, trend, seasonal):
+    rng = np.random.default_rng(5)
+    y = 20 + 0.1 * np.arange(90) + 3 * np.sin(np.arange(90) * 2 * np.pi / 7) + rng.normal(0, 0.5, 90)
+    y[[20, 41, 88]] = np.nan
+    start = dt.date(2023, 1, 1)
+    rows = [("a", start + dt.timedelta(days=i), None if np.isnan(v) else float(v)) for i, v in enumerate(y)]
+    rows += [("short", start + dt.timedelta(days=i), 1.0) for i in range(13)]
+    panel = spark.createDataFrame(rows, "key string, ds date, y double")
+    got = fc.smooth(panel, ["key"], 7, 0.4, 0.2, 0.3, trend, seasonal).collect()
+    sse, level, slope, season, residuals = fc._smooth(y, 7, np.array([[0.4, 0.2, 0.3]]), trend == "add", seasonal)
+    assert [r["key"] for r in got] == ["a"]
+    assert got[0]["level"] == pytest.approx(level[0]) and got[0]["slope"] == pytest.approx(slope[0]) and got[0]["sse"] == pytest.approx(sse[0])
+    assert got[0]["residual_std"] == pytest.approx(np.nanstd(residuals[:, 0]))
+    assert got[0]["season"] == pytest.approx(np.roll(season[0], -(90 % 7)).tolist())

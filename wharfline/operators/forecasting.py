@@ -163,6 +163,87 @@ def check_stationarity(panel: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 # ----------------------------------------------------------- Holt-Winters
 
 
+def _present_mean(values: Column) -> Column:
+    present = F.filter(values, lambda v: v.isNotNull())
+    return F.try_divide(F.aggregate(present, F.lit(0.0), lambda total, v: total + v), F.size(present))
+
+
+def smoothed(
+    values: Column, m: int, alpha: Column, beta: Column, gamma: Column, trend: str | None = "add", seasonal: str | None = "add"
+) -> Column:
+    """The state after smoothing an array of values: level, slope, season, and sums and number of the residuals.
+
+    ``season`` starts with the next step's. The recursion is one fold over the
+    array; it starts from the means of the first two seasons and steps over
+    missing values.
+    """
+    first, second = _present_mean(F.slice(values, 1, m)), _present_mean(F.slice(values, m + 1, m))
+    apart = (lambda v: F.try_divide(v, first)) if seasonal == "mul" else (lambda v: v - first)
+    season = F.transform(F.slice(values, 1, m), lambda v: F.coalesce(apart(v), F.lit(0.0)) if seasonal else F.lit(0.0))
+    start = F.struct(
+        first.alias("level"), ((second - first) / m if trend else F.lit(0.0)).alias("slope"), season.alias("season"),
+        F.lit(0.0).alias("sse"), F.lit(0.0).alias("total"), F.lit(0).cast("long").alias("seen"),
+    )
+
+    def step(state: Column, value: Column) -> Column:
+        s = F.get(state["season"], F.lit(0))
+        base = state["level"] + state["slope"]
+        expected = base * s if seasonal == "mul" else base + s
+        bare = F.try_divide(value, s) if seasonal == "mul" else value - s
+        moved = alpha * bare + (1 - alpha) * base
+        own = F.try_divide(value, base) if seasonal == "mul" else value - base
+        turned = gamma * own + (1 - gamma) * s if seasonal else s
+        slope = beta * (moved - state["level"]) + (1 - beta) * state["slope"] if trend else state["slope"]
+        missed, gone = value - expected, value.isNull()
+
+        def unless_gone(new: Column, old: Column) -> Column:
+            return F.when(gone, old).otherwise(new)
+
+        return F.struct(
+            unless_gone(moved, base).alias("level"),
+            unless_gone(slope, state["slope"]).alias("slope"),
+            F.concat(F.slice(state["season"], 2, m - 1), F.array(unless_gone(turned, s))).alias("season"),
+            (state["sse"] + unless_gone(missed * missed, F.lit(0.0))).alias("sse"),
+            (state["total"] + unless_gone(missed, F.lit(0.0))).alias("total"),
+            (state["seen"] + F.when(gone, 0).otherwise(1)).alias("seen"),
+        )
+
+    return F.aggregate(values, start, step)
+
+
+def _smoothing_series(panel: DataFrame, keys: Sequence[str], m: int, freq: str | None) -> DataFrame:
+    """Keys, last_ds, n, _values: each series of two seasons or more as one array in order of its dates, as long as the calendar."""
+    series = panel.select(*keys, F.col("ds").cast("date").alias("ds"), F.nanvl(F.col("y").cast("double"), F.lit(None)).alias("y"))
+    if freq:
+        series = load_panel(series, "ds", "y", list(keys), freq).select(*keys, "ds", "y")
+    gathered = series.groupBy(*keys).agg(
+        F.max("ds").alias("last_ds"), F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(F.struct("ds", "y"))).alias("_s")
+    )
+    arrays = durable(gathered.select(*keys, "last_ds", "n", F.col("_s.y").alias("_values")))
+    known = [_present_mean(F.slice("_values", at, m)).isNotNull() for at in (1, m + 1)]
+    return arrays.where((F.col("n") >= 2 * m) & known[0] & known[1])
+
+
+def _smoothing_states(fits: DataFrame, keys: Sequence[str]) -> DataFrame:
+    mean = F.try_divide(F.col("_state.total"), F.col("_state.seen"))
+    spread = F.sqrt(F.greatest(F.try_divide(F.col("_state.sse"), F.col("_state.seen")) - mean * mean, F.lit(0.0)))
+    return fits.select(
+        *keys, "last_ds", "n", "alpha", "beta", "gamma", "_state.level", "_state.slope", "_state.sse",
+        spread.alias("residual_std"), "_state.season",
+    )
+
+
+def smooth(
+    panel: DataFrame, keys: Sequence[str] = (), seasonal_periods: int = 7, alpha: float = 0.3, beta: float = 0.1, gamma: float = 0.2,
+    trend: str | None = "add", seasonal: str | None = "add", freq: str | None = "D",
+) -> DataFrame:
+    """Level, slope and seasonal state of each series under given smoothing parameters."""
+    series = _smoothing_series(panel, keys, seasonal_periods, freq)
+    given = [F.lit(float(x)) for x in (alpha, beta, gamma)]
+    named = {n: c for n, c in zip(("alpha", "beta", "gamma"), given)}
+    return _smoothing_states(series.withColumns({**named, "_state": smoothed(F.col("_values"), seasonal_periods, *given, trend, seasonal)}), keys)
+
+
 def _smooth(y: np.ndarray, m: int, grid: np.ndarray, trend: bool, seasonal: str | None):
     """Run the smoothing recursion for all parameter rows of the grid side by side."""
     alpha, beta, gamma = grid.T
@@ -208,7 +289,9 @@ def fit_holt_winters(
 
     The recursion runs over one series of the panel, as long as the calendar,
     for a grid of parameters at once; the grid is narrowed twice around the
-    best point. Series shorter than two seasons are left out.
+    best point. Series shorter than two seasons are left out. For parameters that
+    are given, ``smooth`` does the same as a fold on the JVM; for 375 points that
+    fold takes five times as long as arrays of all points side by side.
     """
     keys, m = list(keys), seasonal_periods
     if trend not in ("add", None) or seasonal not in ("add", "mul", None):
@@ -512,9 +595,10 @@ def auto_arima(
     grid = [(i, j) for i in range(max_p + 1) for j in range(max_q + 1)]
     panel = durable(panel)
     needed = differences_needed(panel, keys, max_d)
-    fits = [fit_arima(panel, keys, (max_p, d, max_q), candidates=grid) for d in range(max_d + 1)]
-    every = reduce(DataFrame.unionByName, fits)
-    return _match(every, needed, keys).where(F.col("d") == F.col("_d")).drop("_d")
+    placed = durable(_match(panel, needed, keys))
+    # Every series is fitted at its own d alone.
+    fits = [fit_arima(placed.where(F.col("_d") == d).drop("_d"), keys, (max_p, d, max_q), candidates=grid) for d in range(max_d + 1)]
+    return reduce(DataFrame.unionByName, fits)
 
 
 # ------------------------------------------------ trend and season regression

@@ -35,6 +35,39 @@ def demand_holt_winters(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(fc.forecast_frame(panel, forecast, KEYS), 4)
 
 
+@query(
+    "demand_smoothing",
+    with_view(
+        DEMAND,
+        """,
+span AS (SELECT region, min(ds) AS low, max(ds) AS high FROM demand GROUP BY 1),
+days AS (SELECT region, unnest(generate_series(low::TIMESTAMP, high::TIMESTAMP, INTERVAL 1 DAY))::DATE AS ds FROM span),
+series AS MATERIALIZED (
+  SELECT region, max(ds) AS last_ds, list(coalesce(y, 0.0) ORDER BY ds) AS ys FROM days LEFT JOIN demand USING (region, ds) GROUP BY 1),
+begun AS (
+  SELECT region, 0 AS t, list_avg(ys[1:7]) AS level, (list_avg(ys[8:14]) - list_avg(ys[1:7])) / 7 AS slope,
+         list_transform(ys[1:7], lambda v: v - list_avg(ys[1:7])) AS season, 0.0::DOUBLE AS sse FROM series),
+run AS (
+  SELECT * FROM begun
+  UNION ALL
+  SELECT region, t + 1, moved, 0.1 * (moved - level) + 0.9::DOUBLE * slope,
+         list_concat(season[2:7], [0.2::DOUBLE * (y - base) + 0.8::DOUBLE * season[1]]),
+         sse + (y - base - season[1]) * (y - base - season[1])
+  FROM (SELECT r.*, s.ys[t + 1] AS y, level + slope AS base,
+               0.3::DOUBLE * (s.ys[t + 1] - season[1]) + 0.7::DOUBLE * (level + slope) AS moved
+        FROM run r JOIN series s USING (region) WHERE t < len(s.ys))),
+ended AS (SELECT run.*, last_ds FROM run JOIN series USING (region) WHERE t = len(ys))
+SELECT region, (last_ds + step::INT) AS ds, round(level + slope * step + season[(step - 1) % 7 + 1], 4) AS forecast, round(sse, 2) AS sse
+FROM ended, (SELECT unnest(range(1, 15)) AS step)""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+)
+def demand_smoothing(spark: SparkSession, folder: str) -> DataFrame:
+    """Two weeks ahead per region under given smoothing parameters."""
+    model = durable(fc.smooth(regular_demand(spark, folder), KEYS, 7, 0.3, 0.1, 0.2))
+    ahead = fc.holt_winters_forecast(model, KEYS, 14).select(*KEYS, "ds", "forecast")
+    return rounded(ahead.join(model.select(*KEYS, "sse"), KEYS), 4, sse=2)
+
+
 @query("stock_holt_winters")
 def stock_holt_winters(spark: SparkSession, folder: str) -> DataFrame:
     """Thirty days of stock per product, season of thirty days."""
