@@ -106,10 +106,9 @@ def test_a_pair_without_single_terms_is_learnt_from_a_table(spark, documents, la
 
 def test_training_terms_are_bounded(spark):
     sample = spark.createDataFrame([(f"some words number {i}", float(i % 2)) for i in range(50)], "text string, label double")
-    whole = toxicity_fm.sparse_rows(sample)
-    some = toxicity_fm.sparse_rows(sample, 200)
+    whole, some = ([(bytes(r.terms), r.label) for r in toxicity_fm.sparse_rows(sample, *most).collect()] for most in ((), (200,)))
     assert len(whole) == 50 and 0 < sum(len(t) // 4 for t, _ in some) <= 200 and set(some) <= set(whole)
-    assert toxicity_fm.sparse_rows(sample, 0) == []
+    assert toxicity_fm.sparse_rows(sample, 0).count() == 0
 
 
 def test_scores_equal_plain_sums(spark, documents, labels):

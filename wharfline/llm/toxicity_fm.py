@@ -15,7 +15,8 @@ second step, which is fitted to the end without that constant pull. A pair
 neither of whose terms says anything alone is thus learnt, too.
 
 The fit sees at most ``TRAIN_ROWS`` labelled rows with at most ``TRAIN_TERMS`` terms
-in all, sparse, and runs on the driver. Nothing is shuffled to score.
+in all, sparse, and is one task; the driver gets the model only. Nothing is shuffled
+to score.
 
 Defined cases: null and empty texts have no terms and get the score of such
 texts; without labelled rows, or with one class only, every score is the share
@@ -40,7 +41,7 @@ from wharfline.llm.common import query, small_batches, table
 from wharfline.llm.labelled import TRAIN_ROWS, fold, training_rows
 
 BUCKETS = 1 << 18
-TRAIN_TERMS = 40_000_000  # of all training rows; further rows, in a hashed order, are left out
+TRAIN_TERMS = 20_000_000  # of all training rows; further rows, in a hashed order, are left out
 STEMS = (4, 5, 6, 7)
 FACTORS = 4
 STEPS = 150
@@ -51,6 +52,7 @@ JOINT_STEPS, JOINT_BATCH, JOINT_RATE, JOINT_SHRINK = 240, 256, 0.05, 3e-3
 START, GROWN = 0.02, 5.0
 THRESHOLD = 0.5
 REMEMBERED = 300_000
+TERMS_AT_ONCE = 2_000_000
 
 
 class Terms(dict):
@@ -128,11 +130,24 @@ def fit(chosen: np.ndarray, terms: np.ndarray, starts: np.ndarray, labels: np.nd
     return Model(chosen, float(base[0]), weights, factors)
 
 
+def _chunks(starts: np.ndarray) -> Iterator[slice]:
+    """Rows in runs of some two million terms, so that no array is as long as the sample."""
+    row = 0
+    while row < len(starts) - 1:
+        stop = max(row + 1, int(np.searchsorted(starts, starts[row] + TERMS_AT_ONCE, "right")) - 1)
+        yield slice(row, stop)
+        row = stop
+
+
 def telling(terms: np.ndarray, starts: np.ndarray, labels: np.ndarray) -> np.ndarray:
     """Whether a bucket's presence alone goes with the label (chi-squared over texts)."""
-    row = np.repeat(np.arange(len(labels)), np.diff(starts))
     n, positive = len(labels), labels.sum()
-    a, b = np.bincount(terms, labels[row], BUCKETS), np.bincount(terms, 1 - labels[row], BUCKETS)
+    every, a = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for rows in _chunks(starts):
+        own = terms[starts[rows.start] : starts[rows.stop]]
+        every += np.bincount(own, minlength=BUCKETS)
+        a += np.bincount(own, np.repeat(labels[rows], np.diff(starts[rows.start : rows.stop + 1])), BUCKETS)
+    b = every - a
     c, d = positive - a, n - positive - b
     squared = n * (a * d - b * c) ** 2 / np.maximum((a + b) * (c + d) * positive * (n - positive), 1e-12)
     return (squared > CHI_SQUARED) & (a + b >= LEAST_TEXTS)
@@ -179,13 +194,18 @@ def learnt(terms: np.ndarray, starts: np.ndarray, labels: np.ndarray) -> Model:
     kept = telling(terms, starts, labels) | grown(terms, starts, labels)
     chosen = np.flatnonzero(kept)
     place = np.cumsum(kept) - 1
-    inside = kept[terms]
-    before = np.concatenate(([0], np.cumsum(inside)))
-    return fit(chosen, place[terms[inside]], before[starts], labels)
+    few, sizes = [], []
+    for rows in _chunks(starts):
+        own = terms[starts[rows.start] : starts[rows.stop]]
+        inside = kept[own]
+        few.append(place[own[inside]])
+        before = np.concatenate(([0], np.cumsum(inside)))
+        sizes.append(np.diff(before[starts[rows.start : rows.stop + 1] - starts[rows.start]]))
+    return fit(chosen, np.concatenate(few), np.concatenate(([0], np.cumsum(np.concatenate(sizes)))), labels)
 
 
-def sparse_rows(sample: DataFrame, most: int = TRAIN_TERMS) -> list[tuple[bytes, float]]:
-    """Terms (32-bit integers) and label of the sample's rows, at most so many terms in all, in a fixed order."""
+def sparse_rows(sample: DataFrame, most: int = TRAIN_TERMS) -> DataFrame:
+    """terms (32-bit integers as bytes) and label of the sample's rows, with at most so many terms in all."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms()
@@ -204,16 +224,29 @@ def sparse_rows(sample: DataFrame, most: int = TRAIN_TERMS) -> list[tuple[bytes,
                 break
             last = r[0]
         rows = rows.where(place < last if last is not None else F.lit(False))
-    # A fixed order, so that sums of floats agree in every run.
-    return sorted((bytes(r["terms"]), r["label"]) for r in rows.select("terms", "label").collect())
+    return rows.select("terms", "label")
 
 
 def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, most: int = TRAIN_TERMS) -> Model:
     small_batches(documents.sparkSession)
-    found = sparse_rows(training_rows(documents.select("doc_id", "text"), labels, "toxic", 5, 0, rows), most)
-    starts = np.cumsum([0, *(len(t) // 4 for t, _ in found)])
-    terms = np.frombuffer(b"".join(t for t, _ in found), np.int32)
-    return learnt(terms, starts, np.array([y for _, y in found]))
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A fixed order, so that sums of floats agree in every run.
+        found = sorted(x for batch in batches for x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+        starts, marks = np.cumsum([0, *(len(t) // 4 for t, _ in found)]), np.array([y for _, y in found])
+        terms = np.frombuffer(b"".join(t for t, _ in found), np.int32)
+        del found
+        model = learnt(terms, starts, marks)
+        parts = [model.chosen.astype(np.int64), model.weights, model.factors]
+        columns = [pa.array([model.base]), *[pa.array([p.tobytes()], pa.binary()) for p in parts]]
+        yield pa.RecordBatch.from_arrays(columns, names=["base", "chosen", "weights", "factors"])
+
+    sample = sparse_rows(training_rows(documents.select("doc_id", "text"), labels, "toxic", 5, 0, rows), most)
+    row = sample.coalesce(1).mapInArrow(fitted, "base double, chosen binary, weights binary, factors binary").first()
+    if row is None:  # not even an empty partition
+        return learnt(np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0))
+    chosen = np.frombuffer(row["chosen"], np.int64)
+    return Model(chosen, row["base"], np.frombuffer(row["weights"]), np.frombuffer(row["factors"]).reshape(len(chosen), FACTORS))
 
 
 def toxicity(model: Model, text: Column) -> Column:
