@@ -273,3 +273,53 @@ def test_registered_models_are_whole(samples, monkeypatch):
     grid = ml_queries.boosted_grid_scores(spark, "").collect()
     assert len(grid) == 243 and all(r["mse"] > 0 for r in grid)
     assert searched == [(5, 2, [ml.ENSEMBLE_SIZE]), (5, 81, [100, 200, 300])]
+
+
+def test_copies_of_a_scope_are_removed(spark, tmp_path):
+    from pathlib import Path
+
+    from wharfline.functions.durable import scope, stored
+    from wharfline.plans import registered
+
+    shared = Path(shared_folder(spark).removeprefix("file:"))
+
+    def files_in(folder):
+        return sorted(str(p) for p in folder.rglob("*") if p.is_file())
+
+    before = files_in(shared)
+    for name in ("clean_orders", "saved_predictions", "customer_order_components", "registered_zone", "lead_time_scores"):
+        with scope(spark) as place:
+            assert registered.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+            assert files_in(Path(place.removeprefix("file:")))
+        assert files_in(shared) == before, name
+    with pytest.raises(RuntimeError), scope(spark):
+        stored(durable(spark.range(10)))
+        raise RuntimeError
+    assert files_in(shared) == before
+    with scope(spark) as outer:
+        kept = stored(spark.range(10))
+        with scope(spark):
+            stored(spark.range(3))
+        assert kept.count() == 10 and scratch_path(spark, "x").startswith(outer)
+    durable(spark.range(5))
+    assert len(files_in(shared)) > len(before)
+
+
+def test_a_table_takes_up_what_its_folder_gains_and_loses(spark, tmp_path):
+    import shutil
+
+    path, name = str(tmp_path / "zone"), "wharfline_test_zone"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    rows = [(1, "a b"), (2, "it's"), (3, None)]
+    spark.createDataFrame(rows, "x int, part string").write.partitionBy("part").parquet(path)
+    assert tables.register_zone(spark, name, path, ["part"]).count() == 3
+    spark.createDataFrame([(4, 0.5, "new/part")], "x int, y double, part string").write.mode("append").partitionBy("part").parquet(path)
+    shutil.rmtree(f"{path}/part=a b")
+    grown = tables.register_zone(spark, name, path, ["part"], merge_schemas=True)
+    assert by(grown.select("x", "y", "part"), "x") == [
+        {"x": 2, "y": None, "part": "it's"}, {"x": 3, "y": None, "part": None}, {"x": 4, "y": 0.5, "part": "new/part"}
+    ]
+    spark.createDataFrame([("text", "z")], "x string, part string").write.partitionBy("part").parquet(str(tmp_path / "other"))
+    with pytest.raises(ValueError, match="type"):
+        tables.register_zone(spark, name, str(tmp_path / "other"), ["part"])
+    spark.sql(f"DROP TABLE {name}")

@@ -1,6 +1,8 @@
+import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from row_helpers import by
 
 from wharfline.functions.durable import scratch_path
@@ -136,3 +138,19 @@ def test_folder_run(spark):
     assert spark.read.json(f"{base}/report/data_quality_report.json").first()["dataset"] == "products"
     with pytest.raises(FileNotFoundError):
         files.load_dataset(spark, f"{base}/none.csv")
+
+
+def test_distinct_counts_of_every_type(spark):
+    rows = [
+        (1, 0.0, "a", True, b"x", [1, 2], (1, "p"), dt.datetime(2023, 1, 1), None),
+        (1, -0.0, "a", False, b"y", [1, 2], (1, "q"), dt.datetime(2023, 1, 1, 1), None),
+        (2, float("nan"), "A", None, b"x", [2, 1], (1, "p"), None, None),
+        (None, None, "", True, None, None, None, dt.datetime(2023, 1, 1), None),
+    ]
+    schema = "i int, d double, s string, b boolean, r binary, l array<int>, t struct<a: int, b: string>, w timestamp, n string"
+    df = spark.createDataFrame(rows, schema)
+    counts = {r["column_name"]: r["unique_count"] for r in quality.profile(df).collect()}
+    built_in = df.agg(*[F.count_distinct(c).alias(c) for c in df.columns]).first().asDict()
+    assert counts == built_in and counts["d"] == 2 and counts["n"] == 0
+    assert {r["unique_count"] for r in quality.profile(df.limit(0)).collect()} == {0}
+    assert "Expand" not in quality.profile(df)._jdf.queryExecution().executedPlan().toString()

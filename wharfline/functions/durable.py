@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +16,8 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session that names none gets a temporary folder; on a cluster
     every machine must see the same one, so an unset folder is an error there.
     """
+    if _SCOPES:
+        return _SCOPES[-1]
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured is None:
         if not spark.sparkContext.master.startswith("local"):
@@ -25,6 +29,33 @@ def shared_folder(spark: SparkSession) -> str:
     return configured
 
 
+_SCOPES: list[str] = []
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[str]:
+    """A folder for all copies made inside, removed at the end.
+
+    Frames made inside must be written or collected before the scope ends;
+    without a scope, copies stay until the shared folder is emptied.
+
+        with scope(spark):
+            query(spark, folder).write.parquet(target)
+    """
+    context = spark.sparkContext
+    before = shared_folder(spark)
+    place = f"{before.rstrip('/')}/scope-{uuid.uuid4().hex}"
+    _SCOPES.append(place)
+    context.setCheckpointDir(place)
+    try:
+        yield place
+    finally:
+        _SCOPES.remove(place)
+        context.setCheckpointDir(_SCOPES[-1] if _SCOPES else before)
+        path = context._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write the rows out once and go on from the written copy.
 
@@ -43,5 +74,6 @@ def stored(df: DataFrame, name: str = "rows") -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/wharfline/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the folder of the innermost scope, or else in the shared folder."""
+    folder = _SCOPES[-1] if _SCOPES else f"{shared_folder(spark).rstrip('/')}/wharfline"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"

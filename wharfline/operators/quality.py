@@ -388,16 +388,42 @@ def quality_summary(report: DataFrame) -> DataFrame:
 # ----------------------------------------------------- profiles and scores
 
 
+def _spelling(df: DataFrame, column: str) -> Column:
+    """A text per value, equal where values are."""
+    kind, value = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return (value + F.lit(0.0).cast(kind)).cast("string")  # one zero
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value).cast("string")
+    if isinstance(kind, T.BinaryType):
+        return F.hex(value)
+    return F.to_json(F.struct(value)) if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)) else value.cast("string")
+
+
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """One row: ``distinct``, a map from a column's position to how many different values it has.
+
+    A row becomes a narrow pair of position and value per column, and equal pairs
+    are combined before they are shuffled; counting all columns in one
+    aggregate would copy every row whole, once per column.
+    """
+    pairs = [F.struct(F.lit(i).alias("position"), _spelling(df, c).alias("value")) for i, c in enumerate(df.columns)]
+    values = df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull()).distinct()
+    counts = values.groupBy("position").agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.map_from_entries(F.collect_list(F.struct("position", "n"))).alias("distinct"))  # a row per column
+
+
 def profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     """One row per column: type, missing and distinct values, and for numbers min, max, mean, deviation.
 
     Distinct counts are exact unless ``approximate`` asks for sketches.
     """
     numbers = set(numeric_columns(df))
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
     aggregates = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(df.columns):
-        aggregates += [F.count_if(F.col(c).isNull()).alias(f"_null{i}"), distinct(c).alias(f"_distinct{i}")]
+        aggregates.append(F.count_if(F.col(c).isNull()).alias(f"_null{i}"))
+        if approximate:
+            aggregates.append(F.approx_count_distinct(c).alias(f"_distinct{i}"))
         if c in numbers:
             aggregates += [
                 F.min(c).cast("double").alias(f"_min{i}"),
@@ -405,6 +431,10 @@ def profile(df: DataFrame, approximate: bool = False) -> DataFrame:
                 F.avg(c).alias(f"_mean{i}"),
                 F.stddev_samp(c).alias(f"_std{i}"),
             ]
+    one = df.agg(*aggregates)
+    if not approximate:
+        exact = distinct_counts(df).scalar()
+        one = one.withColumns({f"_distinct{i}": F.coalesce(F.try_element_at(exact, F.lit(i)), F.lit(0)) for i in range(len(df.columns))})
     nothing = F.lit(None).cast("double")
     rows = [
         F.struct(
@@ -421,7 +451,7 @@ def profile(df: DataFrame, approximate: bool = False) -> DataFrame:
         )
         for i, c in enumerate(df.columns)
     ]
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    return one.select(F.inline(F.array(*rows)))
 
 
 def dimension_scores(df: DataFrame, rules: dict[str, Sequence[Column]]) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wharfline.functions.dates import boundary_flags, date_parts
-from wharfline.functions.durable import durable
 from wharfline.operators.cleaning import clean_data
 from wharfline.operators.leadtimes import calculate_lead_times
 from wharfline.sources.tables import write_zone
@@ -14,8 +13,8 @@ from wharfline.sources.tables import write_zone
 
 def curated(raw: DataFrame) -> DataFrame:
     """Clean rows with lead times, regional scores, date features and an order month."""
-    # The regional statistics read the clean rows a second time: store them instead of dropping duplicates twice.
-    clean = durable(clean_data(raw))
+    # Statistics and rows both read the stored distinct rows that cleaning leaves behind.
+    clean = clean_data(raw)
     scored = calculate_lead_times(clean).withColumnsRenamed(
         {"mean": "region_lead_time_mean", "median": "region_lead_time_median", "std": "region_lead_time_std"}
     )

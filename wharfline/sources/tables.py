@@ -17,20 +17,66 @@ def write_zone(df: DataFrame, path: str, partition_by: Sequence[str]) -> str:
     return path
 
 
+def _partitions_on_disk(spark: SparkSession, path: str, partition_by: Sequence[str]) -> set[tuple[str, ...]]:
+    """Partition values of the folders below a path, level by level; names only, no file is opened."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    system = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [((), path.rstrip("/"))]
+    for column in partition_by:
+        found = [
+            ((*values, unescape(name.split("=", 1)[1])), f"{folder}/{name}")
+            for values, folder in found
+            for status in system.listStatus(hadoop.Path(folder))
+            if (name := status.getPath().getName()).startswith(f"{column}=")
+        ]
+    return {values for values, _ in found}
+
+
+def _partitions_in_catalog(spark: SparkSession, name: str) -> set[tuple[str, ...]]:
+    """A row per partition, as the catalog lists them."""
+    unescape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    rows = spark.sql(f"SHOW PARTITIONS {name}").collect()
+    return {tuple(unescape(part.split("=", 1)[1]) for part in r["partition"].split("/")) for r in rows}
+
+
 def register_zone(
     spark: SparkSession, name: str, path: str, partition_by: Sequence[str] = (), merge_schemas: bool = False
 ) -> DataFrame:
-    """Create or refresh an external table over a folder and pick up new partitions.
+    """Create an external table over a folder, or bring it up to date with what the folder has gained.
 
-    The schema comes from one file; ``merge_schemas`` reads the footers of all,
-    which costs with many files.
+    A table that is there stays: new partitions are added by name, one statement
+    for all, those that are gone are dropped, and new columns are appended. A column that has
+    changed its type is an error. The schema comes from one file;
+    ``merge_schemas`` reads the footers of all, which costs with many files.
     """
     found = spark.read.option("mergeSchema", merge_schemas).parquet(path)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.schema.fields)
-    partitioned = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    if spark.catalog.tableExists(name):
-        spark.sql(f"DROP TABLE {name}")  # drops the entry, not the files of an external table
-    spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet {partitioned} LOCATION '{path}'")
+    typed = {f.name: f.dataType.simpleString() for f in found.schema.fields}
+    if not spark.catalog.tableExists(name):
+        fields = ", ".join(f"`{c}` {t}" for c, t in typed.items())
+        partitioned = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+        spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet {partitioned} LOCATION '{path}'")
+        if partition_by:
+            spark.catalog.recoverPartitions(name)
+        return spark.table(name)
+    known = {f.name: f.dataType.simpleString() for f in spark.table(name).schema.fields}
+    changed = [c for c, t in typed.items() if c in known and known[c] != t]
+    if changed:
+        raise ValueError(f"columns of {name} have changed their type: {', '.join(changed)}")
+    added = ", ".join(f"`{c}` {t}" for c, t in typed.items() if c not in known)
+    if added:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({added})")
     if partition_by:
-        spark.catalog.recoverPartitions(name)
+        there, listed = _partitions_on_disk(spark, path, partition_by), _partitions_in_catalog(spark, name)
+
+        def clause(values: tuple[str, ...]) -> str:
+            quoted = [v.replace("\\", "\\\\").replace("'", "\\'") for v in values]
+            pairs = ["`{}` = {}".format(c, "NULL" if v == "__HIVE_DEFAULT_PARTITION__" else f"'{v}'") for c, v in zip(partition_by, quoted)]
+            return f"PARTITION ({', '.join(pairs)})"
+
+        if there - listed:
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(map(clause, sorted(there - listed)))}")
+        if listed - there:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(map(clause, sorted(listed - there)))}")
+    spark.catalog.refreshTable(name)
     return spark.table(name)
