@@ -397,7 +397,9 @@ def _spelling(df: DataFrame, column: str) -> Column:
         return F.unix_micros(value).cast("string")
     if isinstance(kind, T.BinaryType):
         return F.hex(value)
-    return F.to_json(F.struct(value)) if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)) else value.cast("string")
+    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+        return F.when(value.isNotNull(), F.to_json(F.struct(value)))
+    return value.cast("string")
 
 
 def distinct_counts(df: DataFrame) -> DataFrame:

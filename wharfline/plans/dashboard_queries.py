@@ -10,7 +10,7 @@ from wharfline.operators import aggregates as agg
 from wharfline.operators import costs
 from wharfline.operators import filters
 from wharfline.operators.leadtimes import lead_time_days, supplier_performance
-from wharfline.plans.order_queries import rounded
+from wharfline.plans.order_queries import in_single, rounded
 from wharfline.plans.registry import query
 from wharfline.plans.sql_views import EDGES, FACTS, STAR, WIDE, with_view
 from wharfline.sources import views
@@ -19,9 +19,8 @@ from wharfline.sources import views
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
 
-NUDGE = 3.3e-9
 COST_COLUMNS = ", ".join(
-    f"round({c} + {NUDGE}::DOUBLE, 5) AS {c}"
+    f"{c}::FLOAT::DOUBLE AS {c}"
     for c in (
         "lead_time", "demand", "safety_stock", "reorder_point", "inventory_level", "shipping_cost", "holding_cost",
         "stockout_cost", "total_cost",
@@ -43,7 +42,7 @@ def cost_components(spark: SparkSession, folder: str) -> DataFrame:
         "date", "region", "product", "supplier", "lead_time", "demand", "safety_stock", "reorder_point",
         "inventory_level", "shipping_cost", "holding_cost", "stockout_cost", "total_cost",
     )
-    return rounded(wide, 5, NUDGE)
+    return in_single(wide)
 
 
 @query(
@@ -509,18 +508,18 @@ def cost_breakdown(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "cost_trend",
-    with_view(WIDE, f"\nSELECT date, product, round(avg(total_cost) + {NUDGE}::DOUBLE, 6) AS total_cost FROM wide GROUP BY 1, 2"),
+    with_view(WIDE, "\nSELECT date, product, avg(total_cost)::FLOAT::DOUBLE AS total_cost FROM wide GROUP BY 1, 2"),
 )
 def cost_trend(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(agg.mean_by(views.daily_wide(spark, folder), ["date", "product"], "total_cost"), 6, NUDGE)
+    return in_single(agg.mean_by(views.daily_wide(spark, folder), ["date", "product"], "total_cost"))
 
 
 @query(
     "daily_metric_mean",
-    with_view(WIDE, f"\nSELECT date, round(avg(inventory_level) + {NUDGE}::DOUBLE, 6) AS inventory_level FROM wide GROUP BY 1"),
+    with_view(WIDE, "\nSELECT date, avg(inventory_level)::FLOAT::DOUBLE AS inventory_level FROM wide GROUP BY 1"),
 )
 def daily_metric_mean(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(agg.mean_by(views.daily_wide(spark, folder), ["date"], "inventory_level"), 6, NUDGE)
+    return in_single(agg.mean_by(views.daily_wide(spark, folder), ["date"], "inventory_level"))
 
 
 MONTHS = """,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wharfline.functions.dates import date_range
+from wharfline.functions.dates import grid_dates
 from wharfline.functions.durable import scratch_path
 from wharfline.plans import curation
 from wharfline.plans.order_queries import rounded
@@ -229,13 +229,14 @@ def streamed_orders(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "orders_on_calendar",
     """
-WITH spine AS (
-  SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY))::DATE AS date
-),
+WITH span AS (SELECT min(o_orderdate)::DATE AS low, max(o_orderdate)::DATE AS high FROM orders),
+spine AS (SELECT high, unnest(generate_series(low, high + 100, INTERVAL 1 DAY))::DATE AS date FROM span),
 grid AS (
-  SELECT 'D' AS freq, date FROM spine UNION ALL SELECT 'W', date FROM spine WHERE isodow(date) = 7
-  UNION ALL SELECT 'M', date FROM spine WHERE last_day(date) = date
-  UNION ALL SELECT 'Q', date FROM spine WHERE last_day(date) = date AND month(date) % 3 = 0
+  SELECT 'D' AS freq, date FROM spine WHERE date <= high
+  UNION ALL SELECT 'W', date FROM spine WHERE isodow(date) = 7 AND date < high + 7
+  UNION ALL SELECT 'M', date FROM spine WHERE last_day(date) = date AND date <= last_day(high)
+  UNION ALL SELECT 'Q', date FROM spine
+  WHERE last_day(date) = date AND month(date) % 3 = 0 AND date <= last_day((date_trunc('quarter', high) + INTERVAL 2 MONTH)::DATE)
 ),
 days AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n FROM orders GROUP BY 1),
 periods AS (
@@ -252,15 +253,16 @@ def orders_on_calendar(spark: SparkSession, folder: str) -> DataFrame:
         F.count(F.lit(1)).alias("n")
     )
     ends = {
-        "D": F.col("day"),
-        "W": F.next_day(F.date_sub("day", 1), "Sunday"),
-        "M": F.last_day("day"),
-        "Q": F.last_day(F.add_months(F.trunc("day", "quarter"), 2)),
+        "D": lambda day: day,
+        "W": lambda day: F.next_day(F.date_sub(day, 1), "Sunday"),
+        "M": F.last_day,
+        "Q": lambda day: F.last_day(F.add_months(F.trunc(day, "quarter"), 2)),
     }
+    span = days.agg(F.min("day").alias("low"), F.max("day").alias("high"))
     out = None
     for freq, end in ends.items():
-        counts = days.groupBy(end.alias("date")).agg(F.sum("n").alias("n"))
-        spine = date_range(spark, "1995-01-01", "2001-12-31", freq)
+        counts = days.groupBy(end(F.col("day")).alias("date")).agg(F.sum("n").alias("n"))
+        spine = span.select(F.explode(grid_dates(F.col("low"), end(F.col("high")), freq)).alias("date"))
         part = spine.join(counts, "date", "left").select(
             F.lit(freq).alias("freq"), "date", F.coalesce("n", F.lit(0)).alias("orders")
         )

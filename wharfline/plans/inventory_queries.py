@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wharfline.functions.normal import normal_quantile
 from wharfline.operators import inventory
-from wharfline.plans.order_queries import rounded
+from wharfline.plans.order_queries import in_single, rounded
 from wharfline.plans.registry import query
 from wharfline.plans.sql_views import ITEMS, WIDE, with_view
 from wharfline.sources import views
@@ -106,18 +106,16 @@ def abc_category_counts(spark: SparkSession, folder: str) -> DataFrame:
     return inventory.category_counts(_classified(spark, folder))
 
 
-NUDGE = 3.3e-9
-COSTS = f"""
-SELECT item_id, round(q + {NUDGE}::DOUBLE, 6) AS quantity,
-       round(365 * demand_mean / q * order_cost + {NUDGE}::DOUBLE, 4) AS annual_ordering_cost,
-       round(q / 2 * holding_cost + {NUDGE}::DOUBLE, 4) AS annual_holding_cost,
-       round(365 * demand_mean / q * order_cost + q / 2 * holding_cost + {NUDGE}::DOUBLE, 4) AS total_cost
+COSTS = """
+SELECT item_id, q::FLOAT::DOUBLE AS quantity, (365 * demand_mean / q * order_cost)::FLOAT::DOUBLE AS annual_ordering_cost,
+       (q / 2 * holding_cost)::FLOAT::DOUBLE AS annual_holding_cost,
+       (365 * demand_mean / q * order_cost + q / 2 * holding_cost)::FLOAT::DOUBLE AS total_cost
 FROM priced"""
 
 
 @query("total_costs", with_view(ITEMS, f",\npriced AS (SELECT *, {EOQ} AS q FROM items)" + COSTS))
 def total_costs(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(inventory.calculate_total_costs(views.item_parameters(spark, folder)), 4, NUDGE, quantity=6)
+    return in_single(inventory.calculate_total_costs(views.item_parameters(spark, folder)))
 
 
 @query(
@@ -129,7 +127,7 @@ def total_costs_for_size(spark: SparkSession, folder: str) -> DataFrame:
     sizes = views.table(spark, folder, "part").select(
         F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("item_id"), F.col("p_size").alias("quantity")
     )
-    return rounded(inventory.calculate_total_costs(views.item_parameters(spark, folder), sizes), 4, NUDGE, quantity=6)
+    return in_single(inventory.calculate_total_costs(views.item_parameters(spark, folder), sizes))
 
 
 @query(

@@ -19,18 +19,14 @@ from wharfline.plans.sql_views import FACTS, RAW, with_view
 from wharfline.sources import views
 
 
-def rounded(df: DataFrame, digits: int = 4, nudge: float = 0.0, **special: int) -> DataFrame:
-    """Round double columns for comparison; ``special`` sets other digits by name.
+def rounded(df: DataFrame, digits: int = 4, **special: int) -> DataFrame:
+    """Round double columns for comparison; ``special`` sets other digits by name."""
+    return df.select(*[F.round(F.col(c), special.get(c, digits)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
-    A ``nudge`` moves decimal ties off the rounding boundary, where the two
-    engines' rounding may go either way.
-    """
-    return df.select(
-        *[
-            F.round(F.col(c) + nudge if nudge else F.col(c), special.get(c, digits)).alias(c) if t == "double" else F.col(c)
-            for c, t in df.dtypes
-        ]
-    )
+
+def in_single(df: DataFrame) -> DataFrame:
+    """Double columns to the about seven digits of single precision, for comparison of figures with decimal ties."""
+    return df.select(*[F.col(c).cast("float").cast("double").alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 @query(
@@ -43,7 +39,7 @@ scored AS (
   SELECT facts.*, CASE WHEN s > 0 THEN (lead_time - m) / s ELSE 0 END AS z FROM facts JOIN stats USING (region)
 )
 SELECT region, CAST(date_trunc('month', order_date) AS DATE) AS month, count(*) AS line_count,
-       round(avg(lead_time) + 3.3e-9::DOUBLE, 4) AS lead_time_mean, median(lead_time) AS lead_time_median,
+       round(avg(lead_time), 9) AS lead_time_mean, median(lead_time) AS lead_time_median,
        count(*) FILTER (lead_time < 0) AS error_count, count(*) FILTER (abs(z) > 2.5) AS anomaly_count,
        round(sum(quantity), 4) AS quantity_sum, round(sum(line_value), 2) AS value_sum
 FROM scored GROUP BY 1, 2""",
@@ -55,13 +51,14 @@ def monthly_region_lead_times(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(
         scored.groupBy("region", F.trunc("order_date", "month").alias("month")).agg(
             F.count(F.lit(1)).alias("line_count"),
-            (F.avg("lead_time") + 3.3e-9).alias("lead_time_mean"),
+            F.avg("lead_time").alias("lead_time_mean"),
             F.median("lead_time").alias("lead_time_median"),
             F.count_if("lead_time_error").alias("error_count"),
             F.count_if("lead_time_anomaly").alias("anomaly_count"),
             F.sum("quantity").alias("quantity_sum"),
             F.sum("line_value").alias("value_sum"),
         ),
+        lead_time_mean=9,
         value_sum=2,
     )
 
