@@ -22,7 +22,7 @@ SELECTION = [
     "monthly_region_lead_times", "clean_orders", "lead_time_scores", "product_order_statistics", "business_kpis",
     "stock_heatmap", "monthly_costs", "lead_time_density", "demand_decomposition", "order_line_lags",
     "demand_autocorrelation", "demand_model_comparison", "abc_analysis", "demand_sensitivity", "row_check_orders",
-    "expectation_results", "data_dictionary", "supply_path_metrics", "lane_clustering", "split_orders", "streamed_orders",
+    "expectation_results", "data_dictionary", "supply_path_metrics", "whole_lane_clustering", "split_orders", "streamed_orders",
 ]
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the test tables")
 

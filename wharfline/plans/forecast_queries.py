@@ -236,16 +236,41 @@ def demand_model_ranking(spark: SparkSession, folder: str) -> DataFrame:
         WIDE,
         """,
 stock AS (SELECT product, date AS ds, sum(inventory_level) AS y, avg(reorder_point) AS r FROM wide GROUP BY 1, 2),
-points AS (SELECT product, avg(r) AS point FROM stock GROUP BY 1)
-SELECT product, date_diff('day', DATE '2001-01-01', min(ds) FILTER (y < point))::INT AS days_until_reorder
-FROM stock JOIN points USING (product) WHERE ds >= DATE '2001-01-01' GROUP BY 1""",
-    ),
+points AS (SELECT product, avg(r) AS point FROM stock GROUP BY 1),
+span AS (SELECT product, min(ds) AS low, max(ds) AS high FROM stock GROUP BY 1),
+days AS (SELECT product, unnest(generate_series(low::TIMESTAMP, high::TIMESTAMP, INTERVAL 1 DAY))::DATE AS ds FROM span),
+series AS MATERIALIZED (
+  SELECT product, max(ds) AS last_ds, list(y ORDER BY ds) AS ys FROM days LEFT JOIN stock USING (product, ds) GROUP BY 1),
+begun AS (
+  SELECT product, 0 AS t, list_avg(ys[1:7]) AS level, (list_avg(ys[8:14]) - list_avg(ys[1:7])) / 7 AS slope,
+         list_transform(ys[1:7], lambda v: coalesce(v - list_avg(ys[1:7]), 0)) AS season
+  FROM series WHERE len(ys) >= 14 AND list_avg(ys[1:7]) IS NOT NULL AND list_avg(ys[8:14]) IS NOT NULL),
+run AS (
+  SELECT * FROM begun
+  UNION ALL
+  SELECT product, t + 1, CASE WHEN y IS NULL THEN base ELSE moved END,
+         CASE WHEN y IS NULL THEN slope ELSE 0.1 * (moved - level) + 0.9::DOUBLE * slope END,
+         list_concat(season[2:7], [CASE WHEN y IS NULL THEN season[1] ELSE 0.2::DOUBLE * (y - base) + 0.8::DOUBLE * season[1] END])
+  FROM (SELECT r.*, s.ys[t + 1] AS y, level + slope AS base,
+               0.3::DOUBLE * (s.ys[t + 1] - season[1]) + 0.7::DOUBLE * (level + slope) AS moved
+        FROM run r JOIN series s USING (product) WHERE t < len(s.ys))),
+ahead AS (
+  SELECT product, last_ds + step::INT AS ds, level + slope * step + season[(step - 1) % 7 + 1] AS forecast
+  FROM run JOIN series USING (product), (SELECT unnest(range(1, 61)) AS step) WHERE t = len(ys))
+SELECT product, date_diff('day', (SELECT max(ds) FROM stock), min(ds) FILTER (forecast < point))::INT AS days_until_reorder
+FROM ahead JOIN points USING (product) GROUP BY 1""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
 )
 def days_until_reorder(spark: SparkSession, folder: str) -> DataFrame:
-    """When the stock from 2001 on first falls below each product's mean reorder point."""
-    stock = views.daily_wide(spark, folder).groupBy("product", F.col("date").alias("ds")).agg(
-        F.sum("inventory_level").alias("forecast"), F.avg("reorder_point").alias("r")
+    """When the stock forecast for the sixty days after the last one first falls below each product's mean
+    reorder point."""
+    stock = durable(
+        views.daily_wide(spark, folder).groupBy("product", F.col("date").alias("ds")).agg(
+            F.sum("inventory_level").alias("y"), F.avg("reorder_point").alias("r")
+        )
     )
     points = stock.groupBy("product").agg(F.avg("r").alias("reorder_point"))
-    ahead = stock.where(F.col("ds") >= "2001-01-01").select("product", "ds", "forecast", F.lit("Forecast").alias("type"))
-    return fc.days_until_reorder(ahead, points, ["product"], "2001-01-01")
+    model = fc.smooth(stock, ["product"], 7, 0.3, 0.1, 0.2)
+    frame = fc.forecast_frame(stock, fc.holt_winters_forecast(model, ["product"], 60), ["product"])
+    today = stock.agg(F.max("ds")).first()[0]
+    return fc.days_until_reorder(frame, points, ["product"], str(today))

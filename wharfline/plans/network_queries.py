@@ -34,10 +34,10 @@ def _recursive(view: str, body: str = "") -> str:
 
 
 def lane_query(name: str, body: str | None = None, statement: Callable[[str, str], str] = with_view):
-    """Register a query of edges twice: over the heavier lanes, and as ``whole_...`` over all of them."""
+    """Register a query of edges twice: as ``busy_...`` over the heavier lanes, and as ``whole_...`` over all of them."""
 
     def register(fn: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
-        for prefix, view, edges in (("", LANES, lanes), ("whole_", WHOLE_LANES, whole_lanes)):
+        for prefix, view, edges in (("busy_", LANES, lanes), ("whole_", WHOLE_LANES, whole_lanes)):
             sql = None if body is None else statement(view, body)
             query(prefix + name, sql)(lambda spark, folder, edges=edges: fn(edges(spark, folder)))
         return fn
@@ -150,7 +150,42 @@ def supply_path_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(network.path_metrics(supply(spark, folder)), 8)
 
 
-@lane_query("lane_path_metrics")
+# Distances by a walk over the lanes, then shortest paths counted level by level.
+LANE_PATHS = """,
+names AS (SELECT src AS node FROM lanes UNION SELECT dst FROM lanes),
+size AS (SELECT count(*)::DOUBLE AS n FROM names),
+walks AS (
+  SELECT src AS s, dst AS t, 1 AS d FROM lanes
+  UNION SELECT walks.s, lanes.dst, walks.d + 1 FROM walks JOIN lanes ON walks.t = lanes.src WHERE walks.d < 24
+),
+dist AS MATERIALIZED (SELECT s, t, min(d) AS d FROM walks WHERE s <> t GROUP BY 1, 2),
+counted AS (
+  SELECT node AS s, node AS t, 0 AS d, 1.0::DOUBLE AS paths FROM names
+  UNION ALL
+  SELECT c.s, l.dst, c.d + 1, sum(c.paths)
+  FROM counted c JOIN lanes l ON c.t = l.src JOIN dist x ON x.s = c.s AND x.t = l.dst AND x.d = c.d + 1
+  GROUP BY c.s, l.dst, c.d
+),
+shortest AS MATERIALIZED (SELECT * FROM counted WHERE d > 0),
+through AS (
+  SELECT a.t AS node, sum(a.paths * b.paths / w.paths) AS delta
+  FROM shortest a JOIN shortest b ON a.t = b.s JOIN shortest w ON w.s = a.s AND w.t = b.t AND w.d = a.d + b.d GROUP BY 1
+),
+near AS (SELECT t AS node, count(*) AS r, sum(d)::BIGINT AS s FROM dist GROUP BY 1),
+paths AS (
+  SELECT names.node, coalesce(delta, 0) / ((n - 1) * (n - 2)) AS betweenness, coalesce(r::DOUBLE / s * r / (n - 1), 0) AS closeness,
+         coalesce(s, 0) AS distance_sum, coalesce(r, 0) AS reached_from
+  FROM names CROSS JOIN size LEFT JOIN near USING (node) LEFT JOIN through USING (node)
+)
+"""
+
+
+@lane_query(
+    "lane_path_metrics",
+    LANE_PATHS
+    + "SELECT node, round(betweenness, 8) AS betweenness, round(closeness, 8) AS closeness, distance_sum, reached_from FROM paths",
+    _recursive,
+)
 def lane_path_metrics(edges: DataFrame) -> DataFrame:
     return rounded(network.path_metrics(edges), 8)
 
@@ -225,7 +260,28 @@ def order_product_components(spark: SparkSession, folder: str) -> DataFrame:
     return network.components(edges)
 
 
-@query("supply_features")
+@query(
+    "supply_features",
+    with_view(
+        EDGES,
+        DEGREES.format(edges="edges").rstrip()
+        + """,
+size AS (SELECT count(*)::DOUBLE AS n FROM degrees),
+reach AS (
+  SELECT dst AS node, src AS source, 1 AS d FROM edges
+  UNION SELECT b.dst, a.src, 2 FROM edges a JOIN edges b ON a.dst = b.src
+),
+near AS (SELECT node, count(*)::DOUBLE AS r, sum(d)::DOUBLE AS s FROM (SELECT node, source, min(d) AS d FROM reach GROUP BY 1, 2) GROUP BY 1),
+features AS (
+  SELECT degrees.*, round(in_degree * out_degree / ((n - 1) * (n - 2)), 8) AS b, round(coalesce(r / s * r / (n - 1), 0), 8) AS c
+  FROM degrees CROSS JOIN size LEFT JOIN near USING (node)
+)
+SELECT src, dst, round(weight, 8) AS weight, f.out_degree AS src_out_degree, f.b AS src_betweenness, f.c AS src_closeness,
+       round(f.weighted_out, 8) AS src_weighted_out, t.in_degree AS dst_in_degree, t.b AS dst_betweenness, t.c AS dst_closeness,
+       round(t.weighted_in, 8) AS dst_weighted_in
+FROM edges JOIN features f ON src = f.node JOIN features t ON dst = t.node""",
+    ),
+)
 def supply_features(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(network.network_features(supply(spark, folder), "src", "dst", "weight"), 8)
 
@@ -242,7 +298,22 @@ def lane_critical_nodes(edges: DataFrame) -> DataFrame:
     return rounded(critical, 6)
 
 
-@lane_query("lane_consensus_nodes")
+@lane_query(
+    "lane_consensus_nodes",
+    LANE_PATHS.rstrip()
+    + DEGREES.format(edges="lanes").rstrip()
+    + """,
+scored AS (
+  SELECT node, 'd' AS metric, degree / (n - 1) AS score FROM degrees, size
+  UNION ALL SELECT node, 'i', in_degree / (n - 1) FROM degrees, size
+  UNION ALL SELECT node, 'o', out_degree / (n - 1) FROM degrees, size
+  UNION ALL SELECT node, 'b', betweenness FROM paths
+  UNION ALL SELECT node, 'c', closeness FROM paths
+),
+ranked AS (SELECT node, row_number() OVER (PARTITION BY metric ORDER BY round(score, 12) DESC, node) AS rn FROM scored)
+SELECT node, count(*) AS votes, round(count(*) / 5, 6) AS score FROM ranked WHERE rn <= 10 GROUP BY 1 HAVING count(*) > 1""",
+    _recursive,
+)
 def lane_consensus_nodes(edges: DataFrame) -> DataFrame:
     metrics = network.centrality_metrics(edges, eigenvector=False)
     return rounded(network.consensus_nodes(network.critical_nodes(metrics)), 6)
@@ -263,6 +334,14 @@ votes AS (
 gone AS (SELECT node FROM votes ORDER BY votes DESC, node LIMIT 5),
 kept AS (SELECT src, dst FROM edges WHERE src NOT IN (SELECT node FROM gone) AND dst NOT IN (SELECT node FROM gone)),
 kept_nodes AS (SELECT node FROM degrees WHERE node NOT IN (SELECT node FROM gone)),
+kept_reach AS (
+  SELECT dst AS node, src AS source, 1 AS d FROM kept
+  UNION SELECT b.dst, a.src, 2 FROM kept a JOIN kept b ON a.dst = b.src
+),
+way AS (SELECT sum(r) AS pairs, sum(s) AS length FROM near),
+kept_way AS (
+  SELECT count(*) AS pairs, sum(d)::DOUBLE AS length FROM (SELECT node, source, min(d) AS d FROM kept_reach GROUP BY 1, 2)
+),
 ways AS (SELECT src AS a, dst AS b FROM kept UNION SELECT dst, src FROM kept UNION SELECT node, node FROM kept_nodes),
 joined AS (SELECT a AS node, a AS other FROM ways UNION SELECT joined.node, ways.b FROM joined JOIN ways ON joined.other = ways.a),
 after AS (SELECT count(DISTINCT c) AS c FROM (SELECT node, min(other) AS c FROM joined GROUP BY 1)),
@@ -271,10 +350,13 @@ all_joined AS (SELECT a AS node, a AS other FROM all_ways UNION SELECT all_joine
 before AS (SELECT count(DISTINCT c) AS c FROM (SELECT node, min(other) AS c FROM all_joined GROUP BY 1)),
 n AS (SELECT count(*) AS n, (SELECT count(*) FROM kept_nodes) AS kn, (SELECT count(*) FROM edges) AS m,
              (SELECT count(*) FROM kept) AS km FROM degrees)
-SELECT n AS nodes, m AS edges, before.c AS components, round(100.0 * (n - kn) / n, 6) AS node_loss_percentage,
+SELECT n AS nodes, m AS edges, before.c AS components,
+       CASE WHEN way.pairs = n * (n - 1) THEN round(way.length / way.pairs, 6) END AS average_path_length,
+       CASE WHEN kept_way.pairs = kn * (kn - 1) THEN round(kept_way.length / kept_way.pairs, 6) END AS average_path_length_after,
+       round(100.0 * (n - kn) / n, 6) AS node_loss_percentage,
        round(100.0 * (m - km) / m, 6) AS edge_loss_percentage, after.c - before.c AS fragmentation_increase,
        (SELECT string_agg(node, ',' ORDER BY node) FROM gone) AS nodes_removed
-FROM n, before, after"""
+FROM n, before, after, way, kept_way"""
 
 
 @query(
@@ -292,8 +374,7 @@ near AS (SELECT node, count(*)::DOUBLE AS r, sum(d)::DOUBLE AS s FROM (SELECT no
 def supply_resilience(spark: SparkSession, folder: str) -> DataFrame:
     """The supply network without its five first consensus nodes; the eigenvector has no say in a graph without cycles."""
     result = network.resilience(supply(spark, folder), eigenvector=False)
-    shown = result.drop("average_path_length", "average_path_length_after")
-    return rounded(shown.withColumn("nodes_removed", F.array_join("nodes_removed", ",")), 6)
+    return rounded(result.withColumn("nodes_removed", F.array_join("nodes_removed", ",")), 6)
 
 
 @lane_query(
