@@ -216,3 +216,20 @@ def test_lane_queries_cover_all_lanes(spark, tmp_path):
     assert views.trade_lanes(spark, str(tmp_path)).count() == 6
     assert registered.queries()["whole_lane_density"](spark, str(tmp_path)).first()["density"] == 1.0
     assert 0 < network_queries.lanes(spark, str(tmp_path)).count() < 6
+
+
+def test_search_levels_shuffle_only_their_frontier(spark):
+    """Nodes reached before are read where they are stored: no exchange below their union."""
+    edges = spark.createDataFrame([(f"n{i}", f"n{(i * 7 + k) % 40}") for i in range(40) for k in range(1, 4)], "src string, dst string")
+    hops = network._hops(edges, True)
+    plans, stored = [], network.durable
+    network.durable = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or stored(df)
+    try:
+        levels = network._search(hops, network.node_set(edges))
+    finally:
+        network.durable = stored
+    assert len(levels) > 3
+    for plan in plans[2:]:  # after the start and the first level
+        after_union = plan[plan.index("Union") :]
+        assert "Exchange" not in after_union and plan.count("Exchange") == 2, plan
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"

@@ -9,10 +9,11 @@ isolated ones.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from itertools import count
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wharfline.functions.durable import durable
@@ -106,37 +107,69 @@ def degree_centrality(edges: DataFrame, directed: bool = True) -> DataFrame:
 # ------------------------------------------------------------------ paths
 
 
+@contextmanager
+def fixed_partitions(spark: SparkSession) -> Iterator[None]:
+    """Plans made inside keep the number of shuffle partitions, so that stored frames stay placed by their keys.
+
+    Adaptive plans coalesce partitions frame by frame, and what they store has no
+    known placement: every later join would shuffle it again.
+    """
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def _placed(df: DataFrame, *keys: str) -> DataFrame:
+    """Stored rows, placed by hash of the keys."""
+    return durable(df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys))
+
+
 def _hops(edges: DataFrame, directed: bool) -> DataFrame:
     """Stored steps of a search, placed by their start."""
     steps = edges.select("src", "dst").distinct() if directed else both_ways(edges)
-    return durable(steps.where(F.col("src") != F.col("dst")).repartition("src"))
+    with fixed_partitions(edges.sparkSession):
+        return _placed(steps.where(F.col("src") != F.col("dst")), "src")
 
 
 def _search(hops: DataFrame, sources: DataFrame) -> list[DataFrame]:
-    """Nodes reached from every source, level by level: (source, node, dist, paths)."""
+    """Nodes reached from every source, level by level: (source, node, dist, paths).
+
+    Levels stay placed by (source, node), and their union with them, so a level
+    shuffles its frontier along the steps and what that reaches, never the pairs
+    that were reached before.
+    """
     start = sources.select(
         F.col("node").alias("source"), "node", F.lit(0).alias("dist"), F.lit(1.0).alias("paths")
     )
-    levels = [durable(start)]
-    seen = levels[0].select("source", "node")
-    while True:
-        ahead = (
-            levels[-1]
-            .join(hops, F.col("node") == F.col("src"))
-            .groupBy("source", F.col("dst").alias("node"))
-            .agg(F.sum("paths").alias("paths"))
-            .join(seen, ["source", "node"], "left_anti")
-            .select("source", "node", F.lit(len(levels)).alias("dist"), "paths")
-        )
-        reached = durable(ahead)
-        if reached.isEmpty():
-            return levels
-        levels.append(reached)
-        seen = seen.union(reached.select("source", "node"))
+    with fixed_partitions(hops.sparkSession):
+        levels = [_placed(start, "source", "node")]
+        seen = levels[0].select("source", "node")
+        while True:
+            ahead = (
+                levels[-1]
+                .join(hops.hint("merge"), F.col("node") == F.col("src"))
+                .groupBy("source", F.col("dst").alias("node"))
+                .agg(F.sum("paths").alias("paths"))
+                .join(seen.hint("merge"), ["source", "node"], "left_anti")
+                .select("source", "node", F.lit(len(levels)).alias("dist"), "paths")
+            )
+            reached = durable(ahead)
+            if reached.isEmpty():
+                return levels
+            levels.append(reached)
+            seen = seen.union(reached.select("source", "node"))
 
 
 def _dependencies(hops: DataFrame, levels: list[DataFrame]) -> DataFrame:
     """Share of shortest paths from each source that run through each node, from the far end back."""
+    with fixed_partitions(hops.sparkSession):
+        return _passed_back(hops, levels)
+
+
+def _passed_back(hops: DataFrame, levels: list[DataFrame]) -> DataFrame:
     below = levels[-1].select("source", "node", "paths", F.lit(0.0).alias("delta"))
     parts = [below]
     for level in reversed(levels[1:-1]):
