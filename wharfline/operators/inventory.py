@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wharfline.functions.expressions import linspace, ratio, require_columns
+from wharfline.functions.expressions import linspace, ratio, require_columns, round_half_even
 from wharfline.functions.normal import service_factor
 from wharfline.functions.ordering import running_totals
 
@@ -182,3 +182,25 @@ def policy_from_rows(
     return stats.withColumns(
         {"safety_stock": safety_stock(service_level), "reorder_point": reorder_point(service_level)}
     )
+
+
+# What one order costs, and the yearly holding share of a unit's cost.
+ORDER_COST, HOLDING_SHARE = 100.0, 0.2
+
+
+def observed_policy(
+    df: DataFrame, keys: Sequence[str], demand: str = "demand", unit_cost: str = "unit_cost",
+    order_cost: float = ORDER_COST, holding_share: float = HOLDING_SHARE,
+) -> DataFrame:
+    """Per group the whole order quantity, reorder point and safety stock, and what holding and stockouts have cost.
+
+    The quantity comes from the group's mean demand and unit cost; a group without either has none.
+    """
+    quantity = F.sqrt(ratio(F.avg(demand) * 2 * order_cost, F.avg(unit_cost) * holding_share))
+    return df.groupBy(*keys).agg(
+        round_half_even(quantity).alias("eoq"),
+        round_half_even(F.avg("reorder_point")).alias("reorder_point"),
+        round_half_even(F.avg("safety_stock")).alias("safety_stock"),
+        F.sum("holding_cost").alias("annual_holding_cost"),
+        F.sum("stockout_cost").alias("annual_stockout_cost"),
+    )

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wharfline.functions.expressions import round_half_even, id_label, label_id
+from wharfline.functions.expressions import id_label, label_id
 from wharfline.operators import aggregates as agg
 from wharfline.operators import costs
-from wharfline.operators import filters
+from wharfline.operators import filters, inventory
 from wharfline.operators.leadtimes import lead_time_days, supplier_performance
 from wharfline.plans.order_queries import in_single, rounded
 from wharfline.plans.registry import query
@@ -684,11 +684,4 @@ FROM wide GROUP BY 1""",
     ),
 )
 def dashboard_order_quantity(spark: SparkSession, folder: str) -> DataFrame:
-    eoq = F.sqrt(F.avg("demand") * 2 * 100 / (F.avg("unit_cost") * 0.2))
-    return views.daily_wide(spark, folder).groupBy("product").agg(
-        round_half_even(eoq).alias("eoq"),
-        round_half_even(F.avg("reorder_point")).alias("reorder_point"),
-        round_half_even(F.avg("safety_stock")).alias("safety_stock"),
-        F.round(F.sum("holding_cost"), 2).alias("annual_holding_cost"),
-        F.round(F.sum("stockout_cost"), 2).alias("annual_stockout_cost"),
-    )
+    return rounded(inventory.observed_policy(views.daily_wide(spark, folder), ["product"]), 2)

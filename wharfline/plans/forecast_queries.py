@@ -35,11 +35,8 @@ def demand_holt_winters(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(fc.forecast_frame(panel, forecast, KEYS), 4)
 
 
-@query(
-    "demand_smoothing",
-    with_view(
-        DEMAND,
-        """,
+# The smoothing recursion of every region, day by day, with alpha 0.3, beta 0.1, gamma 0.2 and a season of seven days.
+SMOOTHED = """,
 span AS (SELECT region, min(ds) AS low, max(ds) AS high FROM demand GROUP BY 1),
 days AS (SELECT region, unnest(generate_series(low::TIMESTAMP, high::TIMESTAMP, INTERVAL 1 DAY))::DATE AS ds FROM span),
 series AS MATERIALIZED (
@@ -57,7 +54,16 @@ run AS (
                0.3::DOUBLE * (s.ys[t + 1] - season[1]) + 0.7::DOUBLE * (level + slope) AS moved
         FROM run r JOIN series s USING (region) WHERE t < len(s.ys))),
 ended AS (SELECT run.*, last_ds FROM run JOIN series USING (region) WHERE t = len(ys))
-SELECT region, (last_ds + step::INT) AS ds, round(level + slope * step + season[(step - 1) % 7 + 1], 4) AS forecast, round(sse, 2) AS sse
+"""
+
+
+@query(
+    "demand_smoothing",
+    with_view(
+        DEMAND,
+        SMOOTHED
+        + """SELECT region, (last_ds + step::INT) AS ds, round(level + slope * step + season[(step - 1) % 7 + 1], 4) AS forecast,
+       round(sse, 2) AS sse
 FROM ended, (SELECT unnest(range(1, 15)) AS step)""",
     ).replace("WITH ", "WITH RECURSIVE ", 1),
 )
@@ -68,6 +74,24 @@ def demand_smoothing(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(ahead.join(model.select(*KEYS, "sse"), KEYS), 4, sse=2)
 
 
+@query(
+    "demand_smoothing_frame",
+    with_view(
+        DEMAND,
+        SMOOTHED
+        + """SELECT region, ds, round(coalesce(y, 0), 4) AS forecast, 'Historical' AS type FROM days LEFT JOIN demand USING (region, ds)
+UNION ALL
+SELECT region, (last_ds + step::INT), round(level + slope * step + season[(step - 1) % 7 + 1], 4), 'Forecast'
+FROM ended, (SELECT unnest(range(1, 15)) AS step)""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+)
+def demand_smoothing_frame(spark: SparkSession, folder: str) -> DataFrame:
+    """History and the smoothed forecast in one frame."""
+    panel = durable(regular_demand(spark, folder))
+    forecast = fc.holt_winters_forecast(fc.smooth(panel, KEYS, 7, 0.3, 0.1, 0.2), KEYS, 14)
+    return rounded(fc.forecast_frame(panel, forecast, KEYS).select(*KEYS, "ds", "forecast", "type"), 4)
+
+
 @query("stock_holt_winters")
 def stock_holt_winters(spark: SparkSession, folder: str) -> DataFrame:
     """Thirty days of stock per product, season of thirty days."""

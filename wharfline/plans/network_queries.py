@@ -214,6 +214,26 @@ def lane_eigenvector(edges: DataFrame) -> DataFrame:
     return rounded(network.eigenvector_centrality(edges), 6)
 
 
+@lane_query(
+    "lane_eigenvector_limit",
+    """,
+names AS (SELECT src AS node FROM lanes UNION SELECT dst FROM lanes),
+moved AS (
+  SELECT 0 AS k, node, 1.0::DOUBLE AS x FROM names
+  UNION ALL
+  SELECT k + 1, node, v / sqrt(sum(v * v) OVER ())
+  FROM (SELECT k, node, sum(x) AS v FROM (
+    SELECT k, node, x FROM moved WHERE k < 400
+    UNION ALL SELECT k, dst, x FROM moved JOIN lanes ON src = node WHERE k < 400) GROUP BY k, node)
+)
+SELECT node, round(x, 6) AS eigenvector, true AS converged FROM moved WHERE k = 400""",
+    _recursive,
+)
+def lane_eigenvector_limit(edges: DataFrame) -> DataFrame:
+    """Iterated until nothing moves but rounding."""
+    return rounded(network.eigenvector_centrality(edges, tolerance=1e-13), 6)
+
+
 @query(
     "customer_order_components",
     """WITH RECURSIVE
