@@ -197,7 +197,7 @@ def test_lane_queries_cover_all_lanes(spark, tmp_path):
     from wharfline.sources import views
 
     names = [n.removeprefix("busy_") for n in registered.queries() if n.startswith("busy_")]
-    assert len(names) == 9 and {f"whole_{n}" for n in names} <= set(registered.queries())
+    assert len(names) == 10 and {f"whole_{n}" for n in names} <= set(registered.queries())
     with_sql = {n for n in names if f"busy_{n}" in registered.oracle_sql()}
     assert {f"whole_{n}" for n in with_sql} <= set(registered.oracle_sql())
     rows = {

@@ -230,7 +230,7 @@ REPORT = """,
 report AS (
   SELECT dataset, bool_and(success) AS success, count(*) AS total_expectations,
          count(*) FILTER (success) AS passed_expectations,
-         string_agg(expectation_type || '(' || "column" || ')', '; ' ORDER BY position) FILTER (NOT success) AS failed
+         coalesce(string_agg(expectation_type || '(' || "column" || ')', '; ' ORDER BY position) FILTER (NOT success), '') AS failed
   FROM results GROUP BY 1
 )"""
 
