@@ -225,8 +225,10 @@ class Pieces(dict):
         self.begins, self.ids = array("q", [0]), array("I")
 
     def __missing__(self, piece: str) -> int:
-        self.ids.extend([token.id for token in self.merge(piece.encode().decode("latin-1").translate(self.names))])
-        self.begins.append(len(self.ids))
+        ids = self.ids
+        plain = piece if piece.isascii() else piece.encode().decode("latin-1")  # a character per byte
+        ids.extend([token.id for token in self.merge(plain.translate(self.names))])
+        self.begins.append(len(ids))
         place = self[piece] = len(self)
         return place
 
