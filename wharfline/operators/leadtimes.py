@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wharfline.functions.durable import stored
 from wharfline.functions.expressions import elapsed_days, flag, ratio, require_columns
 from wharfline.functions.joins import join_statistics
 from wharfline.functions.quantiles import banded_quantiles, built_in_quantile, fits_one_state
@@ -85,7 +86,8 @@ def calculate_order_statistics(
         keys = ["product_id"]
     keys = list(keys)
     measures = [c for c in ("quantity", "price") if c in df.columns]
-    grouped = df.dropna(subset=keys)
+    # Group sizes, statistics and medians read one narrow copy, so the rows behind them are built once for all three.
+    grouped = stored(df.dropna(subset=keys).select(*dict.fromkeys([*keys, order_id, *measures])), "grouped")
     aggregates = [F.count(order_id).alias("order_count")]
     for c in measures:
         aggregates += [
