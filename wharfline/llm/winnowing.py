@@ -213,7 +213,7 @@ def with_next(documents: DataFrame, slices: int | None = None) -> tuple[DataFram
     slice. Copies are marked ``_copy`` and must be dropped. Rows of one id follow
     each other in descending hash and text. Null ids come last.
     """
-    n = slices or 2 * partitions(documents.sparkSession)
+    n = slices or 6 * partitions(documents.sparkSession)  # several to a task, so that tasks come out alike
     keyed = documents.select(
         F.col("doc_id").isNotNull().cast("int").alias("_given"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("_id"), F.xxhash64("text").alias("_hash"),
