@@ -233,3 +233,26 @@ def test_search_levels_shuffle_only_their_frontier(spark):
         after_union = plan[plan.index("Union") :]
         assert "Exchange" not in after_union and plan.count("Exchange") == 2, plan
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_rounds_follow_the_pairs_within_reach(spark, monkeypatch):
+    """Many sources that reach few nodes are one search, however many pairs of nodes there are."""
+    pairs = [(f"S{i}", f"N{i % 3}") for i in range(60)] + [(f"N{i}", f"R{j}") for i in range(3) for j in range(2)]
+    edges, search, calls = graph(spark, pairs), network._search, []
+    monkeypatch.setattr(network, "_search", lambda hops, sources: calls.append(1) or search(hops, sources))
+    between, close = searched(pairs, True)
+    rows = by(network.path_metrics(edges, pairs_per_round=400), "node")
+    assert len(rows) == 65 and len(calls) == 1
+    for r in rows:
+        assert r["betweenness"] == pytest.approx(between[r["node"]]) and r["closeness"] == pytest.approx(close[r["node"]])
+    hops, nodes = network._hops(edges, True), network.node_set(edges)
+    assert network._pair_bound(hops, nodes, nodes, 65) == 60 * 4 + 3 * 3 + 2
+    ring = graph(spark, [(f"n{i}", f"n{(i + 1) % 50}") for i in range(50)])
+    assert network._pair_bound(network._hops(ring, True), network.node_set(ring), network.node_set(ring), 50) == 2500
+
+
+def test_supply_edges_are_computed_once(spark):
+    from wharfline.plans import network_queries
+
+    plan = network_queries.supply(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in plan

@@ -22,6 +22,8 @@ from wharfline.operators.aggregates import edge_weights, top_n_per_group
 
 # States of path searches kept at a time, as (source, node) pairs.
 PAIRS_PER_ROUND = 200_000_000
+# Steps in which the pairs of a search are bounded before it is cut into rounds.
+BOUND_ROUNDS = 32
 
 
 # ------------------------------------------------------------------ edges
@@ -173,11 +175,12 @@ def _passed_back(hops: DataFrame, levels: list[DataFrame]) -> DataFrame:
     below = levels[-1].select("source", "node", "paths", F.lit(0.0).alias("delta"))
     parts = [below]
     for level in reversed(levels[1:-1]):
+        share = below.select("source", F.col("node").alias("dst"), ((F.col("delta") + 1) / F.col("paths")).alias("_share"))
+        # A level goes along its steps, as in the search; backwards, a hub far down would meet all its predecessors for every source.
         passed = (
-            below.withColumnRenamed("node", "dst")
-            .select("source", "dst", ((F.col("delta") + 1) / F.col("paths")).alias("_share"))
-            .join(hops, "dst")
-            .join(level.select("source", F.col("node").alias("src"), "paths"), ["source", "src"])
+            level.select("source", F.col("node").alias("src"), "paths")
+            .join(hops, "src")
+            .join(share, ["source", "dst"])
             .groupBy("source", F.col("src").alias("node"))
             .agg(F.sum(F.col("_share") * F.col("paths")).alias("delta"))
         )
@@ -190,6 +193,28 @@ def _passed_back(hops: DataFrame, levels: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _pair_bound(hops: DataFrame, everyone: DataFrame, sources: DataFrame, n: int) -> int:
+    """At least as many (source, node) pairs as a search reaches: walks from every source, and all nodes where those are more.
+
+    Walks are counted a step further per round; a node whose count still grows
+    after ``BOUND_ROUNDS`` is on or before a cycle or a long path, and counts as reaching everything.
+    """
+    with fixed_partitions(hops.sparkSession):
+        reach = _placed(everyone.select("node", F.lit(1.0).alias("walks"), F.lit(True).alias("grows")), "node")
+        for _ in range(BOUND_ROUNDS):
+            ahead = (
+                hops.join(reach.select(F.col("node").alias("dst"), "walks"), "dst")
+                .groupBy(F.col("src").alias("node"))
+                .agg(F.sum("walks").alias("_ahead"))
+            )
+            walks = F.least(F.coalesce("_ahead", F.lit(0.0)) + 1, F.lit(float(n)))
+            reach = durable(reach.join(ahead, "node", "left").select("node", walks.alias("walks"), (walks > F.col("walks")).alias("grows")))
+            if reach.where("grows").isEmpty():
+                break
+        bound = F.when(F.col("grows"), F.lit(float(n))).otherwise(F.col("walks"))
+        return int(sources.join(reach, "node").agg(F.coalesce(F.sum(bound), F.lit(0.0))).first()[0])
+
+
 def path_metrics(
     edges: DataFrame,
     directed: bool = True,
@@ -201,15 +226,18 @@ def path_metrics(
 
     Betweenness is normalised; closeness uses the distances into a node and is
     scaled by the share of nodes that reach it. The search starts from all
-    nodes, in rounds that hold at most ``pairs_per_round`` pairs, so the work is
-    nodes times edges; ``sample`` restricts it to given sources, which then
-    only estimates both metrics.
+    nodes, in rounds that hold at most about ``pairs_per_round`` reached pairs, so the
+    work is that of the pairs within reach and nodes times edges at most; ``sample``
+    restricts it to given sources, which then only estimates both metrics.
     """
     everyone = durable(nodes if nodes is not None else node_set(edges))
     n = everyone.count()
     hops = _hops(edges, directed)
     sources = sample if sample is not None else everyone
-    rounds = max(1, math.ceil(n * sources.count() / pairs_per_round)) if n else 1
+    most = n * sources.count()
+    if most > pairs_per_round:  # all pairs are too many, but few of them may be reached
+        most = _pair_bound(hops, everyone, sources, n)
+    rounds = max(1, math.ceil(most / pairs_per_round))
     totals = None
     for i in range(rounds):
         mine = sources if rounds == 1 else sources.where(F.pmod(F.xxhash64("node"), F.lit(rounds)) == i)
