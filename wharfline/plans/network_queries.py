@@ -17,7 +17,8 @@ from wharfline.sources import views
 
 
 def supply(spark: SparkSession, folder: str) -> DataFrame:
-    return edge_weights(views.supply_edges(spark, folder), "src", "dst", "weight")
+    """Stored, as a search reads its edges several times and all order lines lie behind them."""
+    return durable(edge_weights(views.supply_edges(spark, folder), "src", "dst", "weight"))
 
 
 def lanes(spark: SparkSession, folder: str) -> DataFrame:
