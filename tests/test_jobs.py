@@ -11,7 +11,7 @@ from wharfline.functions.durable import durable, scratch_path, shared_folder
 from wharfline.operators import aggregates as agg
 from wharfline.operators import boosting, costs, filters, linearfits, ml
 from wharfline.plans import curation
-from wharfline.sources import files, tables
+from wharfline.sources import files, tables, views
 from wharfline.streaming import file_cleaner
 
 
@@ -233,6 +233,35 @@ def test_walked_trees_equal_the_models_own(samples):
         assert rows and all(r["own"] == r["walked"] for r in rows)
 
 
+def test_cleaned_files_are_compressed(spark, tmp_path):
+    raw, out = str(tmp_path / "raw"), tmp_path / "out"
+    spark.createDataFrame([(1, "2023-01-01"), (1, "2023-01-01")], "id int, order_date string").coalesce(1).write.option("header", True).csv(raw)
+    file_cleaner.start_cleaner(spark, raw, str(out), str(tmp_path / "state"), "id int, order_date string").awaitTermination()
+    parts = list(out.rglob("part-*"))
+    assert parts and all(p.name.endswith(".csv.gz") for p in parts)
+    assert file_cleaner.processed_rows(spark, str(out), "id int, order_date timestamp, source_file string").first()["source_file"].startswith("file:")
+
+
+def test_returned_lines_are_sent_twice_by_one_pass(spark, monkeypatch):
+    runs = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def joined(x):
+        runs.add(1)
+        return x
+
+    day = dt.datetime(2023, 1, 1)
+    rows = [(i, i, 1, day, day, 1.0, 2.0, "EUROPE", flag) for i, flag in enumerate(["R", "N", None, "R"])]
+    facts = spark.createDataFrame(
+        rows, "order_id int, line_number int, product_id int, order_date timestamp, delivery_date timestamp, quantity double, "
+        "line_value double, region string, return_flag string"
+    ).withColumn("return_flag", joined("return_flag"))
+    monkeypatch.setattr(views, "order_facts", lambda *_: facts)
+    raw = views.raw_orders(spark, "")
+    assert sorted(r["order_id"] for r in raw.collect()) == [0, 0, 1, 2, 3, 3]
+    assert runs.value == 4 and "_copy" not in raw.columns
+
+
 def test_boosting_grid(samples):
     _, train, _ = ml.prepare_features(samples)
     grid = {"maxIter": [2, 8], "maxDepth": [1, 3]}

@@ -38,15 +38,16 @@ def start_cleaner(
     per_batch: int = 1000,
     continuous: bool = False,
 ) -> StreamingQuery:
-    """Write every new file, cleaned, to the processed folder, each file once.
+    """Write every new file, cleaned, to the processed folder as gzipped csv, each file once.
 
+    Each row carries the path of its file, which costs next to nothing compressed.
     A batch that is repeated after a failure overwrites its own folder. By
     default the query handles what is there and ends; ``continuous`` keeps it waiting.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         target = f"{processed_folder.rstrip('/')}/batch={number}"
-        clean_batch(batch).write.mode("overwrite").option("header", True).csv(target)
+        clean_batch(batch).write.mode("overwrite").option("header", True).csv(target, compression="gzip")
 
     writer = (
         incoming_files(spark, raw_folder, schema, per_batch)
