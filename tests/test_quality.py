@@ -140,6 +140,15 @@ def test_folder_run(spark):
         files.load_dataset(spark, f"{base}/none.csv")
 
 
+def test_broken_rows_of_a_folder_are_written_compressed(spark, tmp_path):
+    path = files.save_data(spark.createDataFrame([("bad", "a", "x", -1.5, 1.0)], schemas.PRODUCTS), f"{tmp_path}/products.parquet")
+    quality.validate_folder(spark, [path], f"{tmp_path}/report")
+    parts = list((tmp_path / "report/products_invalid.json").glob("part-*"))
+    assert parts and all(p.name.endswith(".json.gz") for p in parts)
+    broken = spark.read.json(f"{tmp_path}/report/products_invalid.json").first()
+    assert "bad" in broken["record"] and len(broken["errors"]) == 2
+
+
 def test_distinct_counts_of_every_type(spark):
     rows = [
         (1, 0.0, "a", True, b"x", [1, 2], (1, "p"), dt.datetime(2023, 1, 1), None),
