@@ -233,6 +233,35 @@ def test_walked_trees_equal_the_models_own(samples):
         assert rows and all(r["own"] == r["walked"] for r in rows)
 
 
+def test_rows_are_built_once_for_all_fits(samples):
+    """What lies behind the rows is run when they are stored, not by every fit and prediction."""
+    runs = samples.sparkSession.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def costly(x):
+        runs.add(1)
+        return x
+
+    made = samples.withColumn("x", costly("x"))
+    _, train, test = ml.prepare_features(made)
+    ml.train_linear_model(train, "lead_time")
+    assert train.count() + test.count() == 600 and runs.value == 600
+
+
+def test_trees_are_walked_by_batches(samples):
+    """Bounds come from vectors of rows, not from expressions that step through every tree row by row."""
+    _, train, test = ml.prepare_features(samples)
+    model = ml.tree_regressors("lead_time", size=4)["random_forest"].fit(train)
+    x, _ = plain_rows(test)
+    trees = ml.tree_walker(model)(x)
+    assert trees.shape == (len(x), 4)
+    np.testing.assert_allclose(trees.mean(axis=1), [r["prediction"] for r in ml.predict(model, test).collect()])
+    odd = np.array([[np.nan, 2.0, -1.0], [0.0, 0.5, 0.0]])[:, : x.shape[1]]  # no level of a named split: to the right
+    assert np.isfinite(ml.tree_walker(model)(odd)).all()
+    plan = ml.predict_with_uncertainty(model, test)._jdf.queryExecution().executedPlan().toString()
+    assert "lambdafunction" not in plan and "Generate" not in plan
+
+
 def test_cleaned_files_are_compressed(spark, tmp_path):
     raw, out = str(tmp_path / "raw"), tmp_path / "out"
     spark.createDataFrame([(1, "2023-01-01"), (1, "2023-01-01")], "id int, order_date string").coalesce(1).write.option("header", True).csv(raw)
