@@ -266,3 +266,16 @@ def test_supply_edges_are_computed_once(spark, monkeypatch):
     monkeypatch.setattr(network_queries.views, "supply_edges", lambda *_: edges)
     assert network_queries.supply_path_metrics(spark, "").count() == 4
     assert runs.value == 3
+
+
+def test_partitions_follow_the_size_of_the_graph(spark, monkeypatch):
+    """A component's rounds use more partitions for more edges, and leave the session as it was."""
+    monkeypatch.setattr(network, "ROWS_PER_TASK", 10)
+    key, seen, stored = "spark.sql.shuffle.partitions", set(), network.durable
+    before = {k: spark.conf.get(k) for k in (key, "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")}
+    monkeypatch.setattr(network, "durable", lambda df: seen.add(int(spark.conf.get(key))) or stored(df))
+    edges = graph(spark, [(f"O{i}", f"P{i % 4}") for i in range(60)] + [("O9", None), ("Q", "Q")])
+    found = {r["node"]: r["component"] for r in network.components(edges).collect()}
+    assert seen == {13} and {k: spark.conf.get(k) for k in before} == before
+    least = [min(f"O{i}" for i in range(60) if i % 4 == k) for k in range(4)]
+    assert found == {f"O{i}": least[i % 4] for i in range(60)} | {f"P{k}": least[k] for k in range(4)} | {None: None, "Q": "Q"}
