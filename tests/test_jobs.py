@@ -302,6 +302,46 @@ def test_boosting_grid(samples):
     assert boosting.search_rows(train, "lead_time", ["order_id"], F.lit(0), 50)[0].shape[0] == 50
 
 
+def plain_errors(df, folds, points, size):
+    x, y = plain_rows(df)
+    fold = df.select(ml.hash_bucket(["order_id"], folds).alias("f")).toPandas()["f"].to_numpy()
+    return [np.mean([boosting.staged_errors(boosting.binned(x), y, fold == g, [size], **p)[0] for g in range(folds)]) for p in points]
+
+
+@pytest.mark.parametrize("held", [boosting.HELD, 100])
+def test_summed_rows_give_the_errors_of_all_rows(samples, monkeypatch, held):
+    """Rows with the same bins are added up: no row is left out and no tree changes, in memory or in files."""
+    monkeypatch.setattr(boosting, "HELD", held)
+    monkeypatch.setattr(boosting, "AT_ONCE", 64)
+    rounded = samples.unionAll(samples.withColumn("lead_time", F.col("lead_time") + F.col("order_id") % 7))
+    _, train, _ = ml.prepare_features(rounded, drop_last=False, unknown="keep")
+    points = [{"depth": 3, "step": 0.3}, {"depth": 2, "step": 0.1, "least": 9}]
+    found = boosting.point_errors(train, "lead_time", ["order_id"], ml.hash_bucket(["order_id"], 3), 3, points, [4], rows=None)
+    mse = {r["point"]: r["mse"] for r in found.collect()}
+    assert [mse[0], mse[1]] == pytest.approx(plain_errors(train, 3, points, 4), rel=1e-9)
+    x, _ = plain_rows(train)
+    cuts = boosting.quantile_cuts(train.select(boosting.vector_to_array("features").alias("x")))
+    assert np.array_equal(np.stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)], axis=1), boosting.binned(x))
+    with pytest.raises(ValueError):
+        boosting.point_errors(train, "lead_time", ["order_id"], F.lit(0), 1, [{"share": 0.5}], [1], rows=None)
+
+
+def test_compared_models_are_validated_on_all_rows(spark, monkeypatch):
+    """More rows than the 20,000 that boosted models were once validated on; the hash decides nothing."""
+    n = 24_000
+    rows = spark.range(n).select(F.col("id").alias("order_id"), (F.col("id") % 50).cast("double").alias("x"))
+    order = F.md5(F.col("order_id").cast("string"))
+    last = rows.withColumn("_o", order).orderBy(F.desc("_o")).limit(2_000).select("order_id", F.lit(1000.0).alias("far"))
+    made = rows.join(last, "order_id", "left").select("order_id", "x", (F.coalesce("far", F.lit(0.0)) + F.col("x")).alias("lead_time"))
+    _, train, test = ml.prepare_features(made)
+    trained = ml.train_regression_models(train, test, "lead_time", names=["gradient_boosting"], folds=2, size=2)
+    row = trained.scores.first()
+    both = train.unionByName(test)
+    settings = [dict(ml.BOOSTED["gradient_boosting"])]
+    assert row["cv_rmse"] == pytest.approx(plain_errors(both, 2, settings, 2)[0] ** 0.5, rel=1e-9)
+    assert row["cv_rmse"] > 200
+
+
 def test_registered_models_are_whole(samples, monkeypatch):
     """Five folds, whole ensembles and the whole grid reach the fits."""
     from wharfline.plans import ml_queries
