@@ -268,6 +268,24 @@ def test_supply_edges_are_computed_once(spark, monkeypatch):
     assert runs.value == 3
 
 
+def test_components_keep_one_round_and_shuffle_contracted_edges(spark, monkeypatch, tmp_path):
+    """Pairs of former rounds are gone, and no task hands on more edges than stars need."""
+    place, sizes = str(tmp_path / "pairs"), []
+    monkeypatch.setattr(network, "scratch_path", lambda _, name: f"{place}-{len(sizes)}-{name}")
+    written = network.stored_at
+    monkeypatch.setattr(network, "stored_at", lambda df, path: sizes.append(0) or written(df, path))
+    pairs = [(f"O{i}", f"P{(i * k) % 37}") for i in range(200) for k in (1, 2, 3)] + [("x", "y")]
+    found = {r["node"]: r["component"] for r in network.components(graph(spark, pairs)).collect()}
+    # Multiples of 37 meet in P0 alone, all others in one component.
+    assert found == {v: "x" if v in "xy" else "O1" if int(v[1:]) % 37 else "O0" for p in pairs for v in p}
+    assert len(sizes) > 2 and not list(tmp_path.iterdir())
+    edges = graph(spark, pairs).select("src", "dst").toDF("u", "v").coalesce(1)
+    assert network.contracted(edges).count() == len(found) - len(set(found.values())) < len(pairs) / 2
+    monkeypatch.setattr(network, "EDGES_AT_ONCE", 7)
+    numbers = spark.range(40).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    assert {r["component"] for r in network.components(numbers).collect()} == {0}
+
+
 def test_partitions_follow_the_size_of_the_graph(spark, monkeypatch):
     """A component's rounds use more partitions for more edges, and leave the session as it was."""
     monkeypatch.setattr(network, "ROWS_PER_TASK", 10)
